@@ -3,6 +3,7 @@
 from topup_analytics.operators.once import with_columns_once
 from topup_analytics.operators.orders import (
     order_facts,
+    order_facts_of,
     parse_orders,
     recharge_lines,
     rejected_orders,
@@ -24,6 +25,7 @@ __all__ = [
     "daily_summary",
     "failures_by_hour_province",
     "order_facts",
+    "order_facts_of",
     "orders_per_minute",
     "parse_orders",
     "recharge_lines",

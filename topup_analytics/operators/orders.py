@@ -80,17 +80,16 @@ def rejected_orders(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reject_reason").isNotNull()).select("value", "reject_reason")
 
 
-def order_facts(
-    lines: DataFrame, mode: str = "quarantine", missing_end: str = "null"
+def order_facts_of(
+    parsed: DataFrame, mode: str = "quarantine", missing_end: str = "null"
 ) -> DataFrame:
-    """One row per usable order: minute key, province code, event time, measures.
+    """One row per usable parsed order: minute, province code, event time, measures.
 
     The measures have the names they keep in every roll-up, so a roll-up reads
     these rows, a cube of them or a stored ledger alike.
     """
-    orders = valid_orders(parse_orders(lines), mode)
     result = F.col("bussinessRst")
-    return orders.select(
+    return valid_orders(parsed, mode).select(
         order_minute(F.col("requestId")).alias("order_minute"),
         "provinceCode",
         F.timestamp_millis("start_ms").alias("event_time"),
@@ -100,3 +99,10 @@ def order_facts(
         charge_amount(result, F.col("fee")).alias("amount"),
         elapsed_ms(F.col("start_ms"), F.col("end_ms"), missing_end).alias("cost_time_ms"),
     )
+
+
+def order_facts(
+    lines: DataFrame, mode: str = "quarantine", missing_end: str = "null"
+) -> DataFrame:
+    """The same, straight from log lines."""
+    return order_facts_of(parse_orders(lines), mode, missing_end)
