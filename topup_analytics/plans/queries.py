@@ -79,7 +79,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_orders(parse_orders(_lines(spark, sf_dir)))
 
 
-def _write_log(spark: SparkSession, sf_dir: str, path: str, where: Column | None = None) -> None:
+def write_log(spark: SparkSession, sf_dir: str, path: str, where: Column | None = None) -> None:
     """Write events as log files, in parts that each span the whole period."""
     lines = _lines(spark, sf_dir)
     if where is not None:
@@ -105,7 +105,7 @@ def _daily(rows: DataFrame) -> DataFrame:
 def query_batch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of a written log, of whatever type."""
     path = f"{new_folder(spark)}/log"
-    _write_log(spark, sf_dir, path)
+    write_log(spark, sf_dir, path)
     return batch_lines(spark, path)
 
 
@@ -244,7 +244,7 @@ def _run(spark: SparkSession, home: str, files_per_trigger: int | None = None) -
 
 def _streamed(spark: SparkSession, sf_dir: str) -> StoredTables:
     home = new_folder(spark)
-    _write_log(spark, sf_dir, f"{home}/log")
+    write_log(spark, sf_dir, f"{home}/log")
     return _run(spark, home, _quarter(spark, f"{home}/log"))
 
 
@@ -253,10 +253,22 @@ def _quarter(spark: SparkSession, log: str) -> int:
     return max(1, len(spark.read.text(log).inputFiles()) // PARTS)
 
 
+def _in_state(
+    spark: SparkSession, sf_dir: str, per_minute: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    home = new_folder(spark)
+    write_log(spark, sf_dir, f"{home}/log")
+    lines = stream_lines(spark, f"{home}/log", _quarter(spark, f"{home}/log"))
+    start_running_totals(
+        per_minute(order_facts(lines)), f"{home}/out", f"{home}/checkpoint", "order_minute", ONCE
+    ).awaitTermination()
+    return latest_totals(spark, f"{home}/out", ["order_minute"], ["orders"])
+
+
 def query_stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recharge orders read as a stream and appended to a table."""
     home = new_folder(spark)
-    _write_log(spark, sf_dir, f"{home}/log")
+    write_log(spark, sf_dir, f"{home}/log")
     orders = valid_orders(parse_orders(stream_lines(spark, f"{home}/log")))
     writer = orders.select("requestId", "bussinessRst", "provinceCode").writeStream
     writer = writer.option("checkpointLocation", f"{home}/checkpoint").trigger(**ONCE)
@@ -303,14 +315,12 @@ def query_running_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def query_running_minute_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute totals kept in streaming state."""
-    home = new_folder(spark)
-    _write_log(spark, sf_dir, f"{home}/log")
-    lines = stream_lines(spark, f"{home}/log", _quarter(spark, f"{home}/log"))
-    keys, measures = ["order_minute"], ["orders"]
-    start_running_totals(
-        lines, f"{home}/out", f"{home}/checkpoint", keys, measures, ONCE
-    ).awaitTermination()
-    return latest_totals(spark, f"{home}/out", keys, measures)
+    return _in_state(spark, sf_dir, orders_per_minute)
+
+
+def query_tumbling_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-minute event-time windows, without a watermark."""
+    return _in_state(spark, sf_dir, tumbling_counts)
 
 
 def query_stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,7 +336,7 @@ def query_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the log, a stop, the other half, and a restart."""
     home = new_folder(spark)
     for part in (0, 1):
-        _write_log(spark, sf_dir, f"{home}/log", F.col("event_id") % 2 == part)
+        write_log(spark, sf_dir, f"{home}/log", F.col("event_id") % 2 == part)
         tables = _run(spark, home)
     return _daily(tables.totals(spark))
 
@@ -336,7 +346,7 @@ def query_late_orders_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = new_folder(spark)
     newer = F.dayofmonth("ts") > 15
     for where in (newer, ~newer):
-        _write_log(spark, sf_dir, f"{home}/log", where)
+        write_log(spark, sf_dir, f"{home}/log", where)
         tables = _run(spark, home)
     return _daily(tables.totals(spark))
 
@@ -344,7 +354,7 @@ def query_late_orders_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def query_stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A crash after a batch was stored and before it was committed, then a restart."""
     home = new_folder(spark)
-    _write_log(spark, sf_dir, f"{home}/log")
+    write_log(spark, sf_dir, f"{home}/log")
     limit = _quarter(spark, f"{home}/log")
     tables = StoredTables(f"{home}/out")
 
@@ -364,24 +374,6 @@ def query_stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFram
     return _daily(tables.totals(spark))
 
 
-def query_tumbling_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One-minute event-time windows counted as a stream, without a watermark."""
-    home = new_folder(spark)
-    _write_log(spark, sf_dir, f"{home}/log")
-    lines = stream_lines(spark, f"{home}/log", _quarter(spark, f"{home}/log"))
-    counts = tumbling_counts(order_facts(lines), "1 minute")
-
-    def store(snapshot: DataFrame, batch_id: int) -> None:
-        snapshot.write.mode("overwrite").parquet(f"{home}/snapshots/batch_id={batch_id}")
-
-    writer = counts.writeStream.outputMode("complete").foreachBatch(store)
-    writer = writer.option("checkpointLocation", f"{home}/checkpoint").trigger(**ONCE)
-    writer.start().awaitTermination()
-    snapshots = spark.read.parquet(f"{home}/snapshots")
-    last = snapshots.agg(F.max("batch_id").alias("batch_id"))
-    return snapshots.join(F.broadcast(last), "batch_id", "left_semi").drop("batch_id")
-
-
 def queries() -> dict[str, Query]:
     """All registered queries by name."""
     prefix = "query_"

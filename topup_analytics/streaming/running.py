@@ -1,32 +1,30 @@
-"""Running totals kept in Spark's own streaming state."""
+"""Running totals kept in Spark's own streaming state.
+
+The state has one row per key. What a batch changed is stored under the batch,
+so a replay overwrites itself, and the newest row of a key is its total.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from topup_analytics.operators import order_facts, rollup
 from topup_analytics.sinks.batches import write_batch
 
 
 def start_running_totals(
-    lines: DataFrame,
-    path: str,
-    checkpoint: str,
-    keys: list[str],
-    measures: list[str],
-    trigger: dict | None = None,
+    totals: DataFrame, path: str, checkpoint: str, time_key: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Sum ``measures`` by time ``keys`` for ever, storing what each batch changed.
+    """Keep a streaming aggregate (a roll-up or a window count) up to date in ``path``.
 
-    There is no watermark, so late orders count; the state has one row per key.
-    The first key must be a time key.
+    Orders may be late without limit unless the aggregate has a watermark. The
+    stored changes grow with the number of batches; for totals over months the
+    ledger, which can be folded, is the better store.
     """
-    spark = lines.sparkSession
-    totals = rollup(order_facts(lines), keys, measures)
+    spark = totals.sparkSession
 
     def store(changed: DataFrame, batch_id: int) -> None:
         stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_batch(changed, path, stream_id, batch_id, keys[0])
+        write_batch(changed, path, stream_id, batch_id, time_key)
 
     return (
         totals.writeStream.outputMode("update")
@@ -38,7 +36,7 @@ def start_running_totals(
 
 
 def latest_totals(spark: SparkSession, path: str, keys: list[str], measures: list[str]) -> DataFrame:
-    """The newest stored total of every key of a running-totals stream."""
+    """The newest stored total of every key."""
     newest = spark.read.parquet(path).groupBy(*keys).agg(
         F.max_by(F.struct(*measures), "batch_id").alias("row")
     )
