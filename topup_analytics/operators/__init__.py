@@ -3,15 +3,16 @@
 from topup_analytics.operators.once import with_columns_once
 from topup_analytics.operators.orders import (
     order_facts,
-    order_facts_of,
     parse_orders,
     recharge_lines,
     rejected_orders,
     valid_orders,
+    with_measures,
 )
 from topup_analytics.operators.provinces import with_province
 from topup_analytics.operators.rollups import (
     base_cube,
+    cube_with_rejects,
     daily_summary,
     failures_by_hour_province,
     orders_per_minute,
@@ -22,10 +23,10 @@ from topup_analytics.operators.rollups import (
 
 __all__ = [
     "base_cube",
+    "cube_with_rejects",
     "daily_summary",
     "failures_by_hour_province",
     "order_facts",
-    "order_facts_of",
     "orders_per_minute",
     "parse_orders",
     "recharge_lines",
@@ -35,5 +36,6 @@ __all__ = [
     "tumbling_counts",
     "valid_orders",
     "with_columns_once",
+    "with_measures",
     "with_province",
 ]

@@ -15,7 +15,7 @@ from topup_analytics.functions import (
     usable_fee,
 )
 from topup_analytics.operators.once import with_columns_once
-from topup_analytics.schema import MARKER, ORDER_SCHEMA, SUCCESS_CODE
+from topup_analytics.schema import MARKER, MEASURES, ORDER_SCHEMA, SUCCESS_CODE
 
 # The line is parsed as the only member of an object. A parser given the bare
 # line stops after the first object and would silently drop a second one glued
@@ -65,14 +65,14 @@ def parse_orders(lines: DataFrame) -> DataFrame:
 
 
 def valid_orders(parsed: DataFrame, mode: str = "quarantine") -> DataFrame:
-    """The usable orders. ``mode="strict"`` fails the job on the first bad one."""
+    """The usable orders. ``mode="strict"`` fails the job on the first bad line."""
     good = F.col("reject_reason").isNull()
     if mode == "strict":
         message = F.concat(F.lit("unusable order line: "), F.col("reject_reason"))
         good = F.when(good, True).otherwise(F.raise_error(message))
     elif mode != "quarantine":
         raise ValueError(f"mode must be 'quarantine' or 'strict', not {mode!r}")
-    return parsed.filter(good).drop("reject_reason")
+    return parsed.filter(good)
 
 
 def rejected_orders(parsed: DataFrame) -> DataFrame:
@@ -80,18 +80,16 @@ def rejected_orders(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reject_reason").isNotNull()).select("value", "reject_reason")
 
 
-def order_facts_of(
-    parsed: DataFrame, mode: str = "quarantine", missing_end: str = "null"
-) -> DataFrame:
-    """One row per usable parsed order: minute, province code, event time, measures.
+def with_measures(parsed: DataFrame, missing_end: str = "null") -> DataFrame:
+    """Add minute key, event time and additive measures to parsed orders.
 
     The measures have the names they keep in every roll-up, so a roll-up reads
     these rows, a cube of them or a stored ledger alike.
     """
     result = F.col("bussinessRst")
-    return valid_orders(parsed, mode).select(
+    return parsed.select(
+        "*",
         order_minute(F.col("requestId")).alias("order_minute"),
-        "provinceCode",
         F.timestamp_millis("start_ms").alias("event_time"),
         F.lit(1).alias("orders"),
         is_success(result).alias("suc_orders"),
@@ -104,5 +102,6 @@ def order_facts_of(
 def order_facts(
     lines: DataFrame, mode: str = "quarantine", missing_end: str = "null"
 ) -> DataFrame:
-    """The same, straight from log lines."""
-    return order_facts_of(parse_orders(lines), mode, missing_end)
+    """One row per usable order of the log, with its measures."""
+    orders = with_measures(valid_orders(parse_orders(lines), mode), missing_end)
+    return orders.select("order_minute", "provinceCode", "event_time", *MEASURES)

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topup_analytics.functions import order_date, order_hour, utc_text
-from topup_analytics.schema import MEASURES
+from topup_analytics.operators.orders import with_measures
+from topup_analytics.operators.provinces import with_province
+from topup_analytics.schema import LEDGER_SCHEMA, MEASURES
 
 _KEYS = {
     "order_date": order_date,
@@ -56,6 +58,27 @@ def base_cube(rows: DataFrame) -> DataFrame:
     return rollup(rows, ["order_minute", "province"], MEASURES)
 
 
+def cube_with_rejects(parsed: DataFrame, missing_end: str = "null") -> DataFrame:
+    """The base cube of parsed lines and, in the same pass, their rejected lines.
+
+    A rejected line is a group of its own, without key or measures, and
+    ``rejected`` counts its copies, so that neither the source nor the parser
+    has to be run twice to get both. Copies combine before the shuffle.
+    """
+    good = F.col("reject_reason").isNull()
+    located = with_province(with_measures(parsed, missing_end))
+    rows = located.select(
+        F.when(good, F.col("order_minute")).alias("order_minute"),
+        F.when(good, F.col("province")).alias("province"),
+        *[F.when(good, F.col(m)).alias(m) for m in MEASURES],
+        "reject_reason",
+        F.when(~good, F.col("value")).alias("value"),
+        F.when(good, 0).otherwise(1).alias("rejected"),
+    )
+    keys = ["order_minute", "province", "reject_reason", "value"]
+    return rollup(rows, keys, [*MEASURES, "rejected"]).select(LEDGER_SCHEMA.names)
+
+
 def tumbling_counts(
     facts: DataFrame, width: str = "1 minute", watermark: str | None = None
 ) -> DataFrame:

@@ -77,6 +77,17 @@ CUBE_SCHEMA = T.StructType(
     ]
 )
 
+# A stored batch: its cube, and a row for each distinct rejected line, which has
+# no key and counts in no measure.
+LEDGER_SCHEMA = T.StructType(
+    CUBE_SCHEMA.fields
+    + [
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("rejected", T.LongType()),
+    ]
+)
+
 # Stored layouts of the two append tables.
 FAILURE_TABLE = "failure_perdayprov"
 FAILURE_SCHEMA = T.StructType(

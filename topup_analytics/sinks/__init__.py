@@ -8,7 +8,7 @@ from topup_analytics.sinks.hashes import (
     day_hash_map,
     minute_fields,
 )
-from topup_analytics.sinks.ledger import fold_ledger, read_ledger, write_partials
+from topup_analytics.sinks.ledger import fold_ledger, read_ledger, read_rejects, write_partials
 from topup_analytics.sinks.tables import (
     distinct_totals,
     failure_rows,
@@ -31,6 +31,7 @@ __all__ = [
     "publish_lines",
     "read_batches",
     "read_ledger",
+    "read_rejects",
     "success_rows",
     "success_totals",
     "write_batch",

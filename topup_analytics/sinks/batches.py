@@ -4,12 +4,9 @@ A batch that is replayed after a crash overwrites its own directory, so it is
 counted once however often it runs.
 """
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from topup_analytics.functions import order_date
-
 BATCH_COLUMNS = [
     T.StructField("stream_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
@@ -21,17 +18,16 @@ def batch_path(path: str, stream_id: str, batch_id: int) -> str:
 
 
 def write_batch(
-    rows: DataFrame, path: str, stream_id: str, batch_id: int, time_key: str | None = None
+    rows: DataFrame, path: str, stream_id: str, batch_id: int, by: Column
 ) -> None:
-    """Write, or write again, the rows of one batch.
+    """Write, or write again, the rows of one batch, gathered by ``by``.
 
-    With ``time_key`` the rows are gathered by event day, so that an aggregate
-    leaves one small file per day it touches instead of one per shuffle
-    partition. A day holds at most 46,080 rows of the finest table.
+    Gathering by event day leaves one small file per day that a batch touches
+    instead of one per shuffle partition; a day holds at most 46,080 rows of the
+    finest table.
     """
-    if time_key is not None:
-        rows = rows.repartition(order_date(F.col(time_key)))
-    rows.write.mode("overwrite").parquet(batch_path(path, stream_id, batch_id))
+    gathered = rows.repartition(by)
+    gathered.write.mode("overwrite").parquet(batch_path(path, stream_id, batch_id))
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -5,7 +5,7 @@ may arrive any time later and adds to its own day. Spark keeps no state for it.
 
 Layout below the ledger's path::
 
-    partials/stream_id=S/batch_id=N   cube of one batch
+    partials/stream_id=S/batch_id=N   cube and rejected lines of one batch
     folded/generation=G               sums of older batches of all streams
     folds                             one small file per published generation
 """
@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 
 from topup_analytics.functions import order_date
 from topup_analytics.operators.rollups import base_cube
-from topup_analytics.schema import CUBE_SCHEMA
+from topup_analytics.schema import CUBE_SCHEMA, LEDGER_SCHEMA
 from topup_analytics.sinks.batches import batch_path, read_batches, write_batch
 
 _FOLD_SCHEMA = T.StructType(
@@ -28,16 +28,32 @@ _FOLD_SCHEMA = T.StructType(
 )
 
 
-def write_partials(cube: DataFrame, path: str, stream_id: str, batch_id: int) -> DataFrame:
-    """Store one batch's cube and return it as read back from storage.
+def write_partials(rows: DataFrame, path: str, stream_id: str, batch_id: int) -> DataFrame:
+    """Store a batch's cube and rejects; return the cube as read back from storage.
 
     What is derived from the returned rows neither parses the batch again nor
-    depends on cached blocks that go with a lost executor.
+    depends on cached blocks that go with a lost executor. Rejected lines have
+    no day, so each goes by its own text and a flood of them stays spread.
     """
     target = f"{path}/partials"
-    write_batch(cube, target, stream_id, batch_id, "order_minute")
-    spark = cube.sparkSession
-    return spark.read.schema(CUBE_SCHEMA).parquet(batch_path(target, stream_id, batch_id))
+    by = F.coalesce(order_date(F.col("order_minute")), F.col("value"))
+    write_batch(rows, target, stream_id, batch_id, by)
+    stored = rows.sparkSession.read.schema(LEDGER_SCHEMA).parquet(
+        batch_path(target, stream_id, batch_id)
+    )
+    return _cube_rows(stored)
+
+
+def _cube_rows(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("order_minute").isNotNull()).select(CUBE_SCHEMA.names)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct rejected lines of each batch, with reason and number of copies."""
+    rows = read_batches(spark, f"{path}/partials", LEDGER_SCHEMA)
+    return rows.filter(F.col("rejected") > 0).select(
+        "value", "reject_reason", "rejected", "stream_id", "batch_id"
+    )
 
 
 def _last_fold(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
@@ -54,7 +70,7 @@ def _last_fold(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
 
 def _unfolded(spark: SparkSession, path: str, through: dict[str, int]) -> DataFrame:
     """Batches newer than the fold; the condition prunes partition directories."""
-    rows = read_batches(spark, f"{path}/partials", CUBE_SCHEMA)
+    rows = read_batches(spark, f"{path}/partials", LEDGER_SCHEMA)
     for stream_id, batch_id in through.items():
         rows = rows.filter((F.col("stream_id") != stream_id) | (F.col("batch_id") > batch_id))
     return rows
@@ -67,7 +83,7 @@ def _folded(spark: SparkSession, path: str, generation: int) -> DataFrame:
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Rows to sum for running totals; any metric or report takes them."""
     generation, through = _last_fold(spark, path)
-    rows = _unfolded(spark, path, through).select(CUBE_SCHEMA.names)
+    rows = _cube_rows(_unfolded(spark, path, through))
     if generation:
         rows = rows.unionByName(_folded(spark, path, generation))
     return rows
@@ -79,8 +95,8 @@ def fold_ledger(spark: SparkSession, path: str) -> int:
     The newest batch may still be replayed, so it stays out. Readers use a new
     generation only once its line is in ``folds``, and that line is a single
     file written after the data; a fold that dies earlier changes nothing and
-    the next one writes the same generation again. One fold may run at a time,
-    and folded partials may be removed once no reader uses an older generation.
+    the next one writes the same generation again. One fold may run at a time.
+    Folded batches are no longer read for totals, only for their rejected lines.
     """
     generation, through = _last_fold(spark, path)
     rows = _unfolded(spark, path, through)
@@ -90,7 +106,7 @@ def fold_ledger(spark: SparkSession, path: str) -> int:
     older = F.lit(False)
     for stream_id, batch_id in reached.items():
         older = older | ((F.col("stream_id") == stream_id) & (F.col("batch_id") <= batch_id))
-    rows = rows.filter(older).select(CUBE_SCHEMA.names)
+    rows = _cube_rows(rows.filter(older))
     if rows.isEmpty():
         return generation
     if generation:

@@ -4,6 +4,7 @@ from topup_analytics.sources.lines import (
     batch_lines,
     kafka_lines,
     kafka_options,
+    spread,
     stream_lines,
 )
 from topup_analytics.sources.provinces import province_dim, province_file
@@ -14,5 +15,6 @@ __all__ = [
     "kafka_options",
     "province_dim",
     "province_file",
+    "spread",
     "stream_lines",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from topup_analytics.operators.once import with_columns_once
 from topup_analytics.schema import MARKER, PROVINCES
+from topup_analytics.sources.lines import spread
 
 STAMP = "yyyyMMddHHmmssSSS"
 OTHER_TYPE = "payNotifyReq"
@@ -16,7 +17,8 @@ PROVINCE_CODES = [code for code, _ in PROVINCES] + ["999", None]
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(events.select("event_id", "ts", "user_id", "event_type", "value"))
 
 
 def _defect(number: int) -> Column:

@@ -4,9 +4,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Share rows out to all cores if the scan would leave most of them idle.
+
+    Parsing is CPU work, and a few compressed files, or one small table, make
+    only a few tasks. Anything large has more tasks than a quarter of the cores
+    and is not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() * 4 <= cores:
+        return rows.repartition(cores)
+    return rows
+
+
 def batch_lines(spark: SparkSession, path: str) -> DataFrame:
     """Log files for a backfill; large uncompressed files are split between tasks."""
-    return spark.read.text(path).select("value")
+    return spread(spark.read.text(path).select("value"))
 
 
 def stream_lines(

@@ -5,16 +5,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from topup_analytics.operators import (
-    base_cube,
-    order_facts_of,
-    parse_orders,
-    rejected_orders,
-    with_province,
-)
+from topup_analytics.functions import order_date
+from topup_analytics.operators import cube_with_rejects, parse_orders, valid_orders
 from topup_analytics.schema import (
     FAILURE_SCHEMA,
     FAILURE_TABLE,
@@ -22,7 +16,7 @@ from topup_analytics.schema import (
     SUCCESS_TABLE,
 )
 from topup_analytics.sinks.batches import read_batches, write_batch
-from topup_analytics.sinks.ledger import read_ledger, write_partials
+from topup_analytics.sinks.ledger import read_ledger, read_rejects, write_partials
 from topup_analytics.sinks.tables import (
     failure_rows,
     failure_totals,
@@ -30,10 +24,6 @@ from topup_analytics.sinks.tables import (
     success_totals,
 )
 
-REJECT_SCHEMA = T.StructType(
-    [T.StructField("value", T.StringType()), T.StructField("reject_reason", T.StringType())]
-)
-
 # Takes a table's name, its rows, the stream and the batch.
 TableWriter = Callable[[str, DataFrame, str, int], None]
 
@@ -51,12 +41,9 @@ class StoredTables:
     def table(self, name: str) -> str:
         return f"{self.path}/{name}"
 
-    @property
-    def rejected(self) -> str:
-        return f"{self.path}/rejected"
-
     def write(self, name: str, rows: DataFrame, stream_id: str, batch_id: int) -> None:
-        write_batch(rows, self.table(name), stream_id, batch_id, "order_date")
+        by_day = order_date(F.col("order_date"))
+        write_batch(rows, self.table(name), stream_id, batch_id, by_day)
 
     def totals(self, spark: SparkSession) -> DataFrame:
         """Running totals of everything so far, for any metric or report."""
@@ -69,7 +56,7 @@ class StoredTables:
         return success_totals(read_batches(spark, self.table(SUCCESS_TABLE), SUCCESS_SCHEMA))
 
     def rejects(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.rejected, REJECT_SCHEMA)
+        return read_rejects(spark, self.ledger)
 
 
 def start_topup_stream(
@@ -83,41 +70,34 @@ def start_topup_stream(
 ) -> StreamingQuery:
     """Start the job; it resumes from ``checkpoint`` when that exists.
 
-    Each batch is parsed once and reduced to its base cube, and both append
-    tables are derived from the stored cube. Spark commits a batch only after
-    this has finished, and a repeated batch overwrites itself, so a crash
-    anywhere leaves every total as if nothing had happened. Batches are numbered
-    within a checkpoint, so they are stored under the id Spark keeps in it.
+    Each batch is read and parsed once and reduced to its base cube and its
+    rejected lines; both append tables are derived from the stored cube. Spark
+    commits a batch only after all that, and a repeated batch overwrites itself,
+    so a crash anywhere leaves every total as if nothing had happened. Batches
+    are numbered within a checkpoint, so they are stored under the id that
+    Spark keeps there.
 
     ``write_table`` replaces the Parquet append tables, say by a JDBC writer;
     its rows carry ``stream_id`` and ``batch_id``.
     """
     spark = lines.sparkSession
-    writer = write_table or tables.write
 
     def store(batch: DataFrame, batch_id: int) -> None:
         stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         parsed = parse_orders(batch)
-        if mode != "strict":
-            # Both the cube and the rejects read it; good lines need no raw text.
-            text = F.when(F.col("reject_reason").isNotNull(), F.col("value"))
-            parsed = parsed.withColumn("value", text).persist()
-        try:
-            cube = base_cube(with_province(order_facts_of(parsed, mode, missing_end)))
-            stored = write_partials(cube, tables.ledger, stream_id, batch_id)
-            for name, rows in (
-                (FAILURE_TABLE, failure_rows(stored)),
-                (SUCCESS_TABLE, success_rows(stored)),
-            ):
-                if write_table is not None:
-                    rows = rows.withColumns(
-                        {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id)}
-                    )
-                writer(name, rows, stream_id, batch_id)
-            if mode != "strict":
-                write_batch(rejected_orders(parsed), tables.rejected, stream_id, batch_id)
-        finally:
-            parsed.unpersist()
+        if mode == "strict":
+            parsed = valid_orders(parsed, mode)
+        cube = cube_with_rejects(parsed, missing_end)
+        stored = write_partials(cube, tables.ledger, stream_id, batch_id)
+        for name, rows in (
+            (FAILURE_TABLE, failure_rows(stored)),
+            (SUCCESS_TABLE, success_rows(stored)),
+        ):
+            if write_table is None:
+                tables.write(name, rows, stream_id, batch_id)
+            else:
+                ids = {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id)}
+                write_table(name, rows.withColumns(ids), stream_id, batch_id)
 
     return (
         lines.writeStream.foreachBatch(store)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from topup_analytics.functions import order_date
 from topup_analytics.sinks.batches import write_batch
 
 
@@ -24,7 +25,7 @@ def start_running_totals(
 
     def store(changed: DataFrame, batch_id: int) -> None:
         stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_batch(changed, path, stream_id, batch_id, time_key)
+        write_batch(changed, path, stream_id, batch_id, order_date(F.col(time_key)))
 
     return (
         totals.writeStream.outputMode("update")
