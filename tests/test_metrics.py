@@ -1,0 +1,100 @@
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from samples import brute_cube, line, random_lines
+from topup_analytics import operators as op
+from topup_analytics import plans
+from topup_analytics.schema import PROVINCES
+from topup_analytics.sinks import daily_fields_long, day_hash, day_hash_map, minute_fields
+from topup_analytics.sources import province_dim, province_file
+
+TEXTS = random_lines(1500, seed=2)
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    lines = spark.createDataFrame([(t,) for t in TEXTS], "value string")
+    return op.with_province(op.order_facts(lines)).cache()
+
+
+@pytest.fixture(scope="module")
+def cube(facts):
+    return op.base_cube(facts).cache()
+
+
+def rows(df):
+    rounded = [F.round(c, 4).alias(c) if t == "double" else c for c, t in df.dtypes]
+    return Counter(tuple(r) for r in df.select(*rounded).collect())
+
+
+@pytest.mark.parametrize(
+    "metric",
+    [
+        op.daily_summary,
+        op.orders_per_minute,
+        op.failures_by_hour_province,
+        op.success_by_minute_province,
+        plans.top_provinces,
+        plans.province_daily_success_rate,
+        plans.success_rate_formatted,
+        plans.hourly_recharge,
+        daily_fields_long,
+        minute_fields,
+        day_hash,
+    ],
+)
+def test_same_from_orders_and_from_the_cube(facts, cube, metric):
+    direct = rows(metric(facts))
+    assert direct == rows(metric(cube))
+    assert sum(direct.values()) > 0
+
+
+def test_zero_groups_stay(spark, lines):
+    facts = op.with_province(op.order_facts(lines([line(), line(result="1", province="200")])))
+    failures = {r.province: r.failures for r in op.failures_by_hour_province(facts).collect()}
+    successes = {r.province: r.suc_orders for r in op.success_by_minute_province(facts).collect()}
+    assert failures == {"北京": 0, "广东": 1}
+    assert successes == {"北京": 1, "广东": 0}
+
+
+def test_top_provinces(cube):
+    counts = Counter()
+    for (_, province), sums in brute_cube(TEXTS).items():
+        counts[province] += sums[0]
+    want = sorted(counts.items(), key=lambda item: (-item[1], item[0]))[:10]
+    assert [tuple(r) for r in plans.top_provinces(cube).collect()] == want
+
+
+def test_day_hash(cube):
+    hashes = {r.order_date: r.fields for r in day_hash_map(cube).collect()}
+    minutes = Counter()
+    for (minute, _), sums in brute_cube(TEXTS).items():
+        minutes[minute] += sums[0]
+    for day, fields in hashes.items():
+        of_day = {m[8:]: n for m, n in minutes.items() if m[:8] == day}
+        assert {f: v for f, v in fields.items() if not f.endswith("eachday")} == of_day
+        assert fields["orders_eachday"] == sum(of_day.values())
+    assert len(hashes) == 3
+
+
+def test_province_dim(spark):
+    assert [tuple(r) for r in province_dim(spark).collect()] == PROVINCES
+
+
+def test_province_file(spark, lines, tmp_path):
+    path = tmp_path / "city.txt"
+    path.write_text("100 Beijing\n200  Guang dong\n\n300\n100 Beijing\n", encoding="utf-8")
+    dim = province_file(spark, str(path))
+    assert sorted(tuple(r) for r in dim.collect()) == [("100", "Beijing"), ("200", "Guang dong")]
+    texts = [line(province=p) for p in ("100", "200", "300", None)]
+    named = op.with_province(op.order_facts(lines(texts)), dim)
+    got = sorted(r.province for r in named.collect())
+    assert got == ["Beijing", "Guang dong", "none", "none"]
+
+
+def test_tumbling_counts_match_minutes(facts):
+    assert rows(op.tumbling_counts(facts)) == rows(op.orders_per_minute(facts))
+    by_day = {r.order_minute[:8]: r.orders for r in op.tumbling_counts(facts, "1 day").collect()}
+    assert by_day == {r.order_date: r.orders for r in op.daily_summary(facts).collect()}
