@@ -326,10 +326,9 @@ def query_tumbling_minute_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def query_stream_rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily totals and the number of batches a limit of a quarter of the files gives."""
     tables = _streamed(spark, sf_dir)
-    batches = spark.read.parquet(f"{tables.ledger}/partials").agg(
-        F.count_distinct("batch_id").alias("batches")
-    )
-    return _daily(tables.totals(spark)).join(batches)
+    stored = spark.read.parquet(f"{tables.ledger}/partials")
+    batches = stored.agg(F.count_distinct("batch_id")).first()[0]
+    return _daily(tables.totals(spark)).withColumn("batches", F.lit(batches).cast("bigint"))
 
 
 def query_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
