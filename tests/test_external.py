@@ -1,6 +1,6 @@
 """The thin connectors: what they ask of Spark. No broker or database is run."""
 
-from topup_analytics.sinks import append_jdbc, publish_lines
+from topup_analytics.sinks import append_jdbc, jdbc_writer, publish_lines
 from topup_analytics.sources import kafka_lines, kafka_options, spread
 
 
@@ -64,6 +64,15 @@ def test_append_jdbc():
     ]
 
 
+def test_jdbc_writer():
+    rows = Recorder()
+    jdbc_writer("jdbc:x:y", {"user": "u"}, connections=2)("res4", rows, "s", 7)
+    properties = {"batchsize": "10000", "numPartitions": "2", "user": "u"}
+    assert rows.calls[1] == (
+        "jdbc", ("jdbc:x:y", "res4"), {"mode": "append", "properties": properties},
+    )
+
+
 def test_spread(spark):
     cores = spark.sparkContext.defaultParallelism
     small, large = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, cores)

@@ -1,0 +1 @@
+"""Analytics of mobile top-up order logs on Spark."""

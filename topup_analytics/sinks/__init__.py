@@ -1,7 +1,7 @@
 """Stored results: the partials ledger, append tables, day hashes, JDBC, Kafka."""
 
 from topup_analytics.sinks.batches import batch_path, read_batches, write_batch
-from topup_analytics.sinks.external import append_jdbc, publish_lines
+from topup_analytics.sinks.external import append_jdbc, jdbc_writer, publish_lines
 from topup_analytics.sinks.hashes import (
     daily_fields_long,
     day_hash,
@@ -10,7 +10,6 @@ from topup_analytics.sinks.hashes import (
 )
 from topup_analytics.sinks.ledger import fold_ledger, read_ledger, read_rejects, write_partials
 from topup_analytics.sinks.tables import (
-    distinct_totals,
     failure_rows,
     failure_totals,
     success_rows,
@@ -23,10 +22,10 @@ __all__ = [
     "daily_fields_long",
     "day_hash",
     "day_hash_map",
-    "distinct_totals",
     "failure_rows",
     "failure_totals",
     "fold_ledger",
+    "jdbc_writer",
     "minute_fields",
     "publish_lines",
     "read_batches",

@@ -26,22 +26,28 @@ def success_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def distinct_totals(partials: DataFrame, measures: list[str]) -> DataFrame:
-    """Sum appended partials, counting a batch once even if it was appended twice.
-
-    A replayed batch has the same keys and, up to rounding, the same measures,
-    so one row per batch and key is kept.
-    """
+def _totals(partials: DataFrame, measures: list[str], may_repeat: bool) -> DataFrame:
     keys = ["order_date", "province"]
-    once = partials.groupBy("stream_id", "batch_id", *keys).agg(
-        F.max(F.struct(*measures)).alias("row")
-    )
-    return once.groupBy(*keys).agg(*[F.sum(f"row.{m}").alias(m) for m in measures])
-
-
-def failure_totals(partials: DataFrame) -> DataFrame:
-    return distinct_totals(partials, ["counts"])
+    if may_repeat:
+        partials = (
+            partials.groupBy("stream_id", "batch_id", *keys)
+            .agg(F.max(F.struct(*measures)).alias("row"))
+            .select(*keys, "row.*")
+        )
+    return partials.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def failure_totals(partials: DataFrame, may_repeat: bool = False) -> DataFrame:
+    """Sum the batches' failure rows.
+
+    A replayed batch overwrites itself in a Parquet table. A table that can only
+    be appended to may hold it twice: ``may_repeat`` keeps one row for each
+    batch and key, since a replay has the same keys and, up to rounding, the
+    same measures.
+    """
+    return _totals(partials, ["counts"], may_repeat)
 
 
-def success_totals(partials: DataFrame) -> DataFrame:
-    return distinct_totals(partials, ["isCharged", "chargeFee"])
+def success_totals(partials: DataFrame, may_repeat: bool = False) -> DataFrame:
+    """Sum the batches' success rows, likewise."""
+    return _totals(partials, ["isCharged", "chargeFee"], may_repeat)

@@ -23,6 +23,7 @@ from topup_analytics.sinks.tables import (
     success_rows,
     success_totals,
 )
+from topup_analytics.streaming.identity import stream_id
 
 # Takes a table's name, its rows, the stream and the batch.
 TableWriter = Callable[[str, DataFrame, str, int], None]
@@ -73,9 +74,7 @@ def start_topup_stream(
     Each batch is read and parsed once and reduced to its base cube and its
     rejected lines; both append tables are derived from the stored cube. Spark
     commits a batch only after all that, and a repeated batch overwrites itself,
-    so a crash anywhere leaves every total as if nothing had happened. Batches
-    are numbered within a checkpoint, so they are stored under the id that
-    Spark keeps there.
+    so a crash anywhere leaves every total as if nothing had happened.
 
     ``write_table`` replaces the Parquet append tables, say by a JDBC writer;
     its rows carry ``stream_id`` and ``batch_id``.
@@ -83,21 +82,21 @@ def start_topup_stream(
     spark = lines.sparkSession
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        stream = stream_id(spark)
         parsed = parse_orders(batch)
         if mode == "strict":
             parsed = valid_orders(parsed, mode)
         cube = cube_with_rejects(parsed, missing_end)
-        stored = write_partials(cube, tables.ledger, stream_id, batch_id)
+        stored = write_partials(cube, tables.ledger, stream, batch_id)
         for name, rows in (
             (FAILURE_TABLE, failure_rows(stored)),
             (SUCCESS_TABLE, success_rows(stored)),
         ):
             if write_table is None:
-                tables.write(name, rows, stream_id, batch_id)
+                tables.write(name, rows, stream, batch_id)
             else:
-                ids = {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id)}
-                write_table(name, rows.withColumns(ids), stream_id, batch_id)
+                ids = {"stream_id": F.lit(stream), "batch_id": F.lit(batch_id)}
+                write_table(name, rows.withColumns(ids), stream, batch_id)
 
     return (
         lines.writeStream.foreachBatch(store)

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from topup_analytics.functions import order_date
 from topup_analytics.sinks.batches import write_batch
+from topup_analytics.streaming.identity import stream_id
 
 
 def start_running_totals(
@@ -24,8 +25,7 @@ def start_running_totals(
     spark = totals.sparkSession
 
     def store(changed: DataFrame, batch_id: int) -> None:
-        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_batch(changed, path, stream_id, batch_id, order_date(F.col(time_key)))
+        write_batch(changed, path, stream_id(spark), batch_id, order_date(F.col(time_key)))
 
     return (
         totals.writeStream.outputMode("update")
