@@ -10,12 +10,12 @@ from topup_analytics.operators import base_cube, order_facts, rollup, tumbling_c
 from topup_analytics.schema import FAILURE_TABLE, SUCCESS_TABLE
 from topup_analytics.sinks import failure_totals, fold_ledger, read_ledger
 from topup_analytics.sinks.ledger import _last_fold
-from topup_analytics.sources import stream_lines
+from topup_analytics.sources import batch_lines, stream_lines
 from topup_analytics.streaming import (
     StoredTables,
+    TopupJob,
     latest_totals,
     start_running_totals,
-    start_topup_stream,
 )
 
 ONCE = {"availableNow": True}
@@ -42,9 +42,8 @@ class Home:
 
     def run(self, files_per_trigger=1, checkpoint="checkpoint", **options):
         lines = stream_lines(self.spark, str(self.log), files_per_trigger)
-        query = start_topup_stream(
-            lines, self.tables, str(self.path / checkpoint), trigger=ONCE, **options
-        )
+        job = TopupJob(self.tables, **options)
+        query = job.start(lines, str(self.path / checkpoint), ONCE)
         query.awaitTermination()
         return query
 
@@ -283,6 +282,11 @@ def test_watermark_drops_what_is_too_late(home, spark):
     assert results["1 minute"] == {"202403011000": 1, "202403011005": 3}
 
 
+def tables_orders(home):
+    rows = rollup(home.tables.totals(home.spark), ["province"], ["orders"])
+    return [tuple(r) for r in rows.collect()]
+
+
 def test_command_line(home, spark):
     from topup_analytics.__main__ import main
 
@@ -296,5 +300,34 @@ def test_command_line(home, spark):
         main(command)
         main(["fold", "--out", home.tables.path])
     check_tables(home, TEXTS)
+    provinces = home.path / "provinces.txt"
+    provinces.write_text("100 One\n", encoding="utf-8")
+    main(["backfill", "--files", str(home.log), "--name", "again", "--provinces", str(provinces),
+          "--out", home.tables.path])
+    got = dict(tables_orders(home))
+    assert got["One"] == got["北京"]
     with pytest.raises(SystemExit):
         main(["stream", "--kafka", "host:9092", "--out", "o", "--checkpoint", "c"])
+
+
+def test_backfill(home, spark):
+    streamed, filled = chunks(TEXTS, 2, 0)
+    home.add(streamed)
+    home.run()
+    old = home.path / "old"
+    old.mkdir()
+    (old / "a.json").write_text("".join(t + "\n" for t in filled + BAD), encoding="utf-8")
+    job = TopupJob(home.tables)
+    for _ in range(2):
+        job.backfill(batch_lines(spark, str(old)), "2024-02")
+    check_tables(home, TEXTS)
+    assert home.tables.rejects(spark).agg(F.sum("rejected")).first()[0] == 3
+    with pytest.raises(ValueError):
+        job.backfill(batch_lines(spark, str(old)), "a/b")
+
+
+def test_own_provinces(home, spark):
+    home.add([line(province="7"), line(province="100")])
+    dim = spark.sql("SELECT '7' AS province_code, 'Seven' AS province")
+    home.run(provinces=dim)
+    assert {province for _, province in home.cube()} == {"Seven", "none"}

@@ -58,7 +58,9 @@ def base_cube(rows: DataFrame) -> DataFrame:
     return rollup(rows, ["order_minute", "province"], MEASURES)
 
 
-def cube_with_rejects(parsed: DataFrame, missing_end: str = "null") -> DataFrame:
+def cube_with_rejects(
+    parsed: DataFrame, missing_end: str = "null", dim: DataFrame | None = None
+) -> DataFrame:
     """The base cube of parsed lines and, in the same pass, their rejected lines.
 
     A rejected line is a group of its own, without key or measures, and
@@ -66,7 +68,7 @@ def cube_with_rejects(parsed: DataFrame, missing_end: str = "null") -> DataFrame
     has to be run twice to get both. Copies combine before the shuffle.
     """
     good = F.col("reject_reason").isNull()
-    located = with_province(with_measures(parsed, missing_end))
+    located = with_province(with_measures(parsed, missing_end), dim)
     rows = located.select(
         F.when(good, F.col("order_minute")).alias("order_minute"),
         F.when(good, F.col("province")).alias("province"),

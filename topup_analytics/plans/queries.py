@@ -49,9 +49,9 @@ from topup_analytics.sources import batch_lines, stream_lines
 from topup_analytics.sources.events import event_lines, read_events
 from topup_analytics.streaming import (
     StoredTables,
+    TopupJob,
     latest_totals,
     start_running_totals,
-    start_topup_stream,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,7 +238,7 @@ def _run(spark: SparkSession, home: str, files_per_trigger: int | None = None) -
     """Run the job over the log below ``home`` until it has read all of it."""
     tables = StoredTables(f"{home}/out")
     lines = stream_lines(spark, f"{home}/log", files_per_trigger)
-    start_topup_stream(lines, tables, f"{home}/checkpoint", trigger=ONCE).awaitTermination()
+    TopupJob(tables).start(lines, f"{home}/checkpoint", ONCE).awaitTermination()
     return tables
 
 
@@ -364,9 +364,8 @@ def query_stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFram
 
     lines = stream_lines(spark, f"{home}/log", limit)
     try:
-        start_topup_stream(
-            lines, tables, f"{home}/checkpoint", trigger=ONCE, write_table=crash
-        ).awaitTermination()
+        job = TopupJob(tables, write_table=crash)
+        job.start(lines, f"{home}/checkpoint", ONCE).awaitTermination()
     except StreamingQueryException:
         pass
     _run(spark, home, limit)

@@ -1,11 +1,11 @@
 """Structured Streaming jobs over raw log lines."""
 
-from topup_analytics.streaming.job import StoredTables, start_topup_stream
+from topup_analytics.streaming.job import StoredTables, TopupJob
 from topup_analytics.streaming.running import latest_totals, start_running_totals
 
 __all__ = [
     "StoredTables",
+    "TopupJob",
     "latest_totals",
     "start_running_totals",
-    "start_topup_stream",
 ]

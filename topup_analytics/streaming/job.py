@@ -1,5 +1,6 @@
 """The top-up job: log lines in, ledger, append tables and rejected lines out."""
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -60,47 +61,59 @@ class StoredTables:
         return read_rejects(spark, self.ledger)
 
 
-def start_topup_stream(
-    lines: DataFrame,
-    tables: StoredTables,
-    checkpoint: str,
-    mode: str = "quarantine",
-    missing_end: str = "null",
-    trigger: dict | None = None,
-    write_table: TableWriter | None = None,
-) -> StreamingQuery:
-    """Start the job; it resumes from ``checkpoint`` when that exists.
-
-    Each batch is read and parsed once and reduced to its base cube and its
-    rejected lines; both append tables are derived from the stored cube. Spark
-    commits a batch only after all that, and a repeated batch overwrites itself,
-    so a crash anywhere leaves every total as if nothing had happened.
+@dataclass(frozen=True)
+class TopupJob:
+    """What to do with the lines of one batch, streamed or not.
 
     ``write_table`` replaces the Parquet append tables, say by a JDBC writer;
-    its rows carry ``stream_id`` and ``batch_id``.
+    its rows carry ``stream_id`` and ``batch_id``. ``provinces`` replaces the
+    built-in dimension.
     """
-    spark = lines.sparkSession
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        stream = stream_id(spark)
-        parsed = parse_orders(batch)
-        if mode == "strict":
-            parsed = valid_orders(parsed, mode)
-        cube = cube_with_rejects(parsed, missing_end)
-        stored = write_partials(cube, tables.ledger, stream, batch_id)
+
+    tables: StoredTables
+    mode: str = "quarantine"
+    missing_end: str = "null"
+    write_table: TableWriter | None = None
+    provinces: DataFrame | None = None
+
+    def store(self, lines: DataFrame, stream: str, batch_id: int) -> None:
+        """Read and parse the lines once, store their cube and rejects, and derive the rest."""
+        parsed = parse_orders(lines)
+        if self.mode != "quarantine":
+            parsed = valid_orders(parsed, self.mode)
+        cube = cube_with_rejects(parsed, self.missing_end, self.provinces)
+        stored = write_partials(cube, self.tables.ledger, stream, batch_id)
         for name, rows in (
             (FAILURE_TABLE, failure_rows(stored)),
             (SUCCESS_TABLE, success_rows(stored)),
         ):
-            if write_table is None:
-                tables.write(name, rows, stream, batch_id)
+            if self.write_table is None:
+                self.tables.write(name, rows, stream, batch_id)
             else:
                 ids = {"stream_id": F.lit(stream), "batch_id": F.lit(batch_id)}
-                write_table(name, rows.withColumns(ids), stream, batch_id)
-
-    return (
-        lines.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "5 seconds"}))
-        .start()
-    )
+                self.write_table(name, rows.withColumns(ids), stream, batch_id)
+
+    def start(
+        self, lines: DataFrame, checkpoint: str, trigger: dict | None = None
+    ) -> StreamingQuery:
+        """Run as a stream; it resumes from ``checkpoint`` when that exists.
+
+        Spark commits a batch only after everything of it is stored, and a
+        repeated batch overwrites itself, so a crash anywhere leaves every total
+        as if nothing had happened.
+        """
+        spark = lines.sparkSession
+        return (
+            lines.writeStream.foreachBatch(
+                lambda batch, batch_id: self.store(batch, stream_id(spark), batch_id)
+            )
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "5 seconds"}))
+            .start()
+        )
+
+    def backfill(self, lines: DataFrame, name: str) -> None:
+        """Add the lines of a batch source; again under the same name replaces them."""
+        if not re.fullmatch(r"[A-Za-z0-9_-]+", name):
+            raise ValueError(f"not a plain name: {name!r}")
+        self.store(lines, f"backfill-{name}", 0)
