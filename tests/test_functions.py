@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timezone
 
 import pytest
@@ -33,6 +34,27 @@ def test_epoch_millis(spark):
     assert got == [(round(moment.timestamp() * 1000),)] * 2 + [(None,)] * len(bad)
 
 
+def test_epoch_millis_against_plain_parsing(spark):
+    """Random digits, about half of them no real time."""
+    rng = random.Random(5)
+    two = lambda top: f"{rng.randrange(top):02d}"
+    stamps = [
+        f"{rng.randrange(1900, 2100)}{two(14)}{two(33)}{two(26)}{two(62)}{two(62)}{rng.randrange(1000):03d}"
+        for _ in range(5000)
+    ]
+    want = []
+    for stamp in stamps:
+        try:
+            moment = datetime.strptime(stamp[:14], "%Y%m%d%H%M%S").replace(tzinfo=timezone.utc)
+            # Python reads a 61st second; a clock has none.
+            seconds = None if stamp[12:14] > "59" else round(moment.timestamp())
+        except ValueError:
+            seconds = None
+        want.append((None if seconds is None else seconds * 1000 + int(stamp[14:]),))
+    assert values(spark, stamps, fn.epoch_millis(F.col("x"))) == want
+    assert 1000 < sum(w != (None,) for w in want) < 4900
+
+
 def test_epoch_millis_ignores_session_zone(spark):
     """Across a daylight-saving change an hour still has an hour."""
     stamps = ["20240310013000000", "20240310023000000", "20240310033000000"]

@@ -14,6 +14,7 @@ from topup_analytics.operators import (
     valid_orders,
     with_province,
 )
+from topup_analytics.sources import batch_lines
 
 
 def reasons(lines, texts):
@@ -77,6 +78,40 @@ def test_reject_reasons(lines):
     assert reasons(lines, list(cases)) == list(cases.values())
 
 
+def test_numbers_read_as_text(lines):
+    text = (
+        '{"x":"reChargeNotifyReq","requestId":20170412030031554,"bussinessRst":"0000",'
+        '"chargefee":7,"provinceCode":100,"receiveNotifyTime":20170412030032554}'
+    )
+    (row,) = with_province(order_facts(lines([text]))).collect()
+    assert (row.order_minute, row.province, row.amount, row.cost_time_ms) == (
+        "201704120300", "北京", 7.0, 1000,
+    )
+
+
+def test_hostile_lines_are_rejected_not_fatal(spark, tmp_path):
+    """No line, whatever its bytes, may stop the job."""
+    sound = line().encode()
+    hostile = {
+        "broken utf-8 in an order field": sound.replace(b"0000", b"\xff\xfe\xc3("),
+        "broken utf-8 in a name": sound.replace(b"requestId", b"request\xc3("),
+        "nul": sound.replace(b'"0000"', b'"00\x0000"'),
+        "deep": b'{"a":' + b"[" * 5000 + b"]" * 5000 + b',"x":"reChargeNotifyReq"}',
+        "huge number": sound.replace(b'"10"', b"1e999999999"),
+        "long number": sound.replace(b'"10"', b"9" * 5000),
+        "lone surrogate": sound.replace(b'"0000"', b'"\\ud800"'),
+        "long field": sound.replace(b'"0000"', b'"' + b"0" * 3_000_000 + b'"'),
+        "empty object": b"{} reChargeNotifyReq",
+    }
+    path = tmp_path / "log.txt"
+    path.write_bytes(b"\n".join([*hostile.values(), sound]) + b"\n")
+    parsed = parse_orders(batch_lines(spark, str(path))).cache()
+    assert parsed.count() == len(hostile) + 1
+    kept = daily_summary(order_facts(batch_lines(spark, str(path)))).collect()
+    assert kept[0].orders >= 1
+    assert rejected_orders(parsed).count() + kept[0].orders == len(hostile) + 1
+
+
 def test_rejects_keep_the_whole_line(lines):
     text = line(fee="z" * 100_000)
     (row,) = rejected_orders(parse_orders(lines([text]))).collect()

@@ -174,6 +174,16 @@ def test_empty_batch(home):
     check_tables(home, TEXTS)
 
 
+def test_broken_bytes_do_not_stop_the_stream(home, spark):
+    home.add(TEXTS)
+    broken = line().encode().replace(b"requestId", b"request\xc3(") + b"\n"
+    (home.log / "broken.json").write_bytes(broken * 2)
+    home.run()
+    check_tables(home, TEXTS)
+    (reject,) = home.tables.rejects(spark).collect()
+    assert reject.rejected == 2
+
+
 def test_append_only_writer_is_counted_once(home, spark):
     """A sink that can only append, as JDBC, with a crash in between."""
     for chunk in chunks(TEXTS, 3, 0):

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 MARKER = "reChargeNotifyReq"
 SUCCESS_CODE = "0000"
 
-# The only fields of a log line that any metric reads.
+# The only fields of a log line that any metric reads.
 ORDER_SCHEMA = T.StructType(
     [
         T.StructField("requestId", T.StringType()),
@@ -88,7 +88,7 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
-# Stored layouts of the two append tables.
+# Names and columns of the two append tables.
 FAILURE_TABLE = "failure_perdayprov"
 FAILURE_SCHEMA = T.StructType(
     [
