@@ -1,5 +1,6 @@
 import os
 import random
+import re
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -231,6 +232,18 @@ def test_fold_changes_no_total(home, spark):
     }
 
 
+def test_totals_read_only_what_they_need(home, spark):
+    for chunk in chunks(TEXTS, 3, 0):
+        home.add(chunk)
+    home.run()
+    fold_ledger(spark, home.tables.ledger)
+    totals = home.tables.totals(spark)
+    plan = totals.groupBy().sum("orders")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*batch_id#\d+L > 1", plan)
+    assert "IsNotNull(order_minute)" in plan
+    assert "amount" not in plan and "value#" not in plan
+
+
 def test_unpublished_fold_is_ignored(home, spark):
     for chunk in chunks(TEXTS, 3, 0):
         home.add(chunk)

@@ -1,6 +1,6 @@
 """Stored results: the partials ledger, append tables, day hashes, JDBC, Kafka."""
 
-from topup_analytics.sinks.batches import batch_path, read_batches, write_batch
+from topup_analytics.sinks.batches import batch_path, by_day, read_batches, write_batch
 from topup_analytics.sinks.external import append_jdbc, jdbc_writer, publish_lines
 from topup_analytics.sinks.hashes import (
     daily_fields_long,
@@ -19,6 +19,7 @@ from topup_analytics.sinks.tables import (
 __all__ = [
     "append_jdbc",
     "batch_path",
+    "by_day",
     "daily_fields_long",
     "day_hash",
     "day_hash_map",

@@ -4,9 +4,12 @@ A batch that is replayed after a crash overwrites its own directory, so it is
 counted once however often it runs.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topup_analytics.functions import order_date
+
 BATCH_COLUMNS = [
     T.StructField("stream_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
@@ -17,17 +20,18 @@ def batch_path(path: str, stream_id: str, batch_id: int) -> str:
     return f"{path}/stream_id={stream_id}/batch_id={batch_id}"
 
 
-def write_batch(
-    rows: DataFrame, path: str, stream_id: str, batch_id: int, by: Column
-) -> None:
-    """Write, or write again, the rows of one batch, gathered by ``by``.
+def by_day(rows: DataFrame, time_key: str) -> DataFrame:
+    """Gather an aggregate by event day, so that it is written as one small file per
+    day it touches and not one per shuffle partition.
 
-    Gathering by event day leaves one small file per day that a batch touches
-    instead of one per shuffle partition; a day holds at most 46,080 rows of the
-    finest table.
+    A day holds at most 46,080 rows of the finest table.
     """
-    gathered = rows.repartition(by)
-    gathered.write.mode("overwrite").parquet(batch_path(path, stream_id, batch_id))
+    return rows.repartition(order_date(F.col(time_key)))
+
+
+def write_batch(rows: DataFrame, path: str, stream_id: str, batch_id: int) -> None:
+    """Write, or write again, the rows of one batch."""
+    rows.write.mode("overwrite").parquet(batch_path(path, stream_id, batch_id))
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

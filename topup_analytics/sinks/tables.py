@@ -3,22 +3,22 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topup_analytics.operators.rollups import (
-    failures_by_hour_province,
-    success_by_minute_province,
-)
+from topup_analytics.operators.rollups import failures_by_hour_province
 
 
-def failure_rows(rows: DataFrame) -> DataFrame:
+def failure_rows(cube: DataFrame) -> DataFrame:
     """Failures per hour and province as ``(order_date, province, counts)``."""
-    return failures_by_hour_province(rows).select(
+    return failures_by_hour_province(cube).select(
         F.col("order_hour").alias("order_date"), "province", F.col("failures").alias("counts")
     )
 
 
-def success_rows(rows: DataFrame) -> DataFrame:
-    """Successes per minute and province as ``(order_date, province, isCharged, chargeFee)``."""
-    return success_by_minute_province(rows).select(
+def success_rows(cube: DataFrame) -> DataFrame:
+    """Successes of a cube as ``(order_date, province, isCharged, chargeFee)``.
+
+    A cube has one row per minute and province already, so this is a projection.
+    """
+    return cube.select(
         F.col("order_minute").alias("order_date"),
         "province",
         F.col("suc_orders").alias("isCharged"),

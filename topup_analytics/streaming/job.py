@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from topup_analytics.functions import order_date
 from topup_analytics.operators import cube_with_rejects, parse_orders, valid_orders
 from topup_analytics.schema import (
     FAILURE_SCHEMA,
@@ -16,7 +15,7 @@ from topup_analytics.schema import (
     SUCCESS_SCHEMA,
     SUCCESS_TABLE,
 )
-from topup_analytics.sinks.batches import read_batches, write_batch
+from topup_analytics.sinks.batches import by_day, read_batches, write_batch
 from topup_analytics.sinks.ledger import read_ledger, read_rejects, write_partials
 from topup_analytics.sinks.tables import (
     failure_rows,
@@ -44,8 +43,7 @@ class StoredTables:
         return f"{self.path}/{name}"
 
     def write(self, name: str, rows: DataFrame, stream_id: str, batch_id: int) -> None:
-        by_day = order_date(F.col("order_date"))
-        write_batch(rows, self.table(name), stream_id, batch_id, by_day)
+        write_batch(rows, self.table(name), stream_id, batch_id)
 
     def totals(self, spark: SparkSession) -> DataFrame:
         """Running totals of everything so far, for any metric or report."""
@@ -84,7 +82,7 @@ class TopupJob:
         cube = cube_with_rejects(parsed, self.missing_end, self.provinces)
         stored = write_partials(cube, self.tables.ledger, stream, batch_id)
         for name, rows in (
-            (FAILURE_TABLE, failure_rows(stored)),
+            (FAILURE_TABLE, by_day(failure_rows(stored), "order_date")),
             (SUCCESS_TABLE, success_rows(stored)),
         ):
             if self.write_table is None:

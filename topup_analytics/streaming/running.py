@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from topup_analytics.functions import order_date
-from topup_analytics.sinks.batches import write_batch
+from topup_analytics.sinks.batches import by_day, write_batch
 from topup_analytics.streaming.identity import stream_id
 
 
@@ -25,7 +24,7 @@ def start_running_totals(
     spark = totals.sparkSession
 
     def store(changed: DataFrame, batch_id: int) -> None:
-        write_batch(changed, path, stream_id(spark), batch_id, order_date(F.col(time_key)))
+        write_batch(by_day(changed, time_key), path, stream_id(spark), batch_id)
 
     return (
         totals.writeStream.outputMode("update")
