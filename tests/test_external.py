@@ -1,7 +1,9 @@
 """The thin connectors: what they ask of Spark. No broker or database is run."""
 
+from samples import line
+from topup_analytics.operators import daily_summary, order_facts
 from topup_analytics.sinks import append_jdbc, jdbc_writer, publish_lines
-from topup_analytics.sources import kafka_lines, kafka_options, spread
+from topup_analytics.sources import kafka_lines, kafka_options, record_lines, spread
 
 
 class Recorder:
@@ -42,6 +44,20 @@ def test_kafka_lines(spark):
         ]
 
 
+def test_record_lines(spark):
+    """Rows of the Kafka source's schema, one of them without a value."""
+    schema = (
+        "key binary, value binary, topic string, partition int, offset bigint, "
+        "timestamp timestamp, timestampType int"
+    )
+    text = line()
+    values = [text.encode(), None]
+    rows = [(None, bytearray(v) if v else None, "orders", 0, n, None, 0) for n, v in enumerate(values)]
+    lines = record_lines(spark.createDataFrame(rows, schema))
+    assert [r.value for r in lines.collect()] == [text, None]
+    assert daily_summary(order_facts(lines)).first().orders == 1
+
+
 def test_publish_lines():
     lines = Recorder()
     publish_lines(lines, "host:9092", "orders")

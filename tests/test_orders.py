@@ -78,6 +78,13 @@ def test_reject_reasons(lines):
     assert reasons(lines, list(cases)) == list(cases.values())
 
 
+def test_loosely_written_lines(lines):
+    tab = line().replace('"10"', '"10","note":"a\tb"')
+    zeros = line().replace('"0000"', "0000")
+    facts = order_facts(lines([tab, zeros])).collect()
+    assert [(r.orders, r.suc_orders, r.failures) for r in facts] == [(1, 1, 0), (1, 0, 1)]
+
+
 def test_numbers_read_as_text(lines):
     text = (
         '{"x":"reChargeNotifyReq","requestId":20170412030031554,"bussinessRst":"0000",'

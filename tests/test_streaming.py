@@ -349,6 +349,19 @@ def test_backfill(home, spark):
         job.backfill(batch_lines(spark, str(old)), "a/b")
 
 
+def test_wrong_settings_fail_at_once(tmp_path):
+    for wrong in ({"mode": "other"}, {"missing_end": "other"}):
+        with pytest.raises(ValueError):
+            TopupJob(StoredTables(str(tmp_path)), **wrong)
+
+
+def test_epoch_end_in_the_stream(home):
+    home.add([line(done=None)])
+    home.run(missing_end="epoch")
+    ((_, _, _, _, cost),) = home.cube().values()
+    assert cost == -1491966031554
+
+
 def test_own_provinces(home, spark):
     home.add([line(province="7"), line(province="100")])
     dim = spark.sql("SELECT '7' AS province_code, 'Seven' AS province")

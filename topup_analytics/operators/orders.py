@@ -24,6 +24,14 @@ _WRAPPED = T.StructType(
     [T.StructField("line", ORDER_SCHEMA), T.StructField("_corrupt_record", T.StringType())]
 )
 
+# What loosely written logs contain. A result code written as the number 0000 is
+# the number 0, not the success code.
+_LENIENT = {
+    "allowUnquotedFieldNames": "true",
+    "allowUnquotedControlChars": "true",
+    "allowNumericLeadingZeros": "true",
+}
+
 
 def recharge_lines(lines: DataFrame) -> DataFrame:
     """Lines whose raw text holds the recharge marker, in whatever field."""
@@ -38,7 +46,7 @@ def parse_orders(lines: DataFrame) -> DataFrame:
     metrics, so their totals agree with each other.
     """
     wrapped = F.concat(F.lit('{"line":'), F.col("value"), F.lit("}"))
-    decoded = F.from_json(wrapped, _WRAPPED, {"allowUnquotedFieldNames": "true"})
+    decoded = F.from_json(wrapped, _WRAPPED, _LENIENT)
     parsed = with_columns_once(recharge_lines(lines).select("value"), decoded=decoded).select(
         "value",
         "decoded.line.*",

@@ -4,6 +4,7 @@ from topup_analytics.sources.lines import (
     batch_lines,
     kafka_lines,
     kafka_options,
+    record_lines,
     spread,
     stream_lines,
 )
@@ -15,6 +16,7 @@ __all__ = [
     "kafka_options",
     "province_dim",
     "province_file",
+    "record_lines",
     "spread",
     "stream_lines",
 ]

@@ -56,8 +56,12 @@ def kafka_options(
     return options
 
 
+def record_lines(records: DataFrame) -> DataFrame:
+    """The values of Kafka records as text."""
+    return records.select(F.col("value").cast("string").alias("value"))
+
+
 def kafka_lines(spark: SparkSession, options: dict[str, str], stream: bool = True) -> DataFrame:
-    """Values of Kafka records as text. Needs the spark-sql-kafka connector."""
+    """Lines of a topic. Needs the spark-sql-kafka connector."""
     reader = spark.readStream if stream else spark.read
-    records = reader.format("kafka").options(**options).load()
-    return records.select(F.col("value").cast("string").alias("value"))
+    return record_lines(reader.format("kafka").options(**options).load())

@@ -74,11 +74,17 @@ class TopupJob:
     write_table: TableWriter | None = None
     provinces: DataFrame | None = None
 
+    def __post_init__(self) -> None:
+        if self.mode not in ("quarantine", "strict"):
+            raise ValueError(f"mode must be 'quarantine' or 'strict', not {self.mode!r}")
+        if self.missing_end not in ("null", "epoch"):
+            raise ValueError(f"missing_end must be 'null' or 'epoch', not {self.missing_end!r}")
+
     def store(self, lines: DataFrame, stream: str, batch_id: int) -> None:
         """Read and parse the lines once, store their cube and rejects, and derive the rest."""
         parsed = parse_orders(lines)
-        if self.mode != "quarantine":
-            parsed = valid_orders(parsed, self.mode)
+        if self.mode == "strict":
+            parsed = valid_orders(parsed, "strict")
         cube = cube_with_rejects(parsed, self.missing_end, self.provinces)
         stored = write_partials(cube, self.tables.ledger, stream, batch_id)
         for name, rows in (
