@@ -256,8 +256,11 @@ def test_unpublished_fold_is_ignored(home, spark):
 
 
 def test_fold_of_one_batch_waits(home, spark):
+    assert _last_fold(spark, home.tables.ledger) == (0, {})
     home.add(TEXTS)
     home.run()
+    home.run(checkpoint="another")
+    assert spark.read.json(f"{home.tables.ledger}/folds").count() == 1
     assert fold_ledger(spark, home.tables.ledger) == 0
 
 

@@ -8,7 +8,13 @@ from topup_analytics.sinks.hashes import (
     day_hash_map,
     minute_fields,
 )
-from topup_analytics.sinks.ledger import fold_ledger, read_ledger, read_rejects, write_partials
+from topup_analytics.sinks.ledger import (
+    fold_ledger,
+    open_ledger,
+    read_ledger,
+    read_rejects,
+    write_partials,
+)
 from topup_analytics.sinks.tables import (
     failure_rows,
     failure_totals,
@@ -28,6 +34,7 @@ __all__ = [
     "fold_ledger",
     "jdbc_writer",
     "minute_fields",
+    "open_ledger",
     "publish_lines",
     "read_batches",
     "read_ledger",

@@ -10,10 +10,10 @@ Layout below the ledger's path::
     folds                             one small file per published generation
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from topup_analytics.functions import order_date
 from topup_analytics.operators.rollups import base_cube
@@ -56,18 +56,35 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _last_fold(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
-    """The newest published generation and the last batch it holds of each stream."""
+def _newest_fold(spark: SparkSession, path: str) -> Row | None:
     try:
         folds = spark.read.schema(_FOLD_SCHEMA).json(f"{path}/folds")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return 0, {}
-    newest = folds.orderBy(F.desc("generation")).first()
+        return None
+    return folds.orderBy(F.desc("generation")).first()
+
+
+def _last_fold(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
+    """The newest published generation and the last batch it holds of each stream."""
+    newest = _newest_fold(spark, path)
     return (newest["generation"], newest["through"]) if newest else (0, {})
 
 
+def _publish_fold(
+    spark: SparkSession, path: str, generation: int, through: dict[str, int]
+) -> None:
+    line = spark.createDataFrame([(generation, through)], _FOLD_SCHEMA)
+    line.coalesce(1).write.mode("append").json(f"{path}/folds")
+
+
+def open_ledger(spark: SparkSession, path: str) -> None:
+    """Publish generation 0, which holds nothing, unless there is one already."""
+    if _newest_fold(spark, path) is None:
+        _publish_fold(spark, path, 0, {})
+
+
 def _unfolded(spark: SparkSession, path: str, through: dict[str, int]) -> DataFrame:
     """Batches newer than the fold; the condition prunes partition directories."""
     rows = read_batches(spark, f"{path}/partials", LEDGER_SCHEMA)
@@ -115,6 +132,5 @@ def fold_ledger(spark: SparkSession, path: str) -> int:
     # Neighbouring days share a file, so that a filter on the minute skips files.
     days = base_cube(rows).repartitionByRange(order_date(F.col("order_minute")))
     days.sortWithinPartitions("order_minute").write.mode("overwrite").parquet(target)
-    line = spark.createDataFrame([(generation + 1, {**through, **reached})], _FOLD_SCHEMA)
-    line.coalesce(1).write.mode("append").json(f"{path}/folds")
+    _publish_fold(spark, path, generation + 1, {**through, **reached})
     return generation + 1

@@ -16,7 +16,7 @@ from topup_analytics.schema import (
     SUCCESS_TABLE,
 )
 from topup_analytics.sinks.batches import by_day, read_batches, write_batch
-from topup_analytics.sinks.ledger import read_ledger, read_rejects, write_partials
+from topup_analytics.sinks.ledger import open_ledger, read_ledger, read_rejects, write_partials
 from topup_analytics.sinks.tables import (
     failure_rows,
     failure_totals,
@@ -86,6 +86,8 @@ class TopupJob:
         if self.mode == "strict":
             parsed = valid_orders(parsed, "strict")
         cube = cube_with_rejects(parsed, self.missing_end, self.provinces)
+        if batch_id == 0:
+            open_ledger(lines.sparkSession, self.tables.ledger)
         stored = write_partials(cube, self.tables.ledger, stream, batch_id)
         for name, rows in (
             (FAILURE_TABLE, by_day(failure_rows(stored), "order_date")),
