@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 BATCH = [
     name
     for name in contract.queries()
-    if not re.match("stream_|running_|late_|tumbling_|failure_table|success_table|batch_", name)
+    if not re.match("stream_|running_|late_|tumbling_minute|failure_table|success_table|batch_", name)
 ]
 
 

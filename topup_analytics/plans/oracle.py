@@ -135,6 +135,7 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN done IS NULL THEN 0 ELSE end_ms END - start_ms"
         ),
         "daily_summary": _DAILY,
+        "strict_daily_summary": _DAILY,
         "orders_per_minute": _MINUTES,
         "failures_by_hour_province": _over_facts(
             _FAILURES.format(key="order_hour", failures="failures"), "GROUP BY ALL"
@@ -199,4 +200,10 @@ def oracle_sql() -> dict[str, str]:
         "late_orders_merge": _DAILY,
         "stream_replay_idempotent": _DAILY,
         "tumbling_minute_counts": _MINUTES,
+        "tumbling_hour_counts": _over_facts(
+            "SELECT m[1:10] || '00' AS order_minute, count(*) AS orders", "GROUP BY 1"
+        ),
+        "tumbling_day_counts": _over_facts(
+            "SELECT m[1:8] || '0000' AS order_minute, count(*) AS orders", "GROUP BY 1"
+        ),
     }

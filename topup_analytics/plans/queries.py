@@ -1,5 +1,6 @@
 """The registered queries: each takes a session and a folder of Parquet tables."""
 
+import math
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -175,6 +176,19 @@ def query_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(_facts(spark, sf_dir))
 
 
+def query_strict_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in the mode that would fail on a bad line; there is none."""
+    return _daily(order_facts(_lines(spark, sf_dir), mode="strict"))
+
+
+def query_tumbling_hour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tumbling_counts(_facts(spark, sf_dir), "1 hour")
+
+
+def query_tumbling_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tumbling_counts(_facts(spark, sf_dir), "1 day")
+
+
 def query_orders_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_per_minute(_facts(spark, sf_dir))
 
@@ -249,8 +263,8 @@ def _streamed(spark: SparkSession, sf_dir: str) -> StoredTables:
 
 
 def _quarter(spark: SparkSession, log: str) -> int:
-    """A quarter of the number of files, so that a run takes several batches."""
-    return max(1, len(spark.read.text(log).inputFiles()) // PARTS)
+    """A quarter of the number of files, so that a run takes four batches."""
+    return math.ceil(len(spark.read.text(log).inputFiles()) / PARTS)
 
 
 def _in_state(
