@@ -73,7 +73,8 @@ def test_reject_reasons(lines):
         # The first reason in the order of the checks is the one given.
         line("2024", result=None, fee="abc"): "bad_request_id",
         # Names without quotes, single quotes and numbers are read.
-        "{serviceName:'reChargeNotifyReq',requestId:'20170412030031554',bussinessRst:'0000',chargefee:12.50}": None,
+        "{serviceName:'reChargeNotifyReq',requestId:'20170412030031554',"
+        "bussinessRst:'0000',chargefee:12.50}": None,
     }
     assert reasons(lines, list(cases)) == list(cases.values())
 

@@ -13,7 +13,8 @@ def _log(dirty: bool = False) -> str:
     def unless(number: int, spoiled: str, sound: str) -> str:
         if not dirty:
             return sound
-        return f"CASE WHEN event_type <> 'signup' AND event_id % 100 = {number} THEN {spoiled} ELSE {sound} END"
+        hit = f"event_type <> 'signup' AND event_id % 100 = {number}"
+        return f"CASE WHEN {hit} THEN {spoiled} ELSE {sound} END"
 
     stamp = "strftime(ts, '%Y%m%d%H%M%S%g') || lpad(event_id::VARCHAR, 8, '0')"
     month_13 = "strftime(ts, '%Y13%d%H%M%S%g') || lpad(event_id::VARCHAR, 8, '0')"
@@ -38,8 +39,7 @@ def _log(dirty: bool = False) -> str:
                epoch_us(ts) // 1000 AS start_ms,
                epoch_us(ts + to_milliseconds(event_id % 5000)) // 1000 AS end_ms
         FROM events),
-    log AS (SELECT *, {unless(1, f"left({text}, 40)", text)} AS line FROM fields),
-    """
+    log AS (SELECT *, {unless(1, f"left({text}, 40)", text)} AS line FROM fields)"""
 
 
 _FACTS = f"""
@@ -64,15 +64,15 @@ _REASON = """
 
 
 def _over_orders(select: str) -> str:
-    return f"{_log().rstrip().rstrip(',')} {select} FROM log WHERE event_type <> 'signup'"
+    return f"{_log()} {select} FROM log WHERE event_type <> 'signup'"
 
 
 def _over_facts(select: str, tail: str) -> str:
-    return f"{_log()} {_FACTS} {select} FROM facts {tail}"
+    return f"{_log()}, {_FACTS} {select} FROM facts {tail}"
 
 
 def _over_dirty(cost: str) -> str:
-    return f"""{_log(dirty=True)} {_REASON}
+    return f"""{_log(dirty=True)}, {_REASON}
     SELECT left(request_id, 8) AS order_date, count(*) AS orders,
            round(sum(CASE WHEN result = '0000' THEN amount ELSE 0.0 END), 2) AS amount,
            sum((result = '0000')::INT)::BIGINT AS suc_orders,
@@ -91,16 +91,15 @@ _DAY_FIELDS = "UNION ALL ".join(
     f"SELECT order_date, '{name}' AS field, {measure}::DOUBLE AS value FROM daily "
     for measure, name in DAILY_FIELDS.items()
 )
-_HASH = f"""{_log()} {_FACTS},
+_HASH = f"""{_log()}, {_FACTS},
     daily AS (SELECT {_DAILY_COLUMNS} FROM facts GROUP BY 1),
     hash AS ({_DAY_FIELDS} UNION ALL
         SELECT m[1:8], m[9:12], count(*)::DOUBLE FROM facts GROUP BY ALL)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    clean_log = _log().rstrip().rstrip(",")
     return {
-        "batch_lines": f"{clean_log} SELECT line AS value FROM log",
+        "batch_lines": f"{_log()} SELECT line AS value FROM log",
         "recharge_lines": _over_orders("SELECT line AS value"),
         "parsed_orders": _over_orders(
             """SELECT request_id AS "requestId", result AS "bussinessRst", fee AS chargefee,
@@ -123,12 +122,12 @@ def oracle_sql() -> dict[str, str]:
             """SELECT request_id AS "requestId", start_ms, end_ms,
             end_ms - start_ms AS cost_time_ms"""
         ),
-        "province_lookup": f"""{clean_log}
+        "province_lookup": f"""{_log()}
             SELECT request_id AS "requestId", code AS "provinceCode",
                    coalesce(province, 'none') AS province
             FROM log LEFT JOIN dim ON dim.province_code = log.code
             WHERE event_type <> 'signup'""",
-        "rejected_orders": f"""{_log(dirty=True)} {_REASON}
+        "rejected_orders": f"""{_log(dirty=True)}, {_REASON}
             SELECT line AS value, reject_reason FROM judged WHERE reject_reason IS NOT NULL""",
         "accepted_daily_summary": _over_dirty("CASE WHEN done IS NOT NULL THEN end_ms - start_ms END"),
         "epoch_end_daily_summary": _over_dirty(
@@ -178,7 +177,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_lines": _over_orders(
             """SELECT request_id AS "requestId", result AS "bussinessRst", code AS "provinceCode" """
         ),
-        "stream_fanout": f"""{_log()} {_FACTS}
+        "stream_fanout": f"""{_log()}, {_FACTS}
             SELECT 'daily' AS output, count(DISTINCT m[1:8]) AS n_rows, count(*) AS total FROM facts
             UNION ALL SELECT 'minutes', count(DISTINCT m), count(*) FROM facts
             UNION ALL SELECT '{FAILURE_TABLE}', count(DISTINCT (m[1:10], province)),
