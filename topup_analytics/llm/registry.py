@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topup_analytics.llm import mixing, sharding
+from topup_analytics.llm import bpe, mixing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     """One query for each operator."""
     return {
+        "op3_byte_bpe": bpe.op3_byte_bpe,
         "op4_stratified_shards": sharding.op4_stratified_shards,
         "op6_source_mixture": mixing.op6_source_mixture,
     }
