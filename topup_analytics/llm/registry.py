@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topup_analytics.llm import bpe, mixing, quality, sharding
+from topup_analytics.llm import bpe, licenses, mixing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op3_byte_bpe": bpe.op3_byte_bpe,
         "op4_stratified_shards": sharding.op4_stratified_shards,
         "op6_source_mixture": mixing.op6_source_mixture,
+        "op7_license_scan": licenses.op7_license_scan,
         "op9_quality_rules": quality.op9_quality_rules,
     }
 
@@ -26,4 +27,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_stratified_shards": sharding.OP4_SQL,
         "op6_source_mixture": mixing.OP6_SQL,
+        "op7_license_scan": licenses.OP7_SQL,
     }
