@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topup_analytics.llm import bpe, licenses, mixing, quality, sharding
+from topup_analytics.llm import bpe, chat, licenses, mixing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
     return {
         "op3_byte_bpe": bpe.op3_byte_bpe,
         "op4_stratified_shards": sharding.op4_stratified_shards,
+        "op5_chat_format": chat.op5_chat_format,
         "op6_source_mixture": mixing.op6_source_mixture,
         "op7_license_scan": licenses.op7_license_scan,
         "op9_quality_rules": quality.op9_quality_rules,
@@ -26,6 +27,7 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
     return {
         "op4_stratified_shards": sharding.OP4_SQL,
+        "op5_chat_format": chat.OP5_SQL,
         "op6_source_mixture": mixing.OP6_SQL,
         "op7_license_scan": licenses.OP7_SQL,
     }
