@@ -14,7 +14,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topup_analytics.llm.common import filled, read_table
+from topup_analytics.llm.common import filled, read_table, ship_code
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -82,6 +82,8 @@ def encode(rows: DataFrame, text: str = "text", ids: str = "ids", ranks: str = R
     existing column named ``ids`` is replaced.
     """
 
+    ship_code(rows.sparkSession)
+
     @F.pandas_udf("array<int>")
     def encoded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = encoding(ranks, pattern)
@@ -98,6 +100,8 @@ def decode(rows: DataFrame, ids: str = "ids", data: str = "data", ranks: str = R
     ``data`` is replaced.
     """
 
+    ship_code(rows.sparkSession)
+
     @F.pandas_udf("binary")
     def decoded(arrays: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = encoding(ranks, pattern)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import os
+import shutil
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +18,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application.
+
+    Functions that run there import it, and need not find it installed.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(package):  # else it came as an archive itself
+        root, name = os.path.split(package)
+        target = os.path.join(os.path.realpath(tempfile.mkdtemp()), name)
+        context.addPyFile(shutil.make_archive(target, "zip", root, name))
+    _SHIPPED.add(context.applicationId)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topup_analytics.llm import bpe, chat, licenses, mixing, quality, sharding
+from topup_analytics.llm import bpe, chat, language, licenses, mixing, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
         "op5_chat_format": chat.op5_chat_format,
         "op6_source_mixture": mixing.op6_source_mixture,
         "op7_license_scan": licenses.op7_license_scan,
+        "op8_language_mixture": language.op8_language_mixture,
         "op9_quality_rules": quality.op9_quality_rules,
     }
 
