@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topup_analytics.llm import bpe, chat, language, licenses, mixing, quality, sharding
+from topup_analytics.llm import bpe, chat, language, licenses, mixing, quality, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     """One query for each operator."""
     return {
+        "op2_bit_sliced_top_k": topk.op2_bit_sliced_top_k,
         "op3_byte_bpe": bpe.op3_byte_bpe,
         "op4_stratified_shards": sharding.op4_stratified_shards,
         "op5_chat_format": chat.op5_chat_format,
@@ -27,6 +28,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
     return {
+        "op2_bit_sliced_top_k": topk.OP2_SQL,
         "op4_stratified_shards": sharding.OP4_SQL,
         "op5_chat_format": chat.OP5_SQL,
         "op6_source_mixture": mixing.OP6_SQL,
