@@ -8,13 +8,15 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
-from topup_analytics.llm.common import filled, read_table, ship_code
+from topup_analytics.llm.common import filled, read_table, ship_code, slices
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -75,31 +77,50 @@ def encode_text(text: str, tokenizer: tiktoken.Encoding, chunk: int = CHUNK) ->
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
-def encode(rows: DataFrame, text: str = "text", ids: str = "ids", ranks: str = RANKS, pattern: str = PATTERN) -> DataFrame:
-    """Adds the ids of a text column; a null or empty text has none.
-
-    Each text is encoded whole and by itself, so repeated rows get equal ids. An
-    existing column named ``ids`` is replaced.
+def encode(
+    rows: DataFrame,
+    text: str = "text",
+    ids: str = "ids",
+    data: str | None = None,
+    keep: list[str] | None = None,
+    ranks: str = RANKS,
+    pattern: str = PATTERN,
+) -> DataFrame:
+    """The columns ``keep`` (all by default), the ids of a text column and, if named, the bytes they decode to.
+
+    A null or empty text has no ids. Each text is encoded whole and by itself, so
+    repeated rows get equal ids. Columns named like the results are replaced. A
+    batch from Spark is worked off and returned in slices, so a task holds one
+    batch of texts and the ids of one slice; where texts are very long throughout,
+    lower ``spark.sql.execution.arrow.maxRecordsPerBatch``.
     """
-
+    added = [pa.field(ids, pa.list_(pa.int32()))] + ([pa.field(data, pa.binary())] if data else [])
+    kept = [c for c in (rows.columns if keep is None else keep) if c not in [f.name for f in added]]
+    source = rows.select(*[F.col(c) for c in kept], filled(text).alias("_text"))
+    schema = StructType(source.schema.fields[:-1]).add(ids, ArrayType(IntegerType()))
+    if data:
+        schema = schema.add(data, BinaryType())
     ship_code(rows.sparkSession)
 
-    @F.pandas_udf("array<int>")
-    def encoded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = encoding(ranks, pattern)
-        for batch in texts:
-            yield pd.Series([encode_text(t, tokenizer) for t in batch], dtype=object)
+        for batch in batches:
+            for part in slices(batch):
+                arrays = [encode_text(t, tokenizer) for t in part.column(len(kept)).to_pylist()]
+                columns = [*part.columns[:-1], pa.array(arrays, added[0].type)]
+                if data:
+                    columns.append(pa.array([tokenizer.decode_bytes(a.tolist()) for a in arrays], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, [*kept, *[f.name for f in added]])
 
-    return rows.withColumn(ids, encoded(filled(text)))
+    return source.mapInArrow(encoded, schema)
 
 
 def decode(rows: DataFrame, ids: str = "ids", data: str = "data", ranks: str = RANKS, pattern: str = PATTERN) -> DataFrame:
     """Adds the raw bytes of an id column, which need not be whole characters; null ids give no bytes.
 
-    An id that the rank file lacks fails the job. An existing column named
-    ``data`` is replaced.
+    An id that the rank file lacks fails the job. A column named ``data`` is
+    replaced.
     """
-
     ship_code(rows.sparkSession)
 
     @F.pandas_udf("binary")
@@ -119,8 +140,8 @@ def ids_digest(ids: str = "ids"):
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of all whole documents and of their decoded bytes."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decode(encode(docs)).select(
+    docs = read_table(spark, sf_dir, "documents")
+    return encode(docs, data="data", keep=["doc_id"]).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         ids_digest().alias("ids_sha256"),
