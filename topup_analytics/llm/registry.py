@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topup_analytics.llm import bpe, chat, language, licenses, mixing, quality, sharding, topk
+from topup_analytics.llm import bpe, chat, jaccard, language, licenses, mixing, quality, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ def queries() -> dict[str, Query]:
         "op7_license_scan": licenses.op7_license_scan,
         "op8_language_mixture": language.op8_language_mixture,
         "op9_quality_rules": quality.op9_quality_rules,
+        "op10_jaccard_join": jaccard.op10_jaccard_join,
     }
 
 
