@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topup_analytics.llm import bpe, chat, jaccard, language, licenses, mixing, quality, sharding, topk
+from topup_analytics.llm import bpe, chat, jaccard, language, licenses, lm, mixing, quality, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     """One query for each operator."""
     return {
+        "op1_maxent_scores": lm.op1_maxent_scores,
         "op2_bit_sliced_top_k": topk.op2_bit_sliced_top_k,
         "op3_byte_bpe": bpe.op3_byte_bpe,
         "op4_stratified_shards": sharding.op4_stratified_shards,
