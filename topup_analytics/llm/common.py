@@ -48,7 +48,7 @@ def stored(rows: DataFrame) -> DataFrame:
     Cuts the lineage: what comes later reads files that outlive any executor.
     """
     path = f"{new_folder(rows.sparkSession)}/rows"
-    rows.write.parquet(path)
+    rows.write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

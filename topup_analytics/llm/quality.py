@@ -74,13 +74,13 @@ def _count(text: Column, pattern: str) -> Column:
     return F.octet_length(text) - F.octet_length(F.regexp_replace(text, pattern, ""))
 
 
-def text_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+def text_counts(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
     """The base counts and both histograms of every whole text, in one pass without a shuffle.
 
     ``classes`` counts the characters of each class, and ``common`` the words of each list of
-    ``COMMON_WORDS``, one list after the other. Both are kept with the ``keep`` columns in ``row``.
+    ``COMMON_WORDS``, one list after the other. Both stand beside ``lang`` and, in ``row``, the ``keep`` columns.
     """
-    rows = docs.select(F.struct(*keep).alias("row"), filled(text).alias("text"))
+    rows = docs.select(F.struct(*keep).alias("row"), F.col(lang).cast("string").alias("lang"), filled(text).alias("text"))
     rows = rows.withColumn("words", words(F.col("text")))
     every = sorted({w for group in COMMON_WORDS.values() for w in group})
     body = F.col("text")
@@ -92,6 +92,7 @@ def text_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFra
     )
     counted = rows.select(
         "row",
+        "lang",
         F.size("words").cast("bigint").alias("n_words"),
         F.char_length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         n_symbols.cast("bigint").alias("n_symbols"),
@@ -105,6 +106,7 @@ def text_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFra
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     return counted.select(
         "row",
+        "lang",
         "n_words",
         "word_chars",
         "n_symbols",
@@ -116,14 +118,14 @@ def text_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFra
     )
 
 
-def references(counts: DataFrame, lang: Column) -> dict[str, tuple[list[float], list[float]]]:
+def references(counts: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
     """Shares of character classes and of common words in the texts of each reference language.
 
     One partial aggregation to a row for each language of ``COMMON_WORDS``. A
     language without texts has no reference.
     """
     n_classes, n_common = len(CLASSES) + 2, sum(map(len, COMMON_WORDS.values()))
-    sums = counts.where(lang.isin(*COMMON_WORDS)).groupBy(lang.alias("lang")).agg(
+    sums = counts.where(F.col("lang").isin(*COMMON_WORDS)).groupBy("lang").agg(
         F.sum("n_words").alias("n"),
         F.array(*[F.sum(F.col("classes")[i].cast("bigint")) for i in range(n_classes)]).alias("classes"),
         F.array(*[F.sum(F.col("common")[i].cast("bigint")) for i in range(n_common)]).alias("common"),
@@ -197,14 +199,13 @@ def judged(docs: DataFrame, keep: list[str] | None = None, text: str = "text", l
     one, so ids may be null or repeated; an empty table gives no rows.
     """
     keep = docs.columns if keep is None else keep
-    extra = docs.withColumn("_lang", F.col(lang).cast("string"))
-    counts = stored(text_counts(extra, [*keep, "_lang"], text))
+    counts = stored(text_counts(docs, keep, text, lang))
     usable = counts.where(~F.col("base_failed"))
-    rough = _measured(usable, references(usable, F.col("row._lang")))
-    rows = _measured(counts, references(rough.where(~_far()), F.col("row._lang")))
+    rough = _measured(usable, references(usable))
+    rows = _measured(counts, references(rough.where(~_far())))
     kept = ~F.col("base_failed") & ~_far()
     return rows.select(
-        F.struct(*[F.col("row")[c].alias(c) for c in keep]).alias("row"),
+        "row",
         "n_words",
         "word_chars",
         "n_symbols",

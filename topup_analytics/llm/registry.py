@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from topup_analytics.llm import bpe, chat, jaccard, language, licenses, lm, mixing, quality, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op8_language_mixture": language.op8_language_mixture,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_jaccard_join": jaccard.op10_jaccard_join,
+        "pipeline": corpus_pipeline.run,
     }
 
 
