@@ -130,8 +130,8 @@ def mixed(
     document is taken the same number of times, but for one run of the line that
     is taken once more, and only the documents at its two ends are taken in part.
 
-    Returns the columns ``keep`` of ``docs`` (all by default) and, in ``mix``, a struct of ``size``
-    (words), ``source_size``, ``target``, ``taken`` (words, repeats counted) and
+    Returns ``row``, a struct of the columns ``keep`` (all by default), and ``mix``, a struct of
+    ``size`` (words), ``source_size``, ``target``, ``taken`` (words, repeats counted) and
     what :func:`pieces` needs. A null or blank text has size 0 and is not taken.
     Null sources are one source, last in order. Equal rows are rows like any
     other. An empty table gives no rows.
@@ -169,13 +169,13 @@ def mixed(
     )
     taken = (laps * F.col("size") + once_more).cast("bigint")
     kept = ["size", "source_size", "target", "start", "line", "origin", "per_shard", "read"]
-    return rows.select("row.*", F.struct(*kept, taken.alias("taken")).alias("mix"))
+    return rows.select("row", F.struct(*kept, taken.alias("taken")).alias("mix"))
 
 
 def pieces(mix: DataFrame) -> DataFrame:
     """One row for each time a document, or a part of one, is read by the mixture of :func:`mixed`.
 
-    Adds ``shard``, ``first_word`` and ``n_words``, and drops ``mix``. A piece
+    Adds ``shard``, ``first_word`` and ``n_words`` to ``row`` and ``mix``. A piece
     belongs to the shard in which it starts.
     """
     start, size, line = F.col("mix.start"), F.col("mix.size"), F.col("mix.line")
@@ -202,28 +202,25 @@ def pieces(mix: DataFrame) -> DataFrame:
         )
     )
     found = F.when(F.col("mix.taken") > 0, F.filter(both, lambda x: x["n_words"] > 0))
-    rows = mix.withColumn("_piece", F.explode(found))
-    return rows.select(
-        "*",
-        F.expr("_piece.at div mix.per_shard").cast("int").alias("shard"),
-        "_piece.first_word",
-        "_piece.n_words",
-    ).drop("_piece")
+    rows = mix.select("row", "mix", F.explode(found).alias("piece"))
+    shard = F.expr("piece.at div mix.per_shard").cast("int")
+    return rows.select("row", "mix", shard.alias("shard"), "piece.first_word", "piece.n_words")
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mixture itself, with the columns of ``docs``: one row for each piece, cut to its words."""
     rows = pieces(mixed(docs, text=text, **options))
-    spaced = F.regexp_extract_all(F.col(text), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
+    body = F.col("row")[text]
+    spaced = F.regexp_extract_all(body, F.lit(rf"\s*{WORD}"), F.lit(0))
     part = F.array_join(F.slice(spaced, F.col("first_word").cast("int") + 1, F.col("n_words").cast("int")), "")
     whole = F.col("n_words") == F.col("mix.size")
-    return rows.withColumn(text, F.when(whole, F.col(text)).otherwise(part)).select(docs.columns)
+    return rows.select(F.col("row").withField(text, F.when(whole, body).otherwise(part)).alias("row")).select("row.*")
 
 
 def op6_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights 1, 2, 3 of their sources."""
     rows = mixed(read_table(spark, sf_dir, "documents"), keep=["doc_id", "source"])
-    return rows.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "source")
+    return rows.select("row.doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "row.source")
 
 
 #: Seats are ranked one by one here, where the operator ranks only the last few.
