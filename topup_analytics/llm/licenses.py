@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from topup_analytics.llm.common import bound, filled, lower_ascii, read_table, words
 
-#: Letters and digits of ASCII, and everything beyond ASCII.
-LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Digits and lower-case letters of ASCII, and everything beyond ASCII: the complement of
+#: [\x00-\x2F\x3A-\x60\x7B-\x7F], which Java matches several times slower.
+LICENSE_WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
 
 #: Fixed phrases of the base, with their labels.
 PHRASES = {
@@ -225,7 +226,7 @@ docs AS (
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
   FROM documents
 ),
-split AS (SELECT *, regexp_extract_all(text, '{LICENSE_WORD}') AS words FROM docs),
+split AS (SELECT *, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM docs),
 placed AS (SELECT nr, words, unnest(range(len(words))) AS i FROM split),
 places AS (
   SELECT nr, label, i FROM placed, phrases
@@ -235,7 +236,7 @@ base AS (
   SELECT nr, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels
   FROM places GROUP BY nr
 ),
-lines AS (SELECT nr, regexp_extract_all(unnest(string_split(text, chr(10))), '{LICENSE_WORD}') AS words FROM split),
+lines AS (SELECT nr, regexp_extract_all(unnest(string_split(text, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM split),
 blocks AS (
   SELECT nr, list_slice(words, i + 1, i + {BLOCK_WORDS}) AS words
   FROM (SELECT *, unnest(range(0, greatest(1, len(words) - {OVERLAP}), {BLOCK_WORDS - OVERLAP})) AS i FROM lines)
