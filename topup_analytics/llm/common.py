@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from topup_analytics.plans.workspace import new_folder
 
-#: Words are runs of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
+#: Words are runs of anything but ASCII white space (\x20, \x09 to \x0D), which is what Java's class excludes.
+WORD = r"\S+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -47,9 +47,25 @@ def stored(rows: DataFrame) -> DataFrame:
 
     Cuts the lineage: what comes later reads files that outlive any executor.
     """
-    path = f"{new_folder(rows.sparkSession)}/rows"
-    rows.write.option("compression", "zstd").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return Scratch(rows.sparkSession).stored(rows)
+
+
+class Scratch:
+    """A folder for tables that are not needed once an operator's result is stored."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.tables = spark, new_folder(spark), 0
+
+    def stored(self, rows: DataFrame) -> DataFrame:
+        self.tables += 1
+        path = f"{self.folder}/{self.tables}"
+        rows.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Deletes the folder; nothing may read it any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -63,6 +79,11 @@ def filled(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def held_out(id: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:
+    """Whether a row belongs to the fold that is not learned from; a null id counts as empty text."""
+    return F.crc32(filled(F.col(id).cast("string"))) % folds == fold
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-cases A to Z and nothing else; ``lower`` does just that to pure ASCII."""
     ascii_only = F.octet_length(text) == F.char_length(text)
@@ -100,18 +121,27 @@ def even_buckets(n_rows: int) -> int:
 
 
 def running_sum(
-    rows: DataFrame, group: Sequence[str], bucket: Column, order: Sequence[str], amount: str, start: str, total: str
+    rows: DataFrame,
+    group: Sequence[str],
+    bucket: Column,
+    order: Sequence[str],
+    amount: str,
+    start: str,
+    total: str,
+    narrow: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the sum of ``amount`` before each row of its group, and the group's total.
 
     ``bucket`` must follow ``order`` within a group. Rows are ordered only
     within a bucket; the buckets' own sums come from one partial aggregation,
     so a group of any size is spread over as many tasks as it has buckets.
-    ``group`` columns must not be null.
+    ``group`` columns must not be null. ``narrow`` may hold the same rows with no
+    more than the columns that the sums need.
     """
     keys = [*group, "_bucket"]
+    narrow = (rows if narrow is None else narrow).withColumn("_bucket", bucket)
     rows = rows.withColumn("_bucket", bucket)
-    parts = rows.groupBy(*keys).agg(F.sum(amount).alias("_part"))
+    parts = narrow.groupBy(*keys).agg(F.sum(amount).alias("_part"))
     whole = Window.partitionBy(*group)
     sums = parts.select(
         *keys,
