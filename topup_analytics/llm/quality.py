@@ -25,7 +25,7 @@ CLASSES = {
     "upper": "[A-Z]+",
     "lower": "[a-z]+",
     "digit": "[0-9]+",
-    "space": r"[\x20\x09-\x0D]+",
+    "space": r"\s+",
     "mark": r"[.,;:'\"()!?-]+",
 }
 #: Shorter texts are not judged by their histograms.
@@ -84,7 +84,7 @@ def text_counts(docs: DataFrame, keep: list[str], text: str = "text", lang: str
     rows = rows.withColumn("words", words(F.col("text")))
     every = sorted({w for group in COMMON_WORDS.values() for w in group})
     body = F.col("text")
-    lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(r"\S"))
     n_symbols = sum((F.octet_length(body) - F.octet_length(F.replace(body, F.lit(s), F.lit("")))) for s in SYMBOLS)
     foreign = F.char_length(F.regexp_replace(body, r"[\x00-\x7F]+", ""))
     per_word = lambda common: F.array(
@@ -220,4 +220,76 @@ def judged(docs: DataFrame, keep: list[str] | None = None, text: str = "text", l
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of all whole documents."""
     rows = judged(read_table(spark, sf_dir, "documents"), ["doc_id"])
-    return rows.select("row.doc_id", *[c for c in rows.columns if c != "row"])
+    return rows.withColumn("distance", F.round("distance", 6)).select("row.doc_id", *[c for c in rows.columns if c != "row"])
+
+
+def _distances(name: str, use: str) -> str:
+    """SQL of the distances from the references of the documents that ``use`` selects."""
+    return f"""
+{name}_references AS (
+  SELECT kind, ref, bin, sum(n) / sum(sum(n)) OVER (PARTITION BY kind, ref) AS q
+  FROM histograms JOIN base USING (nr) WHERE lang = ref AND nr IN ({use}) GROUP BY kind, ref, bin
+),
+{name} AS (
+  SELECT nr, min(d) AS distance FROM (
+    SELECT nr, ref, sqrt(sum(j) / 2) AS d FROM (
+      SELECT nr, ref, kind, greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+        + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2) AS j
+      FROM shares JOIN {name}_references USING (kind, ref, bin) GROUP BY nr, ref, kind
+    ) GROUP BY nr, ref
+  ) GROUP BY nr
+)"""
+
+
+_COMMON = ", ".join(f"('{lang}', {i}, '{w}')" for lang, group in COMMON_WORDS.items() for i, w in enumerate(group))
+#: DuckDB's \\s lacks the vertical tab.
+_PATTERNS = [p.replace(r"\s", r"[\x20\x09-\x0D]").replace("'", "''") for p in CLASSES.values()]
+_CLASSES = ", ".join(f"length(text) - length(regexp_replace(text, '{p}', '', 'g'))" for p in _PATTERNS)
+
+OP9_SQL = rf"""
+WITH docs AS (SELECT row_number() OVER () AS nr, doc_id, lang, coalesce(text, '') AS text FROM documents),
+split AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM docs),
+windows AS (
+  SELECT nr, i, array_to_string(list_slice(words, i + 1, i + {WINDOW}), ' ') AS w
+  FROM (SELECT nr, words, unnest(range(len(words) - {WINDOW - 1})) AS i FROM split)
+),
+covered AS (
+  SELECT nr, count(DISTINCT i + k) AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY nr, w) AS times FROM windows), range({WINDOW}) r(k)
+  WHERE times > 1 GROUP BY nr
+),
+base AS (
+  SELECT nr, doc_id, lang, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))
+      - len(list_distinct(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+    coalesce(covered.n, 0) AS n_repeat_words,
+    len(words) < {LEAST_WORDS} OR 100 * coalesce(covered.n, 0) > {MOST_REPEATED_PERCENT} * len(words) AS base_failed
+  FROM split LEFT JOIN covered USING (nr)
+),
+common(ref, bin, word) AS (VALUES {_COMMON}),
+classes AS (
+  SELECT nr, length(text) AS n_chars, [{_CLASSES}, length(regexp_replace(text, '[\x00-\x7F]', '', 'g'))] AS c FROM docs
+),
+occurrences AS (SELECT nr, word, count(*) AS n FROM (SELECT nr, unnest(words) AS word FROM split) GROUP BY nr, word),
+of_common AS (
+  SELECT nr, ref, bin, coalesce(n, 0) AS n FROM docs CROSS JOIN common LEFT JOIN occurrences USING (nr, word)
+),
+histograms AS (
+  SELECT 'c' AS kind, nr, ref, bin, n
+  FROM (SELECT nr, unnest(c || [n_chars - list_sum(c)]) AS n, unnest(range(len(c) + 1)) AS bin FROM classes),
+    (SELECT DISTINCT ref FROM common)
+  UNION ALL SELECT 'w', nr, ref, bin, n FROM of_common
+  UNION ALL SELECT 'w', nr, ref, 99, any_value(n_words) - sum(n) FROM of_common JOIN base USING (nr) GROUP BY nr, ref
+),
+shares AS (
+  SELECT *, n / sum(n) OVER (PARTITION BY kind, nr, ref) AS p
+  FROM histograms WHERE nr IN (SELECT nr FROM base WHERE n_words >= {JUDGED_WORDS})
+),
+{_distances("rough", "SELECT nr FROM base WHERE NOT base_failed")},
+{_distances("final", f"SELECT nr FROM base LEFT JOIN rough USING (nr) WHERE NOT base_failed AND coalesce(distance, 0) <= {MOST_DISTANCE}")}
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed, round(distance, 6) AS distance,
+  NOT base_failed AND coalesce(distance, 0) <= {MOST_DISTANCE} AS kept
+FROM base LEFT JOIN final USING (nr)
+"""
