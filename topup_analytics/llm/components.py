@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topup_analytics.llm.common import stored
+from topup_analytics.llm.common import Scratch
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """Rows ``node, root`` for every node of the links ``a, b`` that is not the smallest of its component.
 
     Alternates two steps until nothing changes. In the large star each node
     links its larger neighbours to its smallest neighbour, in the small star its
     smaller ones; both keep the components and shrink every path, so the number of
     rounds grows with the logarithm of the nodes. Each round's links are written to
-    the shared folder. The smallest neighbours are stored before they are joined,
+    ``scratch``, where the result lies too. The smallest neighbours are stored before they are joined,
     so a node with very many links is one Spark can split.
     """
+    stored = scratch.stored
     a, b = F.col("a"), F.col("b")
     edges = stored(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     before = None

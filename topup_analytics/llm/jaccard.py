@@ -6,24 +6,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topup_analytics.llm.common import filled, read_table, ship_code, slices, stored
+from topup_analytics.llm.common import Scratch, filled, read_table, ship_code, slices, stored
 from topup_analytics.llm.components import components
 from topup_analytics.llm.shingles import mix, shingle_set
 
-#: Shingles are counted in so many buckets; the table of counts is small whatever the corpus.
-COUNT_BITS = 18
+#: Shingles are counted in so many buckets, and the table that orders them has a byte for each.
+COUNT_BITS = 23
 #: Counts travel in slices of so many buckets.
-SLICE = 4096
-#: A prefix asks for at most so many shared shingles.
-MOST_MATCHES = 5
+SLICE = 65_536
+#: Slices are summed in groups of so many tasks, and these again.
+FAN_IN = 64
+#: A prefix asks for one of these numbers of shared shingles.
+MATCHES = np.array([1, 2, 3, 5, 8, 13, 21, 34])
 #: What it costs to verify a pair, in prefix rows looked up.
 VERIFY_COST = 20.0
-#: Words of 64 bits in a set's parity sketch.
-SKETCH = 16
-#: The bitmap that picks texts to verify has 16 bits for each, up to 2 ** this many.
+#: Words of 64 bits in the parity sketch that goes with prefix rows.
+SKETCH = 8
+#: The sketch that pairs are checked by has at least two bits for each shingle, within these bounds.
+LEAST_WIDE, MOST_WIDE = 1024, 16_384
+#: A bitmap that picks rows by a hash has 16 bits for each value, up to 2 ** this many.
 MOST_BITMAP_BITS = 27
 #: Rounds that merge groups around their smallest member before all remaining pairs are tried.
 STAR_ROUNDS = 2
@@ -40,32 +45,58 @@ def set_id(hashes: np.ndarray) -> int:
     return int(mix(np.array([total], dtype=np.uint64)).view(np.int64)[0])
 
 
-def parity_sketch(hashes: np.ndarray) -> np.ndarray:
-    """For each of some hash classes, whether the set has an odd number in it.
+def parity_sketch(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """For each of some hash classes, whether the set has an odd number in it; bits in bytes.
 
     Shared members cancel, so two sketches differ in at most as many bits as the
     sets have members that they do not share.
     """
-    odd = np.bincount((hashes & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
 
 
-def choose_prefix(hashes: np.ndarray, load: np.ndarray, percent: int) -> tuple[int, np.ndarray]:
+def wide_sketch(hashes: np.ndarray) -> bytes:
+    """A parity sketch whose size follows that of the set."""
+    bits = 1 << (2 * len(hashes) - 1).bit_length()
+    return parity_sketch(hashes, min(MOST_WIDE, max(LEAST_WIDE, bits))).tobytes()
+
+
+def unshared(x: bytes, y: bytes) -> int:
+    """A lower bound of the members that two sets do not share, from their wide sketches.
+
+    Folding a sketch in halves gives the sketch of fewer classes.
+    """
+    small = min(len(x), len(y))
+    a, b = (np.bitwise_xor.reduce(np.frombuffer(s, dtype=np.uint8).reshape(-1, small), axis=0) for s in (x, y))
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def most_unshared(sizes: int, percent: int) -> int:
+    """How many members two linked sets of ``sizes`` members in all may not share."""
+    return sizes - 2 * -(-percent * sizes // (100 + percent))
+
+
+#: A load is kept as a byte: 8 times the logarithm of one more.
+_LOADS = np.exp2(np.arange(256) / 8) - 1
+
+
+def choose_prefix(hashes: np.ndarray, loads: np.ndarray, percent: int) -> tuple[int, np.ndarray]:
     """How many matches to ask for, and the prefix that guarantees them.
 
-    Shingles are ordered by their bucket's count, then by hash: one order for all
+    Shingles are ordered by their bucket's load, then by hash: one order for all
     sets, rare first. If two sets are linked, their first ``n - overlap + m``
     shingles share ``m``. A longer prefix looks up more rows but leaves fewer pairs
-    with enough matches to verify; ``load`` estimates how many other sets hold a
+    with enough matches to verify; ``loads`` estimates how many other sets hold a
     shingle, and the cheapest ``m`` is taken.
     """
     n = len(hashes)
-    spare = n - least_overlap(n, percent)
-    others = load[(hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
-    order = np.lexsort((hashes, others))[: spare + MOST_MATCHES]
-    matches = np.arange(1, min(MOST_MATCHES, least_overlap(n, percent)) + 1)
+    overlap = least_overlap(n, percent)
+    spare = n - overlap
+    matches = MATCHES[MATCHES <= overlap]
+    codes = loads[(hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
+    order = np.lexsort((hashes, codes))[: spare + matches[-1]]
     lengths = spare + matches
-    candidates = np.cumsum(others[order], dtype=np.float64)[lengths - 1]
+    candidates = np.cumsum(_LOADS[codes[order]])[lengths - 1]
     cost = lengths + candidates * (1 + VERIFY_COST / matches)
     best = int(cost.argmin())
     return int(matches[best]), hashes[order[: lengths[best]]]
@@ -74,114 +105,156 @@ def choose_prefix(hashes: np.ndarray, load: np.ndarray, percent: int) -> tuple[i
 def _measured(texts: DataFrame, width: int) -> DataFrame:
     """For each text its set's identity and size; and, from each task, the counts of its shingles by bucket."""
     ship_code(texts.sparkSession)
-    schema = "doc_id bigint, text_id bigint, node bigint, n int, slice int, counts array<int>"
-    arrow = pa.schema(
-        [("doc_id", pa.int64()), ("text_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32())]
-        + [("slice", pa.int32()), ("counts", pa.list_(pa.int32()))]
-    )
+    schema = "doc_id bigint, text_id bigint, node bigint, n int, slice int, counts binary"
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["doc_id", "text_id", "node", "n", "slice", "counts"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
+        counts = np.zeros(1 << COUNT_BITS, dtype=np.uint32)
         for batch in batches:
             for part in slices(batch):
                 sets = [shingle_set(t, width) for t in part.column(2).to_pylist()]
-                buckets = (np.concatenate(sets) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
-                counts += np.bincount(buckets, minlength=1 << COUNT_BITS)
+                buckets = np.concatenate(sets) >> np.uint64(64 - COUNT_BITS)
+                found, times = np.unique(buckets.astype(np.int32), return_counts=True)
+                counts[found] += times.astype(np.uint32)
                 nodes = [set_id(s) if len(s) else None for s in sets]
                 none = [None] * len(sets)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(1),
-                        pa.array(nodes, pa.int64()),
-                        pa.array([len(s) for s in sets], pa.int32()),
-                        pa.array(none, pa.int32()),
-                        pa.array(none, pa.list_(pa.int32())),
-                    ],
-                    schema=arrow,
-                )
-        if counts.any():
-            parts = counts.reshape(-1, SLICE).astype(np.int32)
-            none = pa.array([None] * len(parts), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [none, none, none, none.cast(pa.int32()), pa.array(range(len(parts)), pa.int32()), pa.array(list(parts), arrow[5].type)],
-                schema=arrow,
-            )
+                values = [part.column(0), part.column(1), nodes, [len(s) for s in sets], none, none]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names)
+        task = TaskContext.get().partitionId()
+        for number, part in enumerate(counts.reshape(-1, SLICE)):
+            if part.any():
+                # The number of the task stands in for the text's.
+                values = [[None], [task], [None], [None], [number], [_pack(part)]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names)
 
     return texts.select("doc_id", "text_id", "text").mapInArrow(measure, schema)
 
 
-def _loads(measured: DataFrame) -> np.ndarray:
-    """For each bucket, how many more shingles it holds than a bucket does by chance."""
-    parts = measured.where("slice is not null").select("slice", F.posexplode("counts").alias("at", "count"))
-    sums = parts.groupBy("slice", "at").agg(F.sum(F.col("count").cast("bigint")).alias("count")).toArrow()
-    counts = np.zeros(1 << COUNT_BITS)
-    counts[sums["slice"].to_numpy().astype(np.int64) * SLICE + sums["at"].to_numpy()] = sums["count"].to_numpy()
-    usual = counts.mean()
-    return np.maximum(0, counts - usual - 2 * np.sqrt(usual)).astype(np.float32)
+def _pack(counts: np.ndarray) -> bytes:
+    """Counts in four planes of bytes; the upper ones are mostly zero and compress to little."""
+    return np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _prefixes(texts: DataFrame, load: np.ndarray, width: int, percent: int) -> DataFrame:
-    """One row for each distinct set: its size, matches to ask for, prefix and sketch."""
+def _loads(measured: DataFrame) -> np.ndarray:
+    """For each bucket, how many more shingles it holds than a bucket does by chance, as a byte."""
+    usual = (measured.agg(F.sum("n")).first()[0] or 0) / (1 << COUNT_BITS)
+
+    def total(group: pa.Table) -> pa.Table:
+        counts = np.zeros(SLICE, dtype=np.int64)
+        for data in group["counts"]:
+            counts += _unpack(data.as_py())
+        kept = np.minimum(counts, 2**32 - 1)
+        return pa.table({"slice": group["slice"][:1], "task": group["task"][:1], "counts": pa.array([_pack(kept)])})
+
+    def coded(group: pa.Table) -> pa.Table:
+        more = np.maximum(0, _unpack(total(group)["counts"][0].as_py()) - usual - 2 * np.sqrt(usual))
+        return pa.table({"slice": group["slice"][:1], "codes": pa.array([np.rint(8 * np.log2(1 + more)).clip(0, 255).astype(np.uint8).tobytes()])})
+
+    rows = measured.where("slice is not null").select("slice", F.col("text_id").alias("task"), "counts")
+    for _ in range(2):
+        rows = rows.withColumn("task", F.expr(f"task div {FAN_IN}"))
+        rows = rows.groupBy("slice", "task").applyInArrow(total, "slice int, task bigint, counts binary")
+    loads = np.zeros(1 << COUNT_BITS, dtype=np.uint8)
+    for row in rows.groupBy("slice").applyInArrow(coded, "slice int, codes binary").toArrow().to_pylist():
+        loads[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["codes"], dtype=np.uint8)
+    return loads
+
+
+def _prefixes(texts: DataFrame, loads: np.ndarray, width: int, percent: int) -> DataFrame:
+    """For each set its size, matches to ask for, prefix and sketch; equal sets have equal rows."""
     ship_code(texts.sparkSession)
-    schema = "node bigint, n int, matches int, prefix array<bigint>, sketch array<bigint>"
+    schema = "node bigint, n int, matches int, prefix array<bigint>, sketch array<bigint>, wide binary"
     arrow = pa.schema(
         [("node", pa.int64()), ("n", pa.int32()), ("matches", pa.int32())]
-        + [("prefix", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
+        + [("prefix", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("wide", pa.binary())]
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 sets = [s for t in part.column(0).to_pylist() if len(s := shingle_set(t, width))]
-                chosen = [choose_prefix(s, load, percent) for s in sets]
+                chosen = [choose_prefix(s, loads, percent) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([set_id(s) for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([m for m, _ in chosen], pa.int32()),
                         pa.array([p.view(np.int64) for _, p in chosen], arrow[3].type),
-                        pa.array([parity_sketch(s) for s in sets], arrow[4].type),
+                        pa.array([parity_sketch(s, 64 * SKETCH).view(np.int64) for s in sets], arrow[4].type),
+                        pa.array([wide_sketch(s) for s in sets], pa.binary()),
                     ],
                     schema=arrow,
                 )
 
-    rows = texts.select("text").mapInArrow(cut, schema)
-    values = F.struct("n", "matches", "prefix", "sketch")
-    return rows.groupBy("node").agg(F.first(values).alias("set")).select("node", "set.*")
+    return texts.select("text").mapInArrow(cut, schema)
 
 
-def _wanted_texts(texts: DataFrame, measured: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One text for each of the nodes.
+def _bitmap(values: DataFrame, n: int) -> np.ndarray:
+    """A bitmap of the lowest bits of the first column's ``n`` values.
 
-    Texts are picked by a bitmap of hashes of the wanted ones, so that the others
-    are not shuffled. The bitmap is bounded; as it fills up, it lets more pass, and
-    the join that follows is exact.
+    It is bounded: as it fills up it lets more rows pass, and the joins that follow
+    are exact.
     """
-    of_node = measured.where("node is not null").groupBy("node").agg(F.min("text_id").alias("text_id"))
-    wanted = stored(nodes.join(of_node, "node"))
-    bits = min(MOST_BITMAP_BITS, max(16, (16 * wanted.count()).bit_length()))
-    place = F.col("text_id").bitwiseAND(F.lit((1 << bits) - 1))
-    words = wanted.select(F.shiftright(place, 6).alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+    bits = min(MOST_BITMAP_BITS, max(16, (16 * n).bit_length()))
+    place = F.col(values.columns[0]).bitwiseAND(F.lit((1 << bits) - 1))
+    words = values.select(F.shiftright(place, 6).alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
     found = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
     bitmap = np.zeros(1 << (bits - 6), dtype=np.uint64)
     bitmap[found["word"].to_numpy().astype(np.int64)] = found["bits"].to_numpy().view(np.uint64)
+    return bitmap
+
+
+def _hits(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    places = values & (64 * len(bitmap) - 1)
+    return (bitmap[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def _wanted_texts(texts: DataFrame, measured: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """One text for each of the nodes. The other texts are not shuffled."""
+    of_node = measured.where("node is not null").groupBy("node").agg(F.min("text_id").alias("text_id"))
+    wanted = scratch.stored(nodes.join(of_node, "node").select("text_id", "node"))
+    bitmap = _bitmap(wanted, wanted.count())
     ship_code(texts.sparkSession)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = batch.column(0).to_numpy() & ((1 << bits) - 1)
-            hit = (bitmap[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1)
-            yield batch.filter(pa.array(hit.astype(bool)))
+            yield batch.filter(pa.array(_hits(bitmap, batch.column(0).to_numpy())))
 
     picked = texts.select("text_id", "text").mapInArrow(pick, "text_id bigint, text string")
     once = picked.groupBy("text_id").agg(F.first("text").alias("text"))
-    return stored(once.join(wanted, "text_id").select("node", "text"))
+    return scratch.stored(once.join(wanted, "text_id").select("node", "text"))
+
 
+def _not_ruled_out(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose wide sketches do not show that too few shingles are shared."""
+    side = lambda name: sketches.select(F.col("node").alias(name), F.struct("set.n", "wide").alias(f"of_{name}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    flat = both.select("a", "b", (F.col("of_a.n") + F.col("of_b.n")).alias("sizes"), "of_a.wide", F.col("of_b.wide").alias("other"))
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                sizes, x, y = (c.to_pylist() for c in part.columns[2:])
+                fits = [unshared(i, j) <= most_unshared(n, percent) for n, i, j in zip(sizes, x, y)]
+                yield pa.RecordBatch.from_arrays(part.columns[:2], ["a", "b"]).filter(pa.array(fits))
+
+    return flat.mapInArrow(compare, "a bigint, b bigint")
+
+
+def _verified(
+    pairs: DataFrame, sketches: DataFrame, texts: DataFrame, measured: DataFrame, width: int, percent: int, scratch: Scratch
+) -> DataFrame:
     """The pairs ``a, b`` whose sets are linked. ``a`` may be one node in very many pairs."""
     ship_code(pairs.sparkSession)
+    pairs = scratch.stored(_not_ruled_out(scratch.stored(pairs.select("a", "b")), sketches, percent))
+    both = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = _wanted_texts(texts, measured, both, scratch)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
@@ -199,40 +272,60 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
                     hits.append(100 * shared >= percent * (len(one) + len(other) - shared))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(hits))
 
-    pairs = stored(pairs.select("a", "b"))
-    with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return stored(with_b.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a bigint, b bigint"))
+    with_a = pairs.join(wanted.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    with_b = with_a.join(wanted.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    return scratch.stored(with_b.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a bigint, b bigint"))
+
+
+def _members(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows ``token, node`` of the prefix shingles that more than one row of ``nodes`` has.
+
+    All prefix shingles are shuffled once, to be counted. A bitmap of those that
+    count then picks their rows, so that the others are not shuffled again.
+    """
+    tokens = nodes.select(F.explode("prefix").alias("token"))
+    shared = scratch.stored(tokens.groupBy("token").count().where("count > 1").select("token"))
+    bitmap = _bitmap(shared, shared.count())
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(1).flatten().to_numpy()
+            node = np.repeat(batch.column(0).to_numpy(), batch.column(1).value_lengths().to_numpy())
+            hit = _hits(bitmap, values)
+            yield pa.RecordBatch.from_arrays([pa.array(values[hit]), pa.array(node[hit])], ["token", "node"])
+
+    picked = nodes.select("node", "prefix").mapInArrow(pick, "token bigint, node bigint")
+    return scratch.stored(picked.distinct().join(shared, "token").select("token", "node"))
 
 
 def _may_link(percent: int) -> Column:
     """Whether two sets of rows ``x`` and ``y`` can be linked, by size and by what their sketches show not to be shared."""
     sizes = F.col("x.n") + F.col("y.n")
     fits = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
-    unshared = sum(
+    differing = sum(
         (F.bit_count(F.get("x.sketch", F.lit(i)).bitwiseXOR(F.get("y.sketch", F.lit(i)))) for i in range(1, SKETCH)),
         F.bit_count(F.get("x.sketch", F.lit(0)).bitwiseXOR(F.get("y.sketch", F.lit(0)))),
     )
     overlap = F.ceil(percent * sizes / (100 + percent))
-    return fits & (unshared <= sizes - 2 * overlap)
+    return fits & (differing <= sizes - 2 * overlap)
 
 
-def links(texts: DataFrame, measured: DataFrame, width: int, percent: int) -> DataFrame:
+def links(texts: DataFrame, measured: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
     """Links ``a, b`` between distinct sets that connect all sets which links connect.
 
     Sets are joined by the shingles in their prefixes. First every set (then every
-    group) is verified against the smallest set of the shingles they share, which
-    merges most copies with one pair for each. Then all pairs of different groups
-    that share enough prefix shingles, whose sizes fit and whose sketches do not
-    rule them out are verified. So no link between groups is missed, and the pairs
-    within a group are not formed.
+    group) is verified against one that is the smallest with a shingle they share and
+    that their sizes and sketches allow, which merges most copies with one pair
+    for each. Then all pairs of different groups that share enough prefix shingles,
+    whose sizes fit and whose sketches do not rule them out are verified. So no
+    link between groups is missed, and the pairs within a group are not formed.
     """
+    stored = scratch.stored
     nodes = stored(_prefixes(texts, _loads(measured), width, percent))
-    tokens = nodes.select("node", F.explode("prefix").alias("token"))
-    ends = (F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = stored(tokens.groupBy("token").agg(*ends).where("low < high").select("token"))
-    members = stored(tokens.join(shared, "token").select("token", "node", F.col("node").alias("label")))
-    wanted = _wanted_texts(texts, measured, members.select("node").distinct())
+    members = _members(nodes, scratch).withColumn("label", F.col("node"))
+    sketched = nodes.join(members.select("node").distinct(), "node")
+    set_of = F.struct("n", "matches", "sketch")
+    sketches = stored(sketched.groupBy("node").agg(F.first(set_of).alias("set"), F.first("wide").alias("wide")))
 
     found = []
     for _ in range(STAR_ROUNDS):
@@ -240,8 +333,13 @@ def links(texts: DataFrame, measured: DataFrame, width: int, percent: int) -> Da
             members.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         )
         meets = members.join(lowest, "token").where("label <> low").groupBy("label", "low").count()
-        best = meets.groupBy("label").agg(F.max(F.struct("count", (-F.col("low")).alias("low"))).alias("best"))
-        linked = _verified(best.select((-F.col("best.low")).alias("a"), F.col("label").alias("b")), wanted, width, percent)
+        paired = meets.join(sketches.select(F.col("node").alias("label"), F.col("set").alias("x")), "label")
+        paired = paired.join(sketches.select(F.col("node").alias("low"), F.col("set").alias("y")), "low")
+        # The complement reverses the order, so ties go to the smallest.
+        order = F.struct("count", F.bitwise_not("low").alias("low"))
+        best = paired.where(_may_link(percent)).groupBy("label").agg(F.max(order).alias("best"))
+        pairs = best.select(F.bitwise_not("best.low").alias("a"), F.col("label").alias("b"))
+        linked = _verified(pairs, sketches, texts, measured, width, percent, scratch)
         found.append(linked)
         parents = linked.select(F.col("b").alias("label"), F.col("a").alias("parent"))
         members = stored(
@@ -251,14 +349,14 @@ def links(texts: DataFrame, measured: DataFrame, width: int, percent: int) -> Da
     mixed = stored(
         members.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
     )
-    rows = stored(members.join(mixed, "token").join(nodes.select("node", "n", "matches", "sketch"), "node"))
+    rows = stored(members.join(mixed, "token").join(sketches, "node").select("token", "node", "label", "set.*"))
     x, y = rows.alias("x"), rows.alias("y")
     meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
     pairs = x.join(y, meet & (F.col("x.label") != F.col("y.label")) & _may_link(percent))
     enough = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(
         F.count("*").alias("shared"), F.first(F.least("x.matches", "y.matches")).alias("matches")
     )
-    found.append(_verified(enough.where("shared >= matches"), wanted, width, percent))
+    found.append(_verified(enough.where("shared >= matches"), sketches, texts, measured, width, percent, scratch))
     result = found[0]
     for more in found[1:]:
         result = result.union(more)
@@ -287,18 +385,21 @@ def near_duplicates(
 def _placed(docs: DataFrame, width: int, percent: int, id: str, text: str) -> DataFrame:
     texts = docs.select(F.col(id).cast("bigint").alias("doc_id"), filled(text).alias("text"))
     texts = texts.withColumn("text_id", F.xxhash64("text"))
-    measured = stored(_measured(texts, width))
-    roots = components(links(texts, measured, width, percent))
+    scratch = Scratch(docs.sparkSession)
+    measured = scratch.stored(_measured(texts, width))
+    roots = components(links(texts, measured, width, percent, scratch), scratch)
     rows = measured.where("slice is null").drop("slice", "counts")
-    rooted = stored(
-        rows.join(stored(roots), "node", "left").select(
+    rooted = scratch.stored(
+        rows.join(roots, "node", "left").select(
             "doc_id", "text_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("root", "node").alias("root")
         )
     )
-    least = stored(rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")))
+    least = scratch.stored(rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")))
     joined = rooted.join(least, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "text_id", "n_shingles", component.alias("component_id"), "root")
+    result = stored(joined.select("doc_id", "text_id", "n_shingles", component.alias("component_id"), "root"))
+    scratch.drop()
+    return result
 
 
 def one_of_each(docs: DataFrame, width: int, percent: int, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -316,7 +417,7 @@ def one_of_each(docs: DataFrame, width: int, percent: int, id: str = "doc_id", t
         F.col(id).isNull().alias("no_id"),
         F.coalesce(F.col(id).cast("bigint"), F.lit(0)).alias("id"),
         F.xxhash64(filled(text)).alias("text_id"),
-        filled(text).rlike(r"[^\x20\x09-\x0D]").alias("has_words"),
+        filled(text).rlike(r"\S").alias("has_words"),
     )
     kept = marked.where("has_words").join(stay, keys, "left_semi").dropDuplicates(keys)
     return kept.unionByName(marked.where("not has_words")).select("row.*")
@@ -326,3 +427,33 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at three words and a similarity of 0.9."""
     rows = near_duplicates(read_table(spark, sf_dir, "documents"), 3, 90)
     return rows.select("doc_id", "n_shingles", "component_id")
+
+
+#: The twin counts the shared shingles of all pairs.
+OP10_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT nr, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(list_slice(words, i, i + 2), ' ')) END) AS shingle
+  FROM docs
+),
+sizes AS (SELECT nr, count(*) AS n FROM shingles GROUP BY nr),
+shared AS (
+  SELECT a.nr AS x, b.nr AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.nr <> b.nr GROUP BY a.nr, b.nr
+),
+links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.nr = x JOIN sizes b ON b.nr = y
+  WHERE 100 * shared.n >= 90 * (a.n + b.n - shared.n)
+),
+reached(nr, other) AS (
+  SELECT nr, nr FROM docs UNION SELECT reached.nr, links.y FROM reached JOIN links ON reached.other = links.x
+)
+SELECT any_value(docs.doc_id) AS doc_id, coalesce(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(others.doc_id) AS component_id
+FROM reached JOIN docs USING (nr) JOIN docs others ON others.nr = reached.other LEFT JOIN sizes ON sizes.nr = docs.nr
+GROUP BY docs.nr
+"""

@@ -37,4 +37,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_chat_format": chat.OP5_SQL,
         "op6_source_mixture": mixing.OP6_SQL,
         "op7_license_scan": licenses.OP7_SQL,
+        "op9_quality_rules": quality.OP9_SQL,
+        "op10_jaccard_join": jaccard.OP10_SQL,
     }
