@@ -25,7 +25,7 @@ def duck():
 
 
 def _ordered(rows):
-    return sorted(rows, key=lambda row: [("", "") if isinstance(v, float) else (v is None, str(v)) for v in row])
+    return sorted(rows, key=lambda row: [(v is None, "" if isinstance(v, float) else str(v)) for v in row])
 
 
 def _same(a, b):
