@@ -4,16 +4,16 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
 from topup_analytics import operators as op
 from topup_analytics import plans
+from topup_analytics.plans import queries
 from topup_analytics.sinks import day_hash
 from topup_analytics.sources import batch_lines
 
 SF_DIR = "/root/testdata/sf0.001"
 BATCH = [
     name
-    for name in contract.queries()
+    for name in queries.queries()
     if not re.match("stream_|running_|late_|tumbling_minute|failure_table|success_table|batch_", name)
 ]
 
@@ -99,7 +99,7 @@ def test_only_the_fixed_dimension_is_broadcast(log, spark):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_registered_plans_have_no_python_and_no_cross_join(spark, name):
-    text = plan(contract.queries()[name](spark, SF_DIR))
+    text = plan(queries.queries()[name](spark, SF_DIR))
     for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Window"):
         assert node not in text
     assert text.count("FileScan") == 1
