@@ -31,11 +31,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a main language; a missing label is filled with it."""
     names, model = learn(docs)
-    row = F.struct(*docs.columns)
-    found = with_languages(docs.select(row.alias("row"), F.col("text").alias("text")), names, model)
-    main = (F.col("language.lang_pred") != UNDETERMINED) & (F.col("language.score") >= LEAST_MAIN_SHARE)
-    labelled = F.col("row").withField("lang", F.coalesce("row.lang", "language.lang_pred"))
-    return found.where(main).select(labelled.alias("row")).select("row.*")
+    main = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_MAIN_SHARE)
+    found = with_languages(docs, names, model).where(main)
+    return found.select(F.col("row").withField("lang", F.coalesce("row.lang", "lang_pred")).alias("row")).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,8 +124,8 @@ def test_languages(spark, odd, none):
     names, model = language.learn(docs.where(~language.held_out()))
     assert names == ["de", "en", "es", "fr"] and np.allclose(model.sum(axis=0), 1)
     rows = language.with_languages(docs.where(language.held_out()), names, model).collect()
-    assert sum(r["lang"] == r["language"]["lang_pred"] for r in rows) > 0.97 * len(rows)
-    strange = language.with_languages(odd, names, model).select("text", "language.*", "n_chars").collect()
+    assert sum(r["row"]["lang"] == r["lang_pred"] for r in rows) > 0.97 * len(rows)
+    strange = language.with_languages(odd, names, model).select("row.text", "lang_pred", "score", "languages", "shares").collect()
     assert len(strange) == len(odd_rows())
     for r in strange:
         letters = any(c.isalpha() for c in r["text"] or "")
@@ -133,7 +133,7 @@ def test_languages(spark, odd, none):
         assert r["shares"] == sorted(r["shares"], reverse=True) and len(r["shares"]) == len(r["languages"])
     assert language.with_languages(none, names, model).count() == 0
     unknown, empty = language.learn(none)
-    assert {r[0] for r in language.with_languages(odd, unknown, empty).select("language.lang_pred").collect()} == {"und"}
+    assert {r[0] for r in language.with_languages(odd, unknown, empty).select("lang_pred").collect()} == {"und"}
 
 
 def test_mixture_of_two_languages(spark):
@@ -144,7 +144,7 @@ def test_mixture_of_two_languages(spark):
         texts.setdefault(r["lang"], []).append(r["text"])
     mixed = [a + " " + b for a, b in zip(texts["de"], texts["fr"])][:10]
     frame = spark.createDataFrame([(t,) for t in mixed], "text string")
-    for r in language.with_languages(frame, names, model).select("language.*").collect():
+    for r in language.with_languages(frame, names, model).collect():
         assert {"de", "fr"} <= set(r["languages"]) and sum(r["shares"]) == pytest.approx(1, abs=1e-4)
 
 

@@ -6,11 +6,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 
-from topup_analytics.llm.common import filled, read_table, ship_code
+from topup_analytics.llm.common import filled, held_out, read_table, ship_code, slices
 
 #: Character trigrams are hashed to so many buckets.
 BUCKET_BITS = 12
@@ -69,24 +70,25 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list
     share = F.create_map(*[x for row in sizes for x in (F.lit(row["lang"]), F.lit(FIT_TEXTS / row["count"]))])
     chosen = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            for name, body in zip(batch["lang"], batch["text"]):
-                found = trigram_counts(body)
-                if found is not None:
-                    totals[name] = totals.get(name, 0) + found
+            for part in slices(batch):
+                for body, name in zip(*(c.to_pylist() for c in part.columns)):
+                    found = trigram_counts(body)
+                    if found is not None:
+                        totals[name] = totals.get(name, 0) + found
         for name, found in totals.items():
             used = np.flatnonzero(found)
-            yield pd.DataFrame({"lang": name, "bucket": used.astype(np.int32), "n": found[used].astype(np.int64)})
+            columns = [pa.array([name] * len(used)), pa.array(used, pa.int32()), pa.array(found[used], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "n"])
 
-    counted = labelled.where(chosen).mapInPandas(count, "lang string, bucket int, n bigint")
-    rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    names = sorted(rows["lang"].unique())
+    counted = labelled.where(chosen).mapInArrow(count, "lang string, bucket int, n bigint")
+    rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    names = sorted(set(rows["lang"].to_pylist()))
     counts = np.full((BUCKETS, len(names)), SMOOTHING)
-    for number, name in enumerate(names):
-        own = rows[rows["lang"] == name]
-        counts[own["bucket"], number] += own["n"]
+    at = [names.index(name) for name in rows["lang"].to_pylist()]
+    counts[rows["bucket"].to_numpy(), at] += rows["n"].to_numpy()
     return names, counts / counts.sum(axis=0)
 
 
@@ -133,31 +135,43 @@ def infer(counts: np.ndarray, model: np.ndarray) -> np.ndarray:
     return chosen
 
 
-def with_languages(docs: DataFrame, names: list[str], model: np.ndarray, text: str = "text", into: str = "language") -> DataFrame:
-    """Adds the struct ``into``: ``lang_pred``, ``score``, ``languages`` and ``shares`` of every whole text.
+def with_languages(
+    docs: DataFrame, names: list[str], model: np.ndarray, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """The struct ``row`` of the columns ``keep`` (all by default), and the languages of every whole text.
 
-    ``languages`` is the chosen set, largest share first, ``lang_pred`` its first
-    member and ``score`` that member's share. A text that is null or has no
-    letters is undetermined, with score 0 and no languages; so is every text where
-    the model knows no language. Each row is predicted from its text alone, so
-    ids may be null or repeated; an empty table gives no rows.
+    ``languages`` is the chosen set, largest share first, with its ``shares``;
+    ``lang_pred`` is its first member and ``score`` that member's share. A text that
+    is null or has no letters is undetermined, with score 0 and no languages; so is
+    every text where the model knows no language. Each row is predicted from its
+    text alone, so ids may be null or repeated; an empty table gives no rows.
     """
     ship_code(docs.sparkSession)
-    small = model.astype(np.float32)
-    names = list(names)
+    small, names = model.astype(np.float32), list(names)
+    rows = docs.select(F.struct(*(docs.columns if keep is None else keep)).alias("row"), filled(text).alias("text"))
+    schema = StructType([rows.schema["row"], *_PREDICTED.fields])
+
+    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, BLOCK):
+                found = _predict(part.column(1).to_pylist(), names, small)
+                columns = [pa.array(v, t) for v, t in zip(zip(*found), _ARROW)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], schema.names)
+
+    return rows.mapInArrow(predicted, schema)
 
-    @F.pandas_udf("lang_pred string, score double, languages array<string>, shares array<double>")
-    def predicted(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
-            yield pd.concat(
-                [_predict(batch.iloc[i : i + BLOCK], names, small) for i in range(0, max(len(batch), 1), BLOCK)],
-                ignore_index=True,
-            )
 
-    return docs.withColumn(into, predicted(filled(text)))
+_PREDICTED = (
+    StructType()
+    .add("lang_pred", StringType())
+    .add("score", DoubleType())
+    .add("languages", ArrayType(StringType()))
+    .add("shares", ArrayType(DoubleType()))
+)
+_ARROW = [pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64())]
 
 
-def _predict(texts: pd.Series, names: list[str], model: np.ndarray) -> pd.DataFrame:
+def _predict(texts: list[str], names: list[str], model: np.ndarray) -> list[tuple]:
     found = [trigram_counts(t) if names else None for t in texts]
     rows = [i for i, x in enumerate(found) if x is not None]
     out = [(UNDETERMINED, 0.0, [], [])] * len(found)
@@ -168,25 +182,12 @@ def _predict(texts: pd.Series, names: list[str], model: np.ndarray) -> pd.DataFr
             kept = [k for k in ranked if own[k] > 0]
             parts = [min(1.0, float(own[k])) for k in kept]
             out[row] = (names[kept[0]], parts[0], [names[k] for k in kept], parts)
-    return pd.DataFrame(out, columns=["lang_pred", "score", "languages", "shares"])
-
-
-def held_out(id: str | Column = "doc_id", folds: int = 3, fold: int = 1) -> Column:
-    """Whether a row belongs to the fold that is not learned from; a null id counts as empty text."""
-    column = F.col(id) if isinstance(id, str) else id
-    return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % folds == fold
+    return out
 
 
 def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all whole documents, learned from two thirds of them."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     names, model = learn(docs.where(~held_out()))
-    rows = with_languages(docs.select("doc_id", "text"), names, model)
-    return rows.select(
-        "doc_id",
-        held_out().alias("held_out"),
-        "language.lang_pred",
-        "language.score",
-        "language.languages",
-        "language.shares",
-    )
+    rows = with_languages(docs, names, model, keep=["doc_id"])
+    return rows.select("row.doc_id", held_out("row.doc_id").alias("held_out"), *_PREDICTED.names)
