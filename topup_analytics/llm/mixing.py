@@ -137,19 +137,18 @@ def mixed(
     other. An empty table gives no rows.
     """
     row = F.struct(*map(F.col, docs.columns if keep is None else keep))
-    sized = stored(
-        docs.select(
-            row.alias("row"),
-            F.coalesce(F.concat(F.lit("a"), F.col(source).cast("string")), F.lit("b")).alias("stratum"),
-            F.size(words(filled(text))).cast("bigint").alias("size"),
-            seeded_key(seed, F.col(id), F.col(source), F.col(text)).alias("key"),
-        )
+    sized = docs.select(
+        row.alias("row"),
+        F.coalesce(F.concat(F.lit("a"), F.col(source).cast("string")), F.lit("b")).alias("stratum"),
+        F.size(words(filled(text))).cast("bigint").alias("size"),
+        seeded_key(seed, F.col(id), F.col(source), F.col(text)).alias("key"),
     )
-    sources = stored(sized.groupBy("stratum").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")))
+    narrow = stored(sized.drop("row"))
+    sources = stored(narrow.groupBy("stratum").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")))
     plan = block_quotas(source_targets(sources.select("stratum", "source_size"), weights, most), shards, most)
     n_rows = sources.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     bucket = hex_bucket(F.col("key"), even_buckets(n_rows))
-    lined = running_sum(sized, ["stratum"], bucket, ["key"], "size", "start", "_size_of_source")
+    lined = running_sum(sized, ["stratum"], bucket, ["key"], "size", "start", "_size_of_source", narrow)
     offset = F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit(seed), "stratum")), 1, 8), 16, 10).cast("bigint"), "line")
     plan = plan.select(
         "stratum",
