@@ -30,8 +30,6 @@ SKETCH = 8
 LEAST_WIDE, MOST_WIDE = 1024, 16_384
 #: A bitmap that picks rows by a hash has 16 bits for each value, up to 2 ** this many.
 MOST_BITMAP_BITS = 27
-#: Rounds that merge groups around their smallest member before all remaining pairs are tried.
-STAR_ROUNDS = 2
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -313,38 +311,43 @@ def _may_link(percent: int) -> Column:
 def links(texts: DataFrame, measured: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
     """Links ``a, b`` between distinct sets that connect all sets which links connect.
 
-    Sets are joined by the shingles in their prefixes. First every set (then every
-    group) is verified against one that is the smallest with a shingle they share and
-    that their sizes and sketches allow, which merges most copies with one pair
-    for each. Then all pairs of different groups that share enough prefix shingles,
-    whose sizes fit and whose sketches do not rule them out are verified. So no
-    link between groups is missed, and the pairs within a group are not formed.
+    Sets are joined by the shingles in their prefixes. The centre of a shingle is
+    the set, of those with it, that shares the largest part of its prefix with
+    others: of a family of copies, the one with the fewest changes. First every set
+    is verified against the centre that it has most shingles in common with and
+    that size and sketch allow, which groups most copies by one pair for each. Then
+    all pairs of different groups that share enough prefix shingles, whose sizes
+    fit and whose sketches do not rule them out are verified. So no link between
+    groups is missed, and the pairs within a group are not formed.
     """
     stored = scratch.stored
     nodes = stored(_prefixes(texts, _loads(measured), width, percent))
-    members = _members(nodes, scratch).withColumn("label", F.col("node"))
-    sketched = nodes.join(members.select("node").distinct(), "node")
-    set_of = F.struct("n", "matches", "sketch")
-    sketches = stored(sketched.groupBy("node").agg(F.first(set_of).alias("set"), F.first("wide").alias("wide")))
-
-    found = []
-    for _ in range(STAR_ROUNDS):
-        lowest = stored(
-            members.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        )
-        meets = members.join(lowest, "token").where("label <> low").groupBy("label", "low").count()
-        paired = meets.join(sketches.select(F.col("node").alias("label"), F.col("set").alias("x")), "label")
-        paired = paired.join(sketches.select(F.col("node").alias("low"), F.col("set").alias("y")), "low")
-        # The complement reverses the order, so ties go to the smallest.
-        order = F.struct("count", F.bitwise_not("low").alias("low"))
-        best = paired.where(_may_link(percent)).groupBy("label").agg(F.max(order).alias("best"))
-        pairs = best.select(F.bitwise_not("best.low").alias("a"), F.col("label").alias("b"))
-        linked = _verified(pairs, sketches, texts, measured, width, percent, scratch)
-        found.append(linked)
-        parents = linked.select(F.col("b").alias("label"), F.col("a").alias("parent"))
-        members = stored(
-            members.join(parents, "label", "left").select("token", "node", F.coalesce("parent", "label").alias("label"))
-        )
+    members = _members(nodes, scratch)
+    weight = (F.col("count") / F.size("prefix")).alias("weight")
+    sketched = nodes.join(members.groupBy("node").count(), "node").select(
+        "node", F.struct("n", "matches", "sketch").alias("set"), "wide", weight
+    )
+    sketches = stored(
+        sketched.groupBy("node").agg(*[F.first(c).alias(c) for c in ("set", "wide", "weight")])
+    )
+    weighted = stored(members.join(sketches.select("node", "weight"), "node"))
+
+    # Complements reverse the order, so ties go to the smallest.
+    first = F.max(F.struct("weight", F.bitwise_not("node").alias("other")))
+    centres = stored(weighted.groupBy("token").agg(first.alias("best")).select("token", F.bitwise_not("best.other").alias("centre")))
+    meets = weighted.join(centres, "token").where("node <> centre").groupBy("node", "centre").count()
+    paired = meets.join(sketches.select("node", F.col("set").alias("x")), "node")
+    paired = paired.join(sketches.select(F.col("node").alias("centre"), F.col("set").alias("y")), "centre")
+    order = F.struct("count", F.bitwise_not("centre").alias("other"))
+    best = paired.where(_may_link(percent)).groupBy("node").agg(F.max(order).alias("best"))
+    pairs = best.select(F.bitwise_not("best.other").alias("a"), F.col("node").alias("b"))
+    linked = _verified(pairs, sketches, texts, measured, width, percent, scratch)
+    parents = linked.select(F.col("b").alias("node"), F.col("a").alias("parent"))
+    above = linked.select(F.col("b").alias("parent"), F.col("a").alias("grandparent"))
+    groups = parents.join(above, "parent", "left").select("node", F.coalesce("grandparent", "parent").alias("label"))
+    members = stored(
+        weighted.join(stored(groups), "node", "left").select("token", "node", F.coalesce("label", "node").alias("label"))
+    )
 
     mixed = stored(
         members.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
@@ -356,11 +359,7 @@ def links(texts: DataFrame, measured: DataFrame, width: int, percent: int, scrat
     enough = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(
         F.count("*").alias("shared"), F.first(F.least("x.matches", "y.matches")).alias("matches")
     )
-    found.append(_verified(enough.where("shared >= matches"), sketches, texts, measured, width, percent, scratch))
-    result = found[0]
-    for more in found[1:]:
-        result = result.union(more)
-    return result
+    return linked.union(_verified(enough.where("shared >= matches"), sketches, texts, measured, width, percent, scratch))
 
 
 def near_duplicates(
