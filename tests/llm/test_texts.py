@@ -1,6 +1,7 @@
 """License scans, quality rules, languages and BPE against plain versions."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -10,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tests.llm.conftest import odd_rows
+from tests.llm.conftest import odd_rows, sentence
 from topup_analytics.llm import bpe, language, licenses, quality
 from topup_analytics.llm.common import read_table
 
@@ -111,6 +112,27 @@ def test_quality_without_references(none, odd):
     assert all(r["kept"] != r["base_failed"] and r["distance"] is None for r in rows)
 
 
+def test_quality_of_further_languages(spark):
+    rng = random.Random(5)
+    frequent = "и в не на я что он с как это по но".split()
+    rare = ["".join(rng.choice("абвгдежзиклмнопрстуфхцчшыя") for _ in range(rng.randint(4, 9))) for _ in range(400)]
+    clean = lambda: " ".join(rng.choice(frequent if rng.random() < 0.4 else rare) for _ in range(300))
+    junk = lambda: " ".join(f"{rng.randrange(10**9)}=={rng.randrange(10**6)}" for _ in range(60))
+    rows = [(i, clean(), "ru", True) for i in range(120)] + [(200 + i, junk(), "ru", False) for i in range(4)]
+    rows += [(300, clean(), None, True), (301, junk(), None, False), (302, clean(), "en", True)]
+    # Too few texts for a reference, and none that passes the base.
+    rows += [(400, sentence(rng, 60, "אבגדהוזח"), "he", None), (401, "le la " * 40, "fr", None)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    docs = docs.union(read_table(spark, "/root/testdata/sf0.001", "documents").where("lang <> 'fr'").selectExpr("doc_id + 1000", "text", "lang"))
+    assert set(quality.common_words(docs)["ru"]) == set(frequent)
+    found = {r["row"]["doc_id"]: r for r in quality.judged(docs, ["doc_id"]).where("row.doc_id < 1000").collect()}
+    for doc, _, _, kept in rows:
+        if kept is None:
+            assert found[doc]["kept"] != found[doc]["base_failed"] and found[doc]["distance"] is None
+        else:
+            assert found[doc]["kept"] == kept and found[doc]["distance"] is not None
+
+
 def test_divergence_is_symmetric_and_bounded(spark):
     from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topup_analytics.llm.common import bound, filled, read_table, stored, words
@@ -13,7 +13,7 @@ MOST_REPEATED_PERCENT = 30
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 
-#: Frequent function words of the reference languages.
+#: Frequent function words of four languages; those of any other are taken from the corpus.
 COMMON_WORDS = {
     "en": ("the", "of", "and", "to", "in", "a", "is", "that", "it", "for", "was", "with"),
     "fr": ("de", "la", "le", "et", "les", "des", "que", "en", "un", "est", "pour", "dans"),
@@ -28,6 +28,12 @@ CLASSES = {
     "space": r"\s+",
     "mark": r"[.,;:'\"()!?-]+",
 }
+#: So many words stand for each language.
+N_COMMON = 12
+#: A language beyond ``COMMON_WORDS`` has a reference from so many texts on; shares of fewer say little.
+LEAST_TEXTS = 100
+#: Words are first ranked in so many parts of a language's vocabulary.
+WORD_PARTS = 64
 #: Shorter texts are not judged by their histograms.
 JUDGED_WORDS = 40
 #: A text further (Jensen-Shannon distance, base 2) than this from every reference is rejected.
@@ -74,22 +80,60 @@ def _count(text: Column, pattern: str) -> Column:
     return F.octet_length(text) - F.octet_length(F.regexp_replace(text, pattern, ""))
 
 
-def text_counts(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
+def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[str, ...]]:
+    """``COMMON_WORDS``, and for each other language of ``LEAST_TEXTS`` rows the words found in most of its texts.
+
+    Reads the texts only if there is such a language. Ties go by spelling; a
+    language of fewer words has empty ones, which no text holds.
+    """
+    rows = docs.select(F.col(lang).cast("string").alias("lang"), filled(text).alias("text"))
+    labelled = rows.where(F.col("lang").isNotNull() & ~F.col("lang").isin(*COMMON_WORDS))
+    sizes = labelled.groupBy("lang").count().where(F.col("count") >= LEAST_TEXTS)
+    names = sorted(row["lang"] for row in sizes.collect())
+    if not names:
+        return COMMON_WORDS
+    each = labelled.where(F.col("lang").isin(names)).select("lang", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
+    # Ranked in parts first, so that no task orders a language's whole vocabulary.
+    counted = each.groupBy("lang", "word").count().withColumn("part", F.pmod(F.xxhash64("word"), F.lit(WORD_PARTS)))
+    for group in (["lang", "part"], ["lang"]):
+        best = Window.partitionBy(*group).orderBy(F.desc("count"), "word")
+        counted = counted.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= N_COMMON)
+    found: dict[str, list[str]] = {name: [] for name in names}
+    for row in counted.orderBy("lang", "rank").collect():
+        found[row["lang"]].append(row["word"])
+    return COMMON_WORDS | {name: tuple([*group, *[""] * (N_COMMON - len(group))]) for name, group in found.items()}
+
+
+def _occurrences(common: Column, groups: dict[str, tuple[str, ...]]) -> Column:
+    """How often each word of the groups occurs, one group after the other."""
+    if len(groups) == len(COMMON_WORDS):
+        return F.array(*[F.size(common) - F.size(F.array_remove(common, w)) for group in groups.values() for w in group])
+    # Each word that the text has is counted once, however many languages there are.
+    times = lambda found: F.transform(found, lambda w: F.size(common) - F.size(F.array_remove(common, w)))
+    every = F.array(*[F.lit(w) for group in groups.values() for w in group])
+    look_up = lambda of: F.transform(every, lambda w: F.coalesce(F.try_element_at(of, w), F.lit(0)))
+    return bound(bound(F.array_distinct(common), lambda found: F.map_from_arrays(found, times(found))), look_up)
+
+
+def text_counts(
+    docs: DataFrame,
+    keep: list[str],
+    text: str = "text",
+    lang: str = "lang",
+    groups: dict[str, tuple[str, ...]] = COMMON_WORDS,
+) -> DataFrame:
     """The base counts and both histograms of every whole text, in one pass without a shuffle.
 
     ``classes`` counts the characters of each class, and ``common`` the words of each list of
-    ``COMMON_WORDS``, one list after the other. Both stand beside ``lang`` and, in ``row``, the ``keep`` columns.
+    ``groups``, one list after the other. Both stand beside ``lang`` and, in ``row``, the ``keep`` columns.
     """
     rows = docs.select(F.struct(*keep).alias("row"), F.col(lang).cast("string").alias("lang"), filled(text).alias("text"))
     rows = rows.withColumn("words", words(F.col("text")))
-    every = sorted({w for group in COMMON_WORDS.values() for w in group})
+    every = sorted({w for group in groups.values() for w in group})
     body = F.col("text")
     lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(r"\S"))
     n_symbols = sum((F.octet_length(body) - F.octet_length(F.replace(body, F.lit(s), F.lit("")))) for s in SYMBOLS)
     foreign = F.char_length(F.regexp_replace(body, r"[\x00-\x7F]+", ""))
-    per_word = lambda common: F.array(
-        *[F.size(common) - F.size(F.array_remove(common, w)) for group in COMMON_WORDS.values() for w in group]
-    )
     counted = rows.select(
         "row",
         "lang",
@@ -100,7 +144,7 @@ def text_counts(docs: DataFrame, keep: list[str], text: str = "text", lang: str
         bound(F.col("words"), lambda w: repeated_words(w)).alias("n_repeat_words"),
         F.char_length(body).alias("n_chars"),
         F.array(*[_count(body, p) for p in CLASSES.values()], foreign).alias("counted"),
-        bound(F.filter("words", lambda w: w.isin(every)), per_word).alias("common"),
+        bound(F.filter("words", lambda w: w.isin(every)), lambda w: _occurrences(w, groups)).alias("common"),
     )
     known = F.aggregate("counted", F.lit(0), lambda total, x: total + x)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
@@ -118,29 +162,35 @@ def text_counts(docs: DataFrame, keep: list[str], text: str = "text", lang: str
     )
 
 
-def references(counts: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
-    """Shares of character classes and of common words in the texts of each reference language.
+def references(
+    counts: DataFrame, groups: dict[str, tuple[str, ...]] = COMMON_WORDS
+) -> dict[str, tuple[list[float], list[float]]]:
+    """Shares of character classes and of common words in the texts of each language of ``groups``.
 
-    One partial aggregation to a row for each language of ``COMMON_WORDS``. A
-    language without texts has no reference.
+    One partial aggregation to a row for each language. A language without
+    texts has no reference, nor has one beyond ``COMMON_WORDS`` with fewer than ``LEAST_TEXTS``.
     """
-    n_classes, n_common = len(CLASSES) + 2, sum(map(len, COMMON_WORDS.values()))
-    sums = counts.where(F.col("lang").isin(*COMMON_WORDS)).groupBy("lang").agg(
+    n_classes = len(CLASSES) + 2
+    places = F.create_map(*[F.lit(x) for at, name in enumerate(groups) for x in (name, at * N_COMMON + 1)])
+    of_language = counts.where(F.col("lang").isin(*groups)).withColumn(
+        "own", F.slice("common", F.element_at(places, F.col("lang")), N_COMMON)
+    )
+    sums = of_language.groupBy("lang").agg(
+        F.count("*").alias("texts"),
         F.sum("n_words").alias("n"),
         F.array(*[F.sum(F.col("classes")[i].cast("bigint")) for i in range(n_classes)]).alias("classes"),
-        F.array(*[F.sum(F.col("common")[i].cast("bigint")) for i in range(n_common)]).alias("common"),
+        F.array(*[F.sum(F.col("own")[i].cast("bigint")) for i in range(N_COMMON)]).alias("own"),
     )
     found = {}
-    first = 0
     by_lang = {row["lang"]: row for row in sums.collect()}
-    for name, group in COMMON_WORDS.items():
-        if row := by_lang.get(name):
-            own = row["common"][first : first + len(group)]
+    for name in groups:
+        row = by_lang.get(name)
+        if row and (name in COMMON_WORDS or row["texts"] >= LEAST_TEXTS):
+            own = row["own"]
             found[name] = (
                 [n / sum(row["classes"]) for n in row["classes"]],
                 [n / row["n"] for n in [*own, row["n"] - sum(own)]],
             )
-        first += len(group)
     return found
 
 
@@ -156,15 +206,15 @@ def _divergence(shares: Column, reference: list[float]) -> Column:
     return F.greatest(total / 2, F.lit(0.0))
 
 
-def _measured(counts: DataFrame, found: dict[str, tuple[list[float], list[float]]]) -> DataFrame:
-    """Adds the distance from the nearest reference; null for short texts and where there is no reference."""
+def _measured(
+    counts: DataFrame, found: dict[str, tuple[list[float], list[float]]], groups: dict[str, tuple[str, ...]] = COMMON_WORDS
+) -> DataFrame:
+    """Adds the distance from the nearest reference; null for short texts and where the text's language has no reference."""
     n_chars = F.aggregate("classes", F.lit(0), lambda total, x: total + x)
     class_shares = F.transform("classes", lambda n: n / n_chars)
 
     def word_shares(name: str) -> Column:
-        names = list(COMMON_WORDS)
-        first = sum(len(COMMON_WORDS[other]) for other in names[: names.index(name)])
-        own = F.slice("common", first + 1, len(COMMON_WORDS[name]))
+        own = F.slice("common", list(groups).index(name) * N_COMMON + 1, N_COMMON)
         rest = F.col("n_words") - F.aggregate(own, F.lit(0), lambda total, x: total + x)
         return F.transform(F.concat(own, F.array(rest.cast("int"))), lambda n: n / F.col("n_words"))
 
@@ -174,7 +224,8 @@ def _measured(counts: DataFrame, found: dict[str, tuple[list[float], list[float]
         F.sqrt((_divergence(class_shares, classes) + _divergence(word_shares(name), common)) / 2)
         for name, (classes, common) in found.items()
     ]
-    judged_here = F.col("n_words") >= JUDGED_WORDS
+    has_reference = F.col("lang").isNull() | F.col("lang").isin(*found)
+    judged_here = (F.col("n_words") >= JUDGED_WORDS) & has_reference
     return counts.withColumn("distance", F.when(judged_here, F.array_min(F.array(*distances))))
 
 
@@ -189,9 +240,11 @@ def judged(docs: DataFrame, keep: list[str] | None = None, text: str = "text", l
     texts of a language that pass the base rules and are not far from the same
     shares with those far texts included. The distance of a text from a reference
     is the root of the mean divergence of the two histograms; a text is far if it
-    is further than ``MOST_DISTANCE`` from each reference, so a wrong or missing
-    language does not reject it. Texts under ``JUDGED_WORDS`` words, and all texts
-    where no reference exists, are not judged so, and their distance is null.
+    is further than ``MOST_DISTANCE`` from each reference, so another language's
+    label does not reject it, and a text without a label is held against all. Every
+    language of the corpus has a reference (see ``common_words`` and ``references``
+    for those of few texts). Texts under ``JUDGED_WORDS`` words, and all texts whose
+    language has no reference, are not judged so, and their distance is null.
 
     Returns ``row`` (a struct of the ``keep`` columns, all by default), the
     counts, ``base_failed``, ``distance`` and ``kept``. A
@@ -199,10 +252,11 @@ def judged(docs: DataFrame, keep: list[str] | None = None, text: str = "text", l
     one, so ids may be null or repeated; an empty table gives no rows.
     """
     keep = docs.columns if keep is None else keep
-    counts = stored(text_counts(docs, keep, text, lang))
+    groups = common_words(docs, text, lang)
+    counts = stored(text_counts(docs, keep, text, lang, groups))
     usable = counts.where(~F.col("base_failed"))
-    rough = _measured(usable, references(usable))
-    rows = _measured(counts, references(rough.where(~_far())))
+    rough = _measured(usable, references(usable, groups), groups)
+    rows = _measured(counts, references(rough.where(~_far()), groups), groups)
     kept = ~F.col("base_failed") & ~_far()
     return rows.select(
         "row",
