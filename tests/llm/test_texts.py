@@ -178,6 +178,27 @@ def test_shares_raise_the_likelihood():
     assert np.allclose(shares.sum(axis=1), 1) and np.abs(shares - [0.7, 0, 0.3]).max() < 0.06
 
 
+def test_every_labelled_language_is_learned(spark):
+    rng = random.Random(6)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 2600)]
+    texts = [(f"l{k:03}", sentence(rng, 40, letters[10 * k : 10 * k + 10])) for k in range(260)]
+    docs = spark.createDataFrame([t for t in texts for _ in range(1 + (t[0] > "l003"))], "lang string, text string")
+    names, model = language.learn(docs)
+    assert names == [name for name, _ in texts]
+    rows = language.with_languages(docs, names, model).collect()
+    assert all(r["languages"] == [r["row"]["lang"]] for r in rows)
+
+
+def test_the_likelihood_alone_limits_the_languages():
+    rng = np.random.default_rng(3)
+    model = np.maximum(rng.dirichlet(np.full(200, 0.2), 7).T, 1e-9)
+    model /= model.sum(axis=0)
+    for want in ([0.3, 0.2, 0.2, 0.15, 0.15, 0, 0], [0, 0.96, 0, 0, 0, 0, 0.04], [0, 0, 1, 0, 0, 0, 0]):
+        counts = rng.multinomial(60_000, model @ want, 3).astype(np.float32)
+        shares = language.infer(counts, model.astype(np.float32))
+        assert ((shares > 0) == (np.array(want) > 0)).all() and np.abs(shares - want).max() < 0.02
+
+
 def test_bpe_of_odd_rows(odd, none):
     tokenizer = bpe.encoding()
     rows = bpe.encode(odd, data="bytes", ids="ids").select("text", "ids", "bytes", "held").collect()

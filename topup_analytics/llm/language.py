@@ -18,17 +18,16 @@ BUCKET_BITS = 12
 BUCKETS = 1 << BUCKET_BITS
 #: Texts of each language that the model is learned from, about; all if there are fewer.
 FIT_TEXTS = 20_000
-#: The model holds the most frequent languages, up to so many.
-MOST_LANGUAGES = 256
 SMOOTHING = 0.5
-STEPS = 6
+#: Languages whose logarithms are held at once.
+LANGUAGE_BLOCK = 256
 #: Documents inferred together; bounds the memory of a task.
 BLOCK = 256
 #: A further language must raise the log likelihood by this many times the log of the number
 #: of trigrams. Each letter is in three trigrams, so the usual half is taken three times.
 PENALTY = 1.5
-MOST_IN_TEXT = 3
-LEAST_SHARE = 0.05
+#: Shares are settled once no others can raise the log likelihood by this part of the penalty.
+SETTLED = 0.05
 UNDETERMINED = "und"
 
 
@@ -59,12 +58,12 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list
     """Languages, and the probability of each trigram bucket in them (buckets by languages).
 
     Learned from about ``FIT_TEXTS`` texts of each language, chosen by a hash of
-    the text. The counts of a language are as many as there are buckets, so the
-    model's size is bounded. Rows with a null text or language are left out.
+    the text. Every labelled language is learned; its counts are as many as there
+    are buckets. Rows with a null text or language are left out.
     """
     ship_code(docs.sparkSession)
     labelled = docs.select(filled(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text <> ''")
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = labelled.groupBy("lang").count().collect()
     if not sizes:
         return [], np.zeros((BUCKETS, 0))
     share = F.create_map(*[x for row in sizes for x in (F.lit(row["lang"]), F.lit(FIT_TEXTS / row["count"]))])
@@ -92,47 +91,70 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list
     return names, counts / counts.sum(axis=0)
 
 
-def _maximise(counts: np.ndarray, model: np.ndarray, shares: np.ndarray) -> np.ndarray:
-    """Expectation-maximisation of each row's shares; a share of 0 stays 0."""
-    for _ in range(STEPS):
-        shares = shares * ((counts / np.maximum(shares @ model.T, 1e-30)) @ model)
-        shares /= shares.sum(axis=1, keepdims=True)
-    return shares
+def _settle(counts: np.ndarray, parts: np.ndarray, shares: np.ndarray, known: float, penalty: float) -> tuple[np.ndarray, float]:
+    """Expectation-maximisation of one text's shares in a set of languages, and their log likelihood.
+
+    ``parts`` has the set's probabilities of the text's buckets. The largest slope
+    less the number of trigrams bounds what any other shares of the set could add:
+    steps end once that is little, or once the set cannot exceed ``known`` by the penalty.
+    """
+    n = counts.sum()
+    while True:
+        mixed = parts @ shares
+        likelihood = counts @ np.log(mixed)
+        slope = (counts / mixed) @ parts
+        left = slope.max() - n
+        if left <= SETTLED * penalty + 1e-9 * n or likelihood + left <= known + penalty:
+            return shares, likelihood
+        moved = shares * slope / n
+        if np.array_equal(moved, shares):
+            return shares, likelihood
+        shares = moved
+
+
+def _languages(counts: np.ndarray, model: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """The shares of one text's languages, from the likelihoods of each language alone."""
+    used = np.flatnonzero(counts)
+    n_here = counts[used].astype(np.float64)
+    n = n_here.sum()
+    penalty = PENALTY * np.log(n)
+    members, shares = [int(single.argmax())], np.ones(1)
+    parts = model[used][:, members].astype(np.float64)
+    likelihood = n_here @ np.log(parts[:, 0])
+    while len(members) < model.shape[1]:
+        ratio = np.zeros(len(counts), dtype=model.dtype)
+        ratio[used] = n_here / (parts @ shares)
+        # No language adds more to the likelihood than its slope exceeds the number of trigrams.
+        slope = ratio @ model
+        slope[members] = 0
+        hopeful = np.flatnonzero(slope - n > penalty)
+        best = None
+        for other in hopeful[np.argsort(-slope[hopeful], kind="stable")]:
+            wider = np.column_stack([parts, model[used, other]])
+            part = 1 / (len(members) + 1)
+            known = likelihood if best is None else best[0] - penalty
+            found, fit = _settle(n_here, wider, np.append(shares * (1 - part), part), known, penalty)
+            if fit > known + penalty:
+                best = fit, int(other), wider, found
+        if best is None:
+            break
+        likelihood, other, parts, shares = best
+        members.append(other)
+    chosen = np.zeros(model.shape[1])
+    chosen[members] = shares / shares.sum()
+    return chosen
 
 
 def infer(counts: np.ndarray, model: np.ndarray) -> np.ndarray:
     """The languages' shares in each row of counts (rows by buckets); 0 for languages not chosen.
 
-    Shares of all languages order the candidates. Sets of one, two and more
-    languages are then compared by their likelihood less the penalty; rows that
-    do not take a second language are not tried with a third.
+    A text starts with the language that explains it best. The language that raises
+    the likelihood most is added as long as that exceeds the penalty; neither the
+    number of languages nor their shares are limited.
     """
-    n_rows, n_languages = len(counts), model.shape[1]
-    n = counts.sum(axis=1)
-    single = counts @ np.log(model)
-    best = single.argmax(axis=1)
-    chosen = np.zeros((n_rows, n_languages), dtype=counts.dtype)
-    chosen[np.arange(n_rows), best] = 1
-    likelihood = single.max(axis=1)
-    if n_languages == 1:
-        return chosen
-    every = _maximise(counts, model, np.full((n_rows, n_languages), 1 / n_languages, dtype=counts.dtype))
-    order = np.argsort(-every, axis=1, kind="stable")
-    open_rows = np.arange(n_rows)
-    for size in range(2, min(MOST_IN_TEXT, n_languages) + 1):
-        allowed = np.zeros((len(open_rows), n_languages), dtype=counts.dtype)
-        np.put_along_axis(allowed, order[open_rows, :size], 1, axis=1)
-        start = allowed * np.maximum(every[open_rows], 1e-6)
-        shares = _maximise(counts[open_rows], model, start / start.sum(axis=1, keepdims=True))
-        fit = np.einsum("ij,ij->i", counts[open_rows], np.log(np.maximum(shares @ model.T, 1e-30)))
-        smallest = np.where(allowed > 0, shares, 1).min(axis=1)
-        better = fit - likelihood[open_rows] > PENALTY * np.log(n[open_rows])
-        better &= smallest >= LEAST_SHARE
-        open_rows = open_rows[better]
-        chosen[open_rows], likelihood[open_rows] = shares[better], fit[better]
-        if not len(open_rows):
-            break
-    return chosen
+    blocks = [model[:, at : at + LANGUAGE_BLOCK] for at in range(0, model.shape[1], LANGUAGE_BLOCK)]
+    single = np.concatenate([counts @ np.log(block) for block in blocks], axis=1)
+    return np.stack([_languages(row, model, own) for row, own in zip(counts, single)]).astype(counts.dtype)
 
 
 def with_languages(
