@@ -189,6 +189,19 @@ def test_every_labelled_language_is_learned(spark):
     assert all(r["languages"] == [r["row"]["lang"]] for r in rows)
 
 
+def test_copies_are_learned_once(spark, monkeypatch):
+    monkeypatch.setattr(language, "FIT_TEXTS", 50)
+    rng = random.Random(9)
+    # Most rows of each language are copies of one text.
+    hot = {"de": sentence(rng, 30, "abcd"), "en": sentence(rng, 30, "efgh")}
+    others = [(lang, sentence(rng, 30, "ijkl")) for lang in hot for _ in range(60)]
+    docs = spark.createDataFrame([t for t in hot.items() for _ in range(2000)] + others, "lang string, text string")
+    assert language.learn(docs)[0] == ["de", "en"]
+    monkeypatch.setattr(language, "FIT_TEXTS", 1000)
+    once = spark.createDataFrame([*hot.items(), *others], "lang string, text string")
+    assert np.allclose(language.learn(docs)[1], language.learn(once)[1])
+
+
 def test_the_likelihood_alone_limits_the_languages():
     rng = np.random.default_rng(3)
     model = np.maximum(rng.dirichlet(np.full(200, 0.2), 7).T, 1e-9)

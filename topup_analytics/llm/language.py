@@ -16,7 +16,7 @@ from topup_analytics.llm.common import filled, held_out, read_table, ship_code,
 #: Character trigrams are hashed to so many buckets.
 BUCKET_BITS = 12
 BUCKETS = 1 << BUCKET_BITS
-#: Texts of each language that the model is learned from, about; all if there are fewer.
+#: Different texts of each language that the model is learned from, about; all if there are fewer.
 FIT_TEXTS = 20_000
 SMOOTHING = 0.5
 #: Languages whose logarithms are held at once.
@@ -57,17 +57,19 @@ def trigram_counts(text: str) -> np.ndarray | None:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages, and the probability of each trigram bucket in them (buckets by languages).
 
-    Learned from about ``FIT_TEXTS`` texts of each language, chosen by a hash of
-    the text. Every labelled language is learned; its counts are as many as there
+    Learned from about ``FIT_TEXTS`` different texts of each language, chosen by a
+    hash of the text; copies count as one. Texts are compared by 64-bit hashes, and
+    only chosen ones are shuffled. Every labelled language is learned; its counts are as many as there
     are buckets. Rows with a null text or language are left out.
     """
     ship_code(docs.sparkSession)
     labelled = docs.select(filled(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text <> ''")
-    sizes = labelled.groupBy("lang").count().collect()
+    hashed = labelled.withColumn("hash", F.xxhash64("text"))
+    sizes = hashed.select("lang", "hash").distinct().groupBy("lang").count().collect()
     if not sizes:
         return [], np.zeros((BUCKETS, 0))
     share = F.create_map(*[x for row in sizes for x in (F.lit(row["lang"]), F.lit(FIT_TEXTS / row["count"]))])
-    chosen = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20)
+    chosen = F.pmod("hash", F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -82,7 +84,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list
             columns = [pa.array([name] * len(used)), pa.array(used, pa.int32()), pa.array(found[used], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "n"])
 
-    counted = labelled.where(chosen).mapInArrow(count, "lang string, bucket int, n bigint")
+    different = hashed.where(chosen).groupBy("lang", "hash").agg(F.first("text").alias("text")).select("text", "lang")
+    counted = different.mapInArrow(count, "lang string, bucket int, n bigint")
     rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(rows["lang"].to_pylist()))
     counts = np.full((BUCKETS, len(names)), SMOOTHING)
