@@ -139,6 +139,20 @@ def test_top_k_over_many_blocks(spark, monkeypatch):
     assert got == plain_top([(i, [math.floor(256 * x) for x in v]) for i, v in rows])
 
 
+def test_top_k_of_large_components(spark):
+    rng = random.Random(12)
+    rows = [(i, [rng.uniform(-1, 1) * 10 ** rng.randint(3, 6) for _ in range(4)]) for i in range(130)]
+    rows += [(200, [2.0**54, 0.0, 0.0, 0.0]), (201, [-(2.0**55), 0.0, 0.0, 0.0]), (250, [0.0, 0.0, 1.0, 2.0])]
+    rows = [(i, [0.0, *v[1:]] if i < 200 else v) for i, v in rows]
+    vectors = lambda of: spark.createDataFrame(of, "vec_id long, embedding array<double>")
+    is_query = F.col("vec_id").isin(0, 50, 100, 250)
+    got = sorted(tuple(r) for r in topk.top_k(vectors(rows), is_query).collect())
+    assert got == [r for r in plain_top([(i, [math.floor(256 * x) for x in v]) for i, v in rows]) if r[0] != 200]
+    for x, message in ((1e17, "component"), (-1e300, "component"), (1e13, "score")):
+        with pytest.raises(Exception, match=f"{message} does not fit a bigint"):
+            topk.top_k(vectors([(0, [x]), (1, [x])]), F.col("vec_id") == 0).collect()
+
+
 def test_few_or_no_vectors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(empty, F.col("vec_id") % 50 == 0).count() == 0

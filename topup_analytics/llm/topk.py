@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from topup_analytics.llm.common import read_table, ship_code, stored
 
 SCALE = 256
-#: Quantised components end here, so that a score of up to 2**14 dimensions fits a bigint.
-LIMIT = (1 << 24) - 1
+#: Components and scores are bigints; those that would not fit fail the query.
+LIMIT = 1 << 63
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 256
 K = 5
@@ -22,11 +22,15 @@ _INDEX = "block bigint, ids binary, low binary, sizes binary, slices binary"
 
 
 def quantised(vector: Column) -> Column:
-    """floor(256 * x) of each component; null for vectors that are null or hold null or non-finite components."""
+    """floor(256 * x) of each component; null for vectors that are null or hold null or non-finite components.
+
+    Fails where a component does not fit a bigint.
+    """
     value = lambda x: x.cast("double")
     usable = F.forall(vector, lambda x: x.isNotNull() & (F.abs(value(x)) < float("inf")) & ~F.isnan(value(x)))
-    cut = lambda x: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.floor(value(x) * SCALE)))
-    return F.when(usable, F.transform(vector, lambda x: cut(x).cast("int")))
+    fits = lambda x: (value(x) * SCALE >= float(-LIMIT)) & (value(x) * SCALE < float(LIMIT))
+    too_large = F.raise_error(F.lit("a quantised component does not fit a bigint")).cast("bigint")
+    return F.when(usable, F.transform(vector, lambda x: F.when(fits(x), F.floor(value(x) * SCALE)).otherwise(too_large)))
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -47,11 +51,12 @@ def build_block(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
     order = np.argsort(ids, kind="stable")
     ids, rows = ids[order], rows[order]
     low = rows.min(axis=0)
-    raised = (rows - low).T
+    # Modulo 2**64, so that the distance of any two bigints fits.
+    raised = (rows.astype(np.uint64) - low.astype(np.uint64)).T
     sizes = np.array([int(m).bit_length() for m in raised.max(axis=1)], dtype=np.int64)
-    padded = np.zeros((len(raised), -(-len(ids) // 64) * 64), dtype=np.int64)
+    padded = np.zeros((len(raised), -(-len(ids) // 64) * 64), dtype=np.uint64)
     padded[:, : len(ids)] = raised
-    slices = [np.packbits((padded[d] >> i) & 1, bitorder="little") for d in range(len(raised)) for i in range(sizes[d])]
+    slices = [np.packbits((padded[d] >> np.uint64(i)).astype(np.uint8) & 1, bitorder="little") for d in range(len(raised)) for i in range(sizes[d])]
     joined = np.concatenate(slices).view(np.uint64) if slices else np.zeros(0, dtype=np.uint64)
     return ids, low, sizes, joined
 
@@ -105,14 +110,15 @@ class Block:
         factor = np.zeros(width, dtype=np.int64)
         factor[: len(query)] = query
         factor = factor[: len(self.low)]
-        size = np.abs(factor)
-        full = (np.int64(1) << self.sizes) - 1
-        offset = int(factor @ self.low - (size * full)[factor < 0].sum())
+        size = np.abs(factor).astype(np.uint64)
+        # In Python's integers, which do not overflow.
+        each = zip(factor.tolist(), self.low.tolist(), self.sizes.tolist())
+        offset = sum(f * (low + (1 << n) - 1 if f < 0 else low) for f, low, n in each)
         weighed: dict[int, list[np.ndarray]] = {}
         place = np.arange(self.n_slices) + np.where(factor < 0, self.n_slices, 0)[self.attribute]
         of_slice = size[self.attribute]
         for j in range(int(size.max()).bit_length()):
-            used = (of_slice >> j) & 1 == 1
+            used = (of_slice >> np.uint64(j)) & np.uint64(1) == 1
             weight = self.bit[used] + j
             rows = place[used]
             for w in np.unique(weight):
@@ -144,6 +150,8 @@ class Block:
             chosen = np.concatenate([chosen, _rows(equal)[: k - n_above]])
         bits = [(s[chosen // 64] >> (chosen % 64).astype(np.uint64)) & np.uint64(1) for s in slices]
         scores = [offset + sum(int(b[i]) << w for w, b in enumerate(bits)) for i in range(len(chosen))]
+        if any(not -LIMIT <= score < LIMIT for score in scores):
+            raise OverflowError("a score does not fit a bigint")
         return self.ids[chosen], scores
 
 
@@ -176,7 +184,8 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` highest integer inner products of every query row with every other row.
 
-    Components are quantised to floor(256 * x). Rows are indexed in blocks of
+    Components are quantised to floor(256 * x); one that does not fit a bigint, or a
+    score among a block's best that does not, fails the query. Rows are indexed in blocks of
     about ``BLOCK_ROWS``; queries, in blocks of ``BLOCK_QUERIES``, are sent to every
     block of the index, where bitmap arithmetic adds up the scores of all rows, the
     best are picked from the most significant slice downward, and rows that tie at
