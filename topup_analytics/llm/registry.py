@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from topup_analytics.llm import bpe, chat, jaccard, language, licenses, lm, mixing, quality, sharding, topk
+from topup_analytics.llm import bpe, chat, infill, jaccard, language, licenses, lm, mixing, quality, sharding, topk, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,8 @@ def queries() -> dict[str, Query]:
         "op8_language_mixture": language.op8_language_mixture,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_jaccard_join": jaccard.op10_jaccard_join,
+        "op12_embedding_whitening": whitening.op12_embedding_whitening,
+        "op13_fill_in_middle": infill.op13_fill_in_middle,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -39,4 +41,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_license_scan": licenses.OP7_SQL,
         "op9_quality_rules": quality.OP9_SQL,
         "op10_jaccard_join": jaccard.OP10_SQL,
+        "op13_fill_in_middle": infill.OP13_SQL,
     }
