@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from topup_analytics.llm import bpe, chat, infill, jaccard, language, licenses, lm, mixing, quality, sharding, topk, whitening
+from topup_analytics.llm import bpe, chat, extraction, infill, jaccard, language, licenses, lm, mixing, quality, sharding, topk, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op8_language_mixture": language.op8_language_mixture,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_jaccard_join": jaccard.op10_jaccard_join,
+        "op11_html_extraction": extraction.op11_html_extraction,
         "op12_embedding_whitening": whitening.op12_embedding_whitening,
         "op13_fill_in_middle": infill.op13_fill_in_middle,
         "pipeline": corpus_pipeline.run,
