@@ -79,6 +79,24 @@ def test_reject_reasons(lines):
     assert reasons(lines, list(cases)) == list(cases.values())
 
 
+def test_only_one_whole_object_is_an_order(lines):
+    """Whatever is glued to a sound line, or cut from it, no part of it counts."""
+    sound, other = line(), line("20170412030031556zz", fee="99")
+    tails = ["}", "]", ",", "}} garbage", ',"x":1', f',"line":{other}', f',{other}', other, f" {other}", f"]{other}"]
+    tails += [f"],[{other}", f'],"line":[{other}', ',{"sealOfLine":"1"}', ',{"sealOfLine":"1"}]', ',{"end":1}]', ',"end":"1"']
+    tails += [',{"x":', ',{"x":[1', ',{"x":"', ",'", '"', "{", "[", ":", "/* */", "//", "\x00", ",null", ",1", "null"]
+    heads = ["[", "{", '{"line":', '"', ",", "]", "}", "[[", "1,", "null,", other + ",", "{},"]
+    broken = [sound + t for t in tails] + [h + sound for h in heads] + [f"[{sound}]", f"[[{sound}]]", f'{{"line":{sound}}}x']
+    broken += [sound[:cut] for cut in range(40, len(sound), 7)]
+    assert set(reasons(lines, broken)) == {"bad_json"}
+    for text in broken[:8]:
+        with pytest.raises(PySparkException, match="bad_json"):
+            order_facts(lines([sound, text]), mode="strict").collect()
+    # An order's own fields do not matter, whatever their names, nor does white space around it.
+    inner = [sound[:-1] + more + "}" for more in (',"end":"x"', ',"sealOfLine":"x"', ',"line":[1,{"end":2}]', ',"y":"}]"')]
+    assert reasons(lines, [sound, " " + sound + "\t", *inner]) == [None] * 6
+
+
 def test_loosely_written_lines(lines):
     tab = line().replace('"10"', '"10","note":"a\tb"')
     zeros = line().replace('"0000"', "0000")

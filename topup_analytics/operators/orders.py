@@ -17,12 +17,14 @@ from topup_analytics.functions import (
 from topup_analytics.operators.once import with_columns_once
 from topup_analytics.schema import MARKER, MEASURES, ORDER_SCHEMA, SUCCESS_CODE
 
-# The line is parsed as the only member of an object. A parser given the bare
-# line stops after the first object and would silently drop a second one glued
-# to it; inside an object, anything after the first is an error.
-_WRAPPED = T.StructType(
-    [T.StructField("line", ORDER_SCHEMA), T.StructField("_corrupt_record", T.StringType())]
-)
+# The line is parsed as the first element of an array whose last is a seal: a
+# digest of the line, which no line can hold. A parser given the bare line stops
+# after the first object and would not see what is glued to it. Here a line is one
+# whole object if and only if the array has two elements and the last is the seal:
+# a second object adds an element, a bracket that closes the array early cuts
+# the seal off, and anything else is an error.
+_SEAL = "sealOfLine"
+_SEALED = T.ArrayType(T.StructType([*ORDER_SCHEMA.fields, T.StructField(_SEAL, T.StringType())]))
 
 # What loosely written logs contain. A result code written as the number 0000 is
 # the number 0, not the success code.
@@ -45,14 +47,15 @@ def parse_orders(lines: DataFrame) -> DataFrame:
     and ``reject_reason`` (null for a good order). One rule decides for all
     metrics, so their totals agree with each other.
     """
-    wrapped = F.concat(F.lit('{"line":'), F.col("value"), F.lit("}"))
-    decoded = F.from_json(wrapped, _WRAPPED, _LENIENT)
+    seal = F.hex(F.xxhash64("value"))
+    sealed = F.concat(F.lit("["), F.col("value"), F.lit(f',{{"{_SEAL}":"'), seal, F.lit('"}]'))
+    decoded = F.from_json(sealed, _SEALED, _LENIENT)
+    order, last = F.get("decoded", F.lit(0)), F.get("decoded", F.lit(1))
+    whole = (F.size("decoded") == 2) & order.isNotNull() & (last[_SEAL] == seal)
     parsed = with_columns_once(recharge_lines(lines).select("value"), decoded=decoded).select(
         "value",
-        "decoded.line.*",
-        (F.col("decoded._corrupt_record").isNull() & F.col("decoded.line").isNotNull()).alias(
-            "readable"
-        ),
+        *[order[name].alias(name) for name in ORDER_SCHEMA.names],
+        F.coalesce(whole, F.lit(False)).alias("readable"),
     )
     fields = with_columns_once(
         parsed,

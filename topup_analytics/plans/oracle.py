@@ -1,7 +1,7 @@
 """DuckDB SQL for the registered queries, over the same ``events`` table."""
 
 from topup_analytics.schema import DAILY_FIELDS, FAILURE_TABLE, MARKER, PROVINCES, SUCCESS_TABLE
-from topup_analytics.sources.events import OTHER_TYPE, PROVINCE_CODES
+from topup_analytics.sources.events import GLUED, OTHER_TYPE, PROVINCE_CODES
 
 _DIM = ", ".join(f"('{code}', '{name}')" for code, name in PROVINCES)
 _CODES = ", ".join("NULL" if code is None else f"'{code}'" for code in PROVINCE_CODES)
@@ -44,7 +44,7 @@ def _log(dirty: bool = False) -> str:
 
 _FACTS = f"""
     facts AS (
-        SELECT left(request_id, 12) AS m, coalesce(province, 'none') AS province,
+        SELECT event_id, left(request_id, 12) AS m, coalesce(province, 'none') AS province,
                (result = '0000')::INT AS ok,
                CASE WHEN result = '0000' THEN amount ELSE 0.0 END AS paid,
                end_ms - start_ms AS cost
@@ -63,6 +63,13 @@ _REASON = """
 """
 
 
+_FORMS = ", ".join(f"'{form}'" for form in GLUED)
+_N_FORMS = len(GLUED) + len(GLUED) // 3
+_GLUED_REJECTED = f"""{_log()}
+    SELECT replace(([{_FORMS}])[event_id % {_N_FORMS} + 1], '@', line) AS value, 'bad_json' AS reject_reason
+    FROM log WHERE event_type <> 'signup' AND event_id % {_N_FORMS} < {len(GLUED)}"""
+
+
 def _over_orders(select: str) -> str:
     return f"{_log()} {select} FROM log WHERE event_type <> 'signup'"
 
@@ -133,6 +140,10 @@ def oracle_sql() -> dict[str, str]:
         "epoch_end_daily_summary": _over_dirty(
             "CASE WHEN done IS NULL THEN 0 ELSE end_ms END - start_ms"
         ),
+        "glued_lines_rejected": _GLUED_REJECTED,
+        "glued_lines_daily_summary": _over_facts(
+            f"SELECT {_DAILY_COLUMNS}", f"WHERE event_id % {_N_FORMS} >= {len(GLUED)} GROUP BY 1"
+        ),
         "daily_summary": _DAILY,
         "strict_daily_summary": _DAILY,
         "orders_per_minute": _MINUTES,

@@ -47,7 +47,7 @@ from topup_analytics.sinks import (
     minute_fields,
 )
 from topup_analytics.sources import batch_lines, stream_lines
-from topup_analytics.sources.events import event_lines, read_events
+from topup_analytics.sources.events import event_lines, glued_lines, read_events
 from topup_analytics.streaming import (
     StoredTables,
     TopupJob,
@@ -164,6 +164,16 @@ def query_accepted_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(order_facts(_lines(spark, sf_dir, dirty=True)))
 
 
+def query_glued_lines_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that hold more, or less, than one whole object."""
+    return rejected_orders(parse_orders(glued_lines(read_events(spark, sf_dir))))
+
+
+def query_glued_lines_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the daily summary of such a log: nothing of a broken line counts."""
+    return _daily(order_facts(glued_lines(read_events(spark, sf_dir))))
+
+
 def query_epoch_end_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a missing end time counted as time zero."""
     return _daily(order_facts(_lines(spark, sf_dir, dirty=True), missing_end="epoch"))
