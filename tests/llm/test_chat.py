@@ -48,5 +48,21 @@ def test_conversations_read_back(spark):
         assert ends == blocks
 
 
+def test_very_many_turns(spark):
+    """200,000 turns of one conversation, and a conversation of one very long block."""
+    n = 200_000
+    turns = spark.range(n).selectExpr(
+        "1L conv_id", "id turn", "if(id % 3 = 1, 'assistant', 'user') role", "concat('é', id, if(id % 1000 = 1, '</s>', '')) text"
+    )
+    block = spark.range(30_000).selectExpr("2L", "id", "'assistant'", "concat(id, ' ')")
+    chats = format_chats(turns.union(block))
+    got = chats.select("conv_id", read_chats("formatted").alias("turns"), learned_text("formatted", "loss_spans").alias("learned"))
+    found = {r["conv_id"]: r for r in got.selectExpr("conv_id", "size(turns) n", "get(turns, 199998).text last", "learned").collect()}
+    say = lambda i: f"é{i}" + "</s>" * (i % 1000 == 1)
+    assert found[1]["n"] == n and found[1]["last"] == say(n - 2)
+    assert found[1]["learned"] == "".join(say(i) for i in range(1, n, 3))
+    assert found[2]["learned"] == "".join(f"{i} " for i in range(30_000))
+
+
 def test_no_conversations(spark):
     assert format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topup_analytics.llm.common import filled, read_table
+from topup_analytics.llm.common import bound, filled, read_table
 
 #: Marks around the turns of the usual roles.
 MARKS = {
@@ -17,6 +17,9 @@ MARKS = {
 OTHER = ("<<ROLE>>", "<<TEXT>>", "<</ROLE>>")
 #: Between the texts of adjacent turns of one role, which share their marks.
 NEXT = "<<NEXT>>"
+#: Turns whose lengths are added up in one fold, and code points that a span is looked up among.
+SLICE = 512
+PIECE = 4096
 #: The role whose texts are learned from.
 LEARNED = "assistant"
 
@@ -48,6 +51,38 @@ def _closing(role: Column) -> Column:
     return F.coalesce(*[F.when(role == name, F.lit(end)) for name, (_, end) in MARKS.items()], F.lit(OTHER[2]))
 
 
+def _with_starts(parts: DataFrame) -> DataFrame:
+    """Adds ``starts``, where each text begins: the sums of all ``marks`` and ``lengths`` before it, and its own mark.
+
+    A fold that appends copies its array at every step. So slices of ``SLICE`` turns are folded
+    each for itself, and then the slices' totals: time stays in proportion to the turns.
+    """
+
+    def fold(amounts: Column, before, after) -> Column:
+        """The running ``before`` of each amount, and the total of ``after``."""
+        return F.aggregate(
+            amounts,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
+            lambda state, x: F.struct(
+                (state["at"] + after(x)).alias("at"), F.concat(state["starts"], F.array(state["at"] + before(x))).alias("starts")
+            ),
+        )
+
+    def within(zipped: Column) -> Column:
+        """The folds of the slices of all turns."""
+        numbers = F.sequence(F.lit(0), ((F.size(zipped) - 1) / SLICE).cast("int"))
+        part = lambda i: F.slice(zipped, i * SLICE + 1, SLICE)
+        return F.transform(numbers, lambda i: fold(part(i), lambda x: x["marks"], lambda x: x["marks"] + x["lengths"]))
+
+    def placed(inner: Column) -> Column:
+        offsets = fold(inner, lambda x: F.lit(0), lambda x: x["at"])["starts"]
+        return bound(
+            offsets, lambda all: F.flatten(F.transform(inner, lambda x, i: F.transform(x["starts"], lambda at: at + F.get(all, i))))
+        )
+
+    return parts.withColumn("starts", bound(bound(F.arrays_zip("marks", "lengths"), within), placed))
+
+
 def format_chats(
     turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
@@ -62,7 +97,8 @@ def format_chats(
     (code points, from 0) and ``length`` of each assistant text in ``formatted``. A
     null text or role is empty. Turns with a null conversation are one conversation.
     Repeated rows are turns like any other, and an empty table gives no rows. A
-    conversation is one row of the result, and so must fit into one.
+    conversation is one row of the result, and so must fit into one; time grows with its
+    turns and its characters. Other columns of ``turns``, whatever their names are, are not read.
     """
     one = F.struct(
         F.col(turn).alias("turn"), filled(F.col(role).cast("string")).alias("role"), filled(F.col(text)).alias("text")
@@ -87,17 +123,7 @@ def format_chats(
         F.transform("parts", lambda p: F.char_length(p["before"])).alias("marks"),
         F.transform("parts", lambda p: F.char_length(p["text"])).alias("lengths"),
     )
-    # Folding the lengths gives where each text starts.
-    ends = F.aggregate(
-        F.arrays_zip("marks", "lengths"),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda state, x: F.struct(
-            (state["at"] + x["marks"] + x["lengths"]).alias("at"),
-            F.concat(state["starts"], F.array(state["at"] + x["marks"])).alias("starts"),
-        ),
-        lambda state: state["starts"],
-    )
-    placed = measured.withColumn("starts", ends)
+    placed = _with_starts(measured)
     spans = F.filter(
         F.transform(
             F.arrays_zip("parts", "starts", "lengths"),
@@ -149,9 +175,16 @@ def read_chats(formatted: Column | str) -> Column:
 def learned_text(formatted: Column | str, spans: Column | str) -> Column:
     """All text under the loss mask, unescaped, nothing between."""
     body = F.col(formatted) if isinstance(formatted, str) else formatted
-    return F.array_join(
-        F.transform(spans, lambda s: unescape(F.substring(body, s["start"] + 1, s["length"]))), ""
-    )
+    # A span is taken from the pieces it lies in: from the whole text, all that stands before it would be counted again.
+    pieces = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def spoken(piece: Column, span: Column) -> Column:
+        first = (span["start"] / PIECE).cast("int")
+        last = ((span["start"] + span["length"]) / PIECE).cast("int")
+        near = F.array_join(F.slice(piece, first + 1, last - first + 1), "")
+        return unescape(F.substring(near, span["start"] - first * PIECE + 1, span["length"]))
+
+    return F.array_join(bound(pieces, lambda piece: F.transform(spans, lambda s: spoken(piece, s))), "")
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
