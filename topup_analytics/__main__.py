@@ -3,14 +3,14 @@
     python -m topup_analytics stream --files LOGS --out OUT --checkpoint DIR
     python -m topup_analytics stream --kafka SERVERS --topic T --out OUT --checkpoint DIR
     python -m topup_analytics backfill --files LOGS --name NAME --out OUT
-    python -m topup_analytics fold --out OUT
+    python -m topup_analytics fold --out OUT [--seal NAME]
 """
 
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topup_analytics.sinks import fold_ledger, jdbc_writer
+from topup_analytics.sinks import jdbc_writer
 from topup_analytics.sources import (
     batch_lines,
     kafka_lines,
@@ -40,20 +40,22 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--partitions", type=int, help="of the topic; turns the rate limit on")
     stream.add_argument("--records-per-second", type=int, default=100, help="per partition")
     stream.add_argument("--files-per-trigger", type=int)
+    stream.add_argument("--bytes-per-trigger", type=int, help="of log files; not with --files-per-trigger")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--seconds", type=int, default=5, help="between batches")
     stream.add_argument("--available-now", action="store_true", help="stop when all is read")
     backfill = commands.add_parser("backfill", parents=[job], help="add old log files once")
     backfill.add_argument("--files", required=True)
     backfill.add_argument("--name", required=True, help="the same name replaces what it added")
-    fold = commands.add_parser("fold", help="sum the older batches of a ledger")
+    fold = commands.add_parser("fold", help="sum the older batches of all stored tables")
     fold.add_argument("--out", required=True)
+    fold.add_argument("--seal", action="append", default=[], metavar="NAME", help="a backfill that is over")
     return parser
 
 
 def _lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.files:
-        return stream_lines(spark, args.files, args.files_per_trigger)
+        return stream_lines(spark, args.files, args.files_per_trigger, args.bytes_per_trigger)
     options = kafka_options(
         args.kafka, args.topic, args.partitions, args.records_per_second, args.seconds
     )
@@ -68,7 +70,7 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.getOrCreate()
     tables = StoredTables(args.out)
     if args.command == "fold":
-        fold_ledger(spark, tables.ledger)
+        tables.fold(spark, args.seal)
         return
     write_table = None
     if args.jdbc_url:

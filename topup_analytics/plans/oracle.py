@@ -104,6 +104,10 @@ _HASH = f"""{_log()}, {_FACTS},
         SELECT m[1:8], m[9:12], count(*)::DOUBLE FROM facts GROUP BY ALL)"""
 
 
+# Of four batches that were folded one after the other, the last two have their folders still.
+_LEFT = "2::BIGINT AS batches_left"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "batch_lines": f"{_log()} SELECT line AS value FROM log",
@@ -209,6 +213,28 @@ def oracle_sql() -> dict[str, str]:
         "stream_resume": _DAILY,
         "late_orders_merge": _DAILY,
         "stream_replay_idempotent": _DAILY,
+        "stream_byte_limited": _over_facts(f"SELECT {_DAILY_COLUMNS}, 1::BIGINT AS enough", "GROUP BY 1"),
+        "folded_daily_totals": _over_facts(f"SELECT {_DAILY_COLUMNS}, {_LEFT}", "GROUP BY 1"),
+        "folded_failure_table": _over_facts(
+            _FAILURES.format(key="order_date", failures="counts") + f", {_LEFT}", "GROUP BY ALL"
+        ),
+        "folded_success_table": _over_facts(
+            _SUCCESSES.format(key="order_date", ok='"isCharged"', paid='"chargeFee"') + f", {_LEFT}",
+            "GROUP BY ALL",
+        ),
+        "folded_minute_totals": _over_facts(f"SELECT m AS order_minute, count(*) AS orders, {_LEFT}", "GROUP BY 1"),
+        "sealed_backfills": _DAILY,
+        "append_only_failures": _over_facts(
+            _FAILURES.format(key="order_date", failures="counts"), "GROUP BY ALL"
+        ),
+        "watermark_hour_counts": f"""{_log()},
+            orders AS (SELECT start_ms, start_ms // 3600000 AS hour FROM log WHERE event_type <> 'signup'),
+            reached AS (SELECT max(start_ms) - 86400000 AS watermark FROM orders),
+            kept AS (SELECT hour, count(*) AS orders FROM orders
+                     WHERE day(make_timestamp(start_ms * 1000)) NOT BETWEEN 11 AND 20 GROUP BY 1)
+            SELECT strftime(make_timestamp(hour * 3600000000), '%Y%m%d%H%M') AS order_minute, orders,
+                   (SELECT count(*) FROM kept, reached WHERE (hour + 1) * 3600000 > watermark)::BIGINT AS windows_in_state
+            FROM kept""",
         "tumbling_minute_counts": _MINUTES,
         "tumbling_hour_counts": _over_facts(
             "SELECT m[1:10] || '00' AS order_minute, count(*) AS orders", "GROUP BY 1"

@@ -43,14 +43,17 @@ from topup_analytics.sinks import (
     daily_fields_long,
     day_hash,
     day_hash_map,
+    failure_totals,
     fold_ledger,
     minute_fields,
 )
+from topup_analytics.sinks.files import list_batches
 from topup_analytics.sources import batch_lines, stream_lines
 from topup_analytics.sources.events import event_lines, glued_lines, read_events
 from topup_analytics.streaming import (
     StoredTables,
     TopupJob,
+    fold_totals,
     latest_totals,
     start_running_totals,
 )
@@ -374,16 +377,13 @@ def query_late_orders_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(tables.totals(spark))
 
 
-def query_stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A crash after a batch was stored and before it was committed, then a restart."""
-    home = new_folder(spark)
-    write_log(spark, sf_dir, f"{home}/log")
-    limit = _quarter(spark, f"{home}/log")
+def _run_and_crash(spark: SparkSession, home: str, batch: int, limit: int | None = None) -> None:
+    """Run the job and stop it after a batch was stored and before it was committed."""
     tables = StoredTables(f"{home}/out")
 
     def crash(name: str, rows: DataFrame, stream_id: str, batch_id: int) -> None:
         tables.write(name, rows.drop("stream_id", "batch_id"), stream_id, batch_id)
-        if batch_id == 1 and name == SUCCESS_TABLE:
+        if batch_id == batch and name == SUCCESS_TABLE:
             raise RuntimeError("stop before commit")
 
     lines = stream_lines(spark, f"{home}/log", limit)
@@ -392,10 +392,130 @@ def query_stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFram
         job.start(lines, f"{home}/checkpoint", ONCE).awaitTermination()
     except StreamingQueryException:
         pass
-    _run(spark, home, limit)
+
+
+def query_stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crash after a batch was stored and before it was committed, then a restart."""
+    home = new_folder(spark)
+    write_log(spark, sf_dir, f"{home}/log")
+    limit = _quarter(spark, f"{home}/log")
+    _run_and_crash(spark, home, 1, limit)
+    return _daily(_run(spark, home, limit).totals(spark))
+
+
+def query_stream_byte_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily totals with a limit of a quarter of the log's bytes, and whether that made four batches or more."""
+    home = new_folder(spark)
+    write_log(spark, sf_dir, f"{home}/log")
+    size = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{home}/log").agg(F.sum("length")).first()[0]
+    tables = StoredTables(f"{home}/out")
+    lines = stream_lines(spark, f"{home}/log", max_bytes_per_trigger=math.ceil(size / PARTS))
+    TopupJob(tables).start(lines, f"{home}/checkpoint", ONCE).awaitTermination()
+    batches = sum(map(len, list_batches(spark, f"{tables.ledger}/partials").values()))
+    return _daily(tables.totals(spark)).withColumn("enough", F.lit(int(batches >= PARTS)).cast("bigint"))
+
+
+# Tables that run for months: a fold after every batch, one batch replayed
+
+
+def _folded(spark: SparkSession, sf_dir: str) -> StoredTables:
+    home = new_folder(spark)
+    for part in range(PARTS):
+        write_log(spark, sf_dir, f"{home}/log", F.col("event_id") % PARTS == part)
+        if part == 2:
+            _run_and_crash(spark, home, part)
+        tables = _run(spark, home)
+        tables.fold(spark)
+    return tables
+
+
+def _batches_left(spark: SparkSession, path: str) -> Column:
+    return F.lit(sum(map(len, list_batches(spark, path).values()))).cast("bigint")
+
+
+def query_folded_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily totals, and how many batch folders a reader lists, of the four that ran."""
+    tables = _folded(spark, sf_dir)
+    return _daily(tables.totals(spark)).withColumn("batches_left", _batches_left(spark, f"{tables.ledger}/partials"))
+
+
+def query_folded_failure_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _folded(spark, sf_dir)
+    return tables.failures(spark).withColumn("batches_left", _batches_left(spark, tables.table(FAILURE_TABLE)))
+
+
+def query_folded_success_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _folded(spark, sf_dir)
+    rows = _rounded(tables.successes(spark), "chargeFee")
+    return rows.withColumn("batches_left", _batches_left(spark, tables.table(SUCCESS_TABLE)))
+
+
+def query_folded_minute_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute totals kept in streaming state, whose stored changes are merged after every batch."""
+    home = new_folder(spark)
+    out, keys, measures = f"{home}/out", ["order_minute"], ["orders"]
+    for part in range(PARTS):
+        write_log(spark, sf_dir, f"{home}/log", F.col("event_id") % PARTS == part)
+        totals = orders_per_minute(order_facts(stream_lines(spark, f"{home}/log")))
+        start_running_totals(totals, out, f"{home}/checkpoint", "order_minute", ONCE).awaitTermination()
+        fold_totals(spark, out, keys, measures, "order_minute")
+    return latest_totals(spark, out, keys, measures).withColumn("batches_left", _batches_left(spark, out))
+
+
+def query_sealed_backfills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily totals of four backfills, of which three are sealed and folded and one is repeated."""
+    tables = StoredTables(f"{new_folder(spark)}/out")
+    lines = _lines(spark, sf_dir)
+    job = TopupJob(tables)
+    for part in range(PARTS):
+        job.backfill(lines.filter(F.col("event_id") % PARTS == part).select("value"), f"part-{part}")
+    tables.fold(spark, [f"part-{part}" for part in range(1, PARTS)])
+    job.backfill(lines.filter(F.col("event_id") % PARTS == 0).select("value"), "part-0")
+    tables.fold(spark)
     return _daily(tables.totals(spark))
 
 
+def query_append_only_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failure totals over a table that can only be appended to, and that holds a batch twice."""
+    home = new_folder(spark)
+    write_log(spark, sf_dir, f"{home}/log")
+    crashes = [1]
+
+    def append(name: str, rows: DataFrame, stream_id: str, batch_id: int) -> None:
+        rows.write.mode("append").parquet(f"{home}/{name}")
+        if name == FAILURE_TABLE and batch_id in crashes:
+            crashes.remove(batch_id)
+            raise RuntimeError("stop after the append")
+
+    job = TopupJob(StoredTables(f"{home}/out"), write_table=append)
+    for _ in range(2):
+        lines = stream_lines(spark, f"{home}/log", _quarter(spark, f"{home}/log"))
+        try:
+            job.start(lines, f"{home}/checkpoint", ONCE).awaitTermination()
+        except StreamingQueryException:
+            pass
+    return failure_totals(spark.read.parquet(f"{home}/{FAILURE_TABLE}"), may_repeat=True)
+
+
+def query_watermark_hour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per hour with a watermark of a day, and the windows still in the state when all is read.
+
+    The first ten days come first, then those after the twentieth, and at last the days between: these are
+    too late, and dropped.
+    """
+    home = new_folder(spark)
+    day = F.dayofmonth("ts")
+    for where in (day <= 10, day > 20, (day > 10) & (day <= 20)):
+        write_log(spark, sf_dir, f"{home}/log", where)
+        facts = order_facts(stream_lines(spark, f"{home}/log"))
+        counts = tumbling_counts(facts, "1 hour", "1 day")
+        query = start_running_totals(counts, f"{home}/out", f"{home}/checkpoint", "order_minute", ONCE)
+        query.awaitTermination()
+    state = query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+    totals = latest_totals(spark, f"{home}/out", ["order_minute"], ["orders"])
+    return totals.withColumn("windows_in_state", F.lit(state).cast("bigint"))
+
+
 def queries() -> dict[str, Query]:
     """All registered queries by name."""
     prefix = "query_"

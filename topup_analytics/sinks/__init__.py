@@ -18,8 +18,10 @@ from topup_analytics.sinks.ledger import (
 from topup_analytics.sinks.tables import (
     failure_rows,
     failure_totals,
+    fold_table,
     success_rows,
     success_totals,
+    table_totals,
 )
 
 __all__ = [
@@ -32,6 +34,7 @@ __all__ = [
     "failure_rows",
     "failure_totals",
     "fold_ledger",
+    "fold_table",
     "jdbc_writer",
     "minute_fields",
     "open_ledger",
@@ -41,6 +44,7 @@ __all__ = [
     "read_rejects",
     "success_rows",
     "success_totals",
+    "table_totals",
     "write_batch",
     "write_partials",
 ]

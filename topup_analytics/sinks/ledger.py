@@ -7,25 +7,26 @@ Layout below the ledger's path::
 
     partials/stream_id=S/batch_id=N   cube and rejected lines of one batch
     folded/generation=G               sums of older batches of all streams
+    rejected/segment=G                rejected lines of the batches that generation G summed
     folds                             one small file per published generation
 """
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from collections.abc import Collection
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from topup_analytics.functions import order_date
 from topup_analytics.operators.rollups import base_cube
 from topup_analytics.schema import CUBE_SCHEMA, LEDGER_SCHEMA
-from topup_analytics.sinks.batches import batch_path, read_batches, write_batch
+from topup_analytics.sinks.batches import batch_path, write_batch
+from topup_analytics.sinks.folds import FoldedTable
+
 
-_FOLD_SCHEMA = T.StructType(
-    [
-        T.StructField("generation", T.LongType()),
-        T.StructField("through", T.MapType(T.StringType(), T.LongType())),
-    ]
-)
+def _table(path: str) -> FoldedTable:
+    return FoldedTable(
+        f"{path}/partials", f"{path}/folded", f"{path}/folds", LEDGER_SCHEMA, CUBE_SCHEMA, f"{path}/rejected"
+    )
 
 
 def write_partials(rows: DataFrame, path: str, stream_id: str, batch_id: int) -> DataFrame:
@@ -48,89 +49,59 @@ def _cube_rows(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("order_minute").isNotNull()).select(CUBE_SCHEMA.names)
 
 
-def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct rejected lines of each batch, with reason and number of copies."""
-    rows = read_batches(spark, f"{path}/partials", LEDGER_SCHEMA)
-    return rows.filter(F.col("rejected") > 0).select(
-        "value", "reject_reason", "rejected", "stream_id", "batch_id"
-    )
+def _rejects(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("rejected") > 0)
 
 
-def _newest_fold(spark: SparkSession, path: str) -> Row | None:
-    try:
-        folds = spark.read.schema(_FOLD_SCHEMA).json(f"{path}/folds")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return folds.orderBy(F.desc("generation")).first()
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct rejected lines of each batch, with reason and number of copies."""
+    table = _table(path)
+    last = table.last(spark)
+    rows = _rejects(table.fresh(spark, last["through"] if last else {}))
+    kept = table.kept_rows(spark, last["segments"] or []) if last else None
+    if kept is not None:
+        rows = rows.unionByName(kept)
+    return rows.select("value", "reject_reason", "rejected", "stream_id", "batch_id")
 
 
 def _last_fold(spark: SparkSession, path: str) -> tuple[int, dict[str, int]]:
     """The newest published generation and the last batch it holds of each stream."""
-    newest = _newest_fold(spark, path)
-    return (newest["generation"], newest["through"]) if newest else (0, {})
+    return _table(path).state(spark)
 
 
-def _publish_fold(
-    spark: SparkSession, path: str, generation: int, through: dict[str, int]
-) -> None:
-    line = spark.createDataFrame([(generation, through)], _FOLD_SCHEMA)
-    line.coalesce(1).write.mode("append").json(f"{path}/folds")
+def sealed(spark: SparkSession, path: str, stream_id: str) -> bool:
+    """Whether batches of the stream are in a snapshot already."""
+    return stream_id in _last_fold(spark, path)[1]
 
 
 def open_ledger(spark: SparkSession, path: str) -> None:
     """Publish generation 0, which holds nothing, unless there is one already."""
-    if _newest_fold(spark, path) is None:
-        _publish_fold(spark, path, 0, {})
-
-
-def _unfolded(spark: SparkSession, path: str, through: dict[str, int]) -> DataFrame:
-    """Batches newer than the fold; the condition prunes partition directories."""
-    rows = read_batches(spark, f"{path}/partials", LEDGER_SCHEMA)
-    for stream_id, batch_id in through.items():
-        rows = rows.filter((F.col("stream_id") != stream_id) | (F.col("batch_id") > batch_id))
-    return rows
-
-
-def _folded(spark: SparkSession, path: str, generation: int) -> DataFrame:
-    return spark.read.schema(CUBE_SCHEMA).parquet(f"{path}/folded/generation={generation}")
+    _table(path).open(spark)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Rows to sum for running totals; any metric or report takes them."""
-    generation, through = _last_fold(spark, path)
-    rows = _cube_rows(_unfolded(spark, path, through))
-    if generation:
-        rows = rows.unionByName(_folded(spark, path, generation))
-    return rows
+    table = _table(path)
+    generation, through = table.state(spark)
+    rows = _cube_rows(table.fresh(spark, through))
+    snapshot = table.snapshot(spark, generation)
+    return rows if snapshot is None else rows.unionByName(snapshot)
 
 
-def fold_ledger(spark: SparkSession, path: str) -> int:
+def _summed(older: DataFrame, snapshot: DataFrame | None) -> DataFrame:
+    rows = _cube_rows(older)
+    rows = rows if snapshot is None else rows.unionByName(snapshot)
+    # Neighbouring days share a file, so that a filter on the minute skips files.
+    days = base_cube(rows).repartitionByRange(order_date(F.col("order_minute")))
+    return days.sortWithinPartitions("order_minute")
+
+
+def fold_ledger(spark: SparkSession, path: str, seal: Collection[str] = ()) -> int:
     """Sum all but each stream's newest batch into a new generation; return its number.
 
-    The newest batch may still be replayed, so it stays out. Readers use a new
-    generation only once its line is in ``folds``, and that line is a single
-    file written after the data; a fold that dies earlier changes nothing and
-    the next one writes the same generation again. One fold may run at a time.
-    Folded batches are no longer read for totals, only for their rejected lines.
+    The newest batch may still be replayed, so it stays out, unless its stream is in ``seal``. Rejected lines of the
+    summed batches are kept as they are. The batches' folders are removed by the fold after the next
+    one, so however many batches have run, a reader lists those since the last two folds.
+    A fold that dies changes nothing, and the next one does its work again. One fold may run at a time.
     """
-    generation, through = _last_fold(spark, path)
-    rows = _unfolded(spark, path, through)
-    # One number per stream, read from the partition columns alone.
-    newest = rows.groupBy("stream_id").agg(F.max("batch_id").alias("batch_id"))
-    reached = {r["stream_id"]: r["batch_id"] - 1 for r in newest.collect()}
-    older = F.lit(False)
-    for stream_id, batch_id in reached.items():
-        older = older | ((F.col("stream_id") == stream_id) & (F.col("batch_id") <= batch_id))
-    rows = _cube_rows(rows.filter(older))
-    if rows.isEmpty():
-        return generation
-    if generation:
-        rows = rows.unionByName(_folded(spark, path, generation))
-    target = f"{path}/folded/generation={generation + 1}"
-    # Neighbouring days share a file, so that a filter on the minute skips files.
-    days = base_cube(rows).repartitionByRange(order_date(F.col("order_minute")))
-    days.sortWithinPartitions("order_minute").write.mode("overwrite").parquet(target)
-    _publish_fold(spark, path, generation + 1, {**through, **reached})
-    return generation + 1
+    return _table(path).fold(spark, _summed, _rejects, seal)

@@ -23,12 +23,22 @@ def batch_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_lines(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Log files as they arrive under ``path``."""
+    """Log files as they arrive under ``path``, in batches of so many files or, also a first run, so many bytes.
+
+    Files are not split, so a larger one is a batch of its own. Spark takes only one of the limits.
+    """
     reader = spark.readStream
+    if max_files_per_trigger is not None and max_bytes_per_trigger is not None:
+        raise ValueError("a batch is limited by files or by bytes, not by both")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.text(path).select("value")
 
 

@@ -1,7 +1,7 @@
 """The top-up job: log lines in, ledger, append tables and rejected lines out."""
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,20 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from topup_analytics.operators import cube_with_rejects, parse_orders, valid_orders
-from topup_analytics.schema import (
-    FAILURE_SCHEMA,
-    FAILURE_TABLE,
-    SUCCESS_SCHEMA,
-    SUCCESS_TABLE,
-)
-from topup_analytics.sinks.batches import by_day, read_batches, write_batch
-from topup_analytics.sinks.ledger import open_ledger, read_ledger, read_rejects, write_partials
-from topup_analytics.sinks.tables import (
-    failure_rows,
-    failure_totals,
-    success_rows,
-    success_totals,
+from topup_analytics.schema import FAILURE_TABLE, SUCCESS_TABLE
+from topup_analytics.sinks.batches import by_day, write_batch
+from topup_analytics.sinks.ledger import (
+    fold_ledger,
+    open_ledger,
+    read_ledger,
+    read_rejects,
+    sealed,
+    write_partials,
 )
+from topup_analytics.sinks.tables import failure_rows, fold_table, success_rows, table_totals
 from topup_analytics.streaming.identity import stream_id
 
 # Takes a table's name, its rows, the stream and the batch.
@@ -50,14 +47,26 @@ class StoredTables:
         return read_ledger(spark, self.ledger)
 
     def failures(self, spark: SparkSession) -> DataFrame:
-        return failure_totals(read_batches(spark, self.table(FAILURE_TABLE), FAILURE_SCHEMA))
+        return table_totals(spark, self.path, FAILURE_TABLE)
 
     def successes(self, spark: SparkSession) -> DataFrame:
-        return success_totals(read_batches(spark, self.table(SUCCESS_TABLE), SUCCESS_SCHEMA))
+        return table_totals(spark, self.path, SUCCESS_TABLE)
 
     def rejects(self, spark: SparkSession) -> DataFrame:
         return read_rejects(spark, self.ledger)
 
+    def fold(self, spark: SparkSession, seal: Collection[str] = ()) -> int:
+        """Sum the older batches of the ledger and of both tables; return the ledger's generation.
+
+        ``seal`` names backfills that will not be repeated: they are summed too.
+        """
+        streams = [f"backfill-{name}" for name in seal]
+        # The ledger first: what it has sealed cannot be repeated, should the rest be left to the next fold.
+        generation = fold_ledger(spark, self.ledger, streams)
+        for name in (FAILURE_TABLE, SUCCESS_TABLE):
+            fold_table(spark, self.path, name, streams)
+        return generation
+
 
 @dataclass(frozen=True)
 class TopupJob:
@@ -119,7 +128,9 @@ class TopupJob:
         )
 
     def backfill(self, lines: DataFrame, name: str) -> None:
-        """Add the lines of a batch source; again under the same name replaces them."""
+        """Add the lines of a batch source; again under the same name replaces them, unless it was sealed."""
         if not re.fullmatch(r"[A-Za-z0-9_-]+", name):
             raise ValueError(f"not a plain name: {name!r}")
+        if sealed(lines.sparkSession, self.tables.ledger, f"backfill-{name}"):
+            raise ValueError(f"the backfill {name!r} was sealed by a fold")
         self.store(lines, f"backfill-{name}", 0)
