@@ -23,16 +23,14 @@ def plain_licenses(text):
         parts = phrase.split()
         places += [(i, label) for i in range(len(words)) if words[i : i + len(parts)] == parts]
     share, labels = 0, {label for _, label in places}
-    for line in lower(text).split("\n"):
-        tokens = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line)
-        step = licenses.BLOCK_WORDS - licenses.OVERLAP
-        for at in range(0, max(1, len(tokens) - licenses.OVERLAP), step):
-            block = set(tokens[at : at + licenses.BLOCK_WORDS])
-            for label, template in licenses.TEMPLATES:
-                own = set(template.split())
-                if 10 * len(own & block) >= 9 * len(own):
-                    labels.add(label)
-                    share = max(share, len(own & block) / len(own))
+    step = licenses.BLOCK_WORDS - licenses.OVERLAP
+    for at in range(0, max(1, len(words) - licenses.OVERLAP), step):
+        block = set(words[at : at + licenses.BLOCK_WORDS])
+        for label, template in licenses.TEMPLATES:
+            own = set(template.split())
+            if 10 * len(own & block) >= 9 * len(own):
+                labels.add(label)
+                share = max(share, len(own & block) / len(own))
     starts = [i for i, _ in places]
     return (
         len(words),
@@ -80,6 +78,47 @@ def test_licenses(spark, odd):
         assert tuple(r)[1:] == pytest.approx(plain_licenses(r["row"]["text"])), r["row"]["text"][:200]
 
 
+MIT = """Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer."""
+APACHE = """                                 Apache License
+                           Version 2.0, January 2004"""
+GPL = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or"""
+
+
+def test_notices_that_are_wrapped_over_lines(spark):
+    notices = {"mit": MIT, "bsd": BSD, "apache": APACHE}
+    filler = " ".join(f"w{i}" for i in range(77)) + "\n"
+    rows = [(label, filler[:cut] + text + "\n" + filler) for label, text in notices.items() for cut in range(0, 300, 23)]
+    rows.append(("gpl", GPL))
+    found = licenses.license_matches(spark.createDataFrame(rows, "label string, text string")).collect()
+    assert all(r["labels"] == r["row"]["label"] and r["score"] >= 0.9 for r in found)
+    for _, text in licenses.TEMPLATES:
+        assert len(text.split()) <= licenses.OVERLAP + 1
+
+
+def test_licenses_in_very_many_lines(spark):
+    """Time and memory grow with the text: half a million lines with a phrase, and as many with template words only."""
+    n = 500_000
+    rows = [(1, "copyright acme all rights reserved\n" * n), (2, "copyright of the license\n" * n), (3, "released by the mit under a license\n" * n)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["row"]["doc_id"]: tuple(r)[1:] for r in licenses.license_matches(frame, ["doc_id"]).collect()}
+    assert found[1] == (5 * n, n, 2, 5 * n - 3, "reserved", "reserved", 1.0)
+    assert found[2] == (4 * n, 0, None, None, "", "", 0.0)
+    assert found[3] == (7 * n, 0, None, None, "", "mit", 1.0)
+
+
 def test_licenses_of_nothing(none):
     assert licenses.license_matches(none).count() == 0
 
