@@ -1,0 +1,232 @@
+"""Folding and sweeping of stored batches: totals, crashes at every step, readers that began before, bounded listings."""
+
+import os
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from samples import brute_cube, cube_dict, line, random_lines
+from topup_analytics.operators import base_cube, cube_with_rejects, order_facts, parse_orders, with_province
+from topup_analytics.schema import FAILURE_TABLE, SUCCESS_TABLE
+from topup_analytics.sinks import fold_ledger, folds, open_ledger, read_ledger, read_rejects, write_partials
+from topup_analytics.sinks.files import list_batches, list_numbered
+from topup_analytics.sinks.ledger import _last_fold, _table
+from topup_analytics.sinks.batches import write_batch
+from topup_analytics.sources import batch_lines, stream_lines
+from topup_analytics.streaming import StoredTables, TopupJob, fold_totals, latest_totals
+
+TEXTS = random_lines(240, seed=11)
+BAD = [line("2024"), line("2024"), "{reChargeNotifyReq"]
+
+
+class Ledger:
+    """A ledger that gets its batches one by one."""
+
+    def __init__(self, spark, lines, path):
+        self.spark, self.lines, self.path = spark, lines, str(path)
+        self.texts, self.batches = [], 0
+        open_ledger(spark, self.path)
+
+    def add(self, texts, stream="s", batch=None):
+        rows = cube_with_rejects(parse_orders(self.lines(texts)))
+        write_partials(rows.coalesce(1), self.path, stream, self.batches if batch is None else batch)
+        if batch is None:
+            self.texts += texts
+            self.batches += 1
+
+    def check(self):
+        good = [t for t in self.texts if t not in BAD]
+        assert cube_dict(base_cube(read_ledger(self.spark, self.path))) == brute_cube(good)
+        rejects = read_rejects(self.spark, self.path).groupBy("value").agg(F.sum("rejected").alias("n")).collect()
+        assert {r.value: r.n for r in rejects} == {b: self.texts.count(b) for b in BAD if b in self.texts}
+
+    def folders(self):
+        return {k: sorted(v) for k, v in list_batches(self.spark, f"{self.path}/partials").items()}
+
+
+@pytest.fixture
+def ledger(spark, lines, tmp_path):
+    return Ledger(spark, lines, tmp_path / "ledger")
+
+
+def test_a_reader_lists_the_batches_of_the_last_folds_only(ledger, spark, monkeypatch):
+    monkeypatch.setattr(folds, "MOST_SEGMENTS", 2)
+    for number in range(8):
+        ledger.add(TEXTS[30 * number : 30 * number + 30] + BAD[number % 3 :])
+        fold_ledger(spark, ledger.path)
+        ledger.check()
+        assert len(ledger.folders()["s"]) <= 3
+    assert ledger.folders() == {"s": [6, 7]}
+    assert _last_fold(spark, ledger.path) == (7, {"s": 6})
+    for folder, name in (("folded", "generation"), ("rejected", "segment")):
+        assert len(list_numbered(spark, f"{ledger.path}/{folder}", name)) <= 4
+    assert spark.read.json(f"{ledger.path}/folds").count() == 2
+    # A replay of the newest batch counts once, also after folds.
+    ledger.add(TEXTS[210:240] + BAD[1:], batch=7)
+    ledger.check()
+    assert fold_ledger(spark, ledger.path) == 7
+
+
+def test_batches_without_rows_go_as_well(ledger, spark):
+    for number in range(4):
+        ledger.add(TEXTS[:5] if number == 1 else ["nothing"])
+        ledger.texts = [t for t in ledger.texts if t != "nothing"]
+        fold_ledger(spark, ledger.path)
+        ledger.check()
+    assert ledger.folders() == {"s": [2, 3]}
+
+
+STEPS = ["snapshot", "segment", "record", "after the record", "a batch", "a snapshot", "a segment", "a record"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_crash_at_any_step_changes_no_total(ledger, spark, monkeypatch, step):
+    for number in range(4):
+        ledger.add(TEXTS[40 * number : 40 * number + 40] + BAD)
+        if number < 3:
+            fold_ledger(spark, ledger.path)
+    table, publish, keep, remove = folds.FoldedTable, folds.FoldedTable._publish, folds.FoldedTable._keep, folds.remove
+
+    def stop(*_):
+        raise RuntimeError("stop")
+
+    def stop_after(action):
+        def both(*args):
+            action(*args)
+            stop()
+
+        return both
+
+    def stop_at(name):
+        def removing(spark, path):
+            remove(spark, path)
+            if name in path:
+                stop()
+
+        return removing
+
+    if step == "snapshot":
+        monkeypatch.setattr(table, "_keep", stop)
+    elif step == "segment":
+        monkeypatch.setattr(table, "_keep", stop_after(keep))
+    elif step == "record":
+        monkeypatch.setattr(table, "_publish", stop)
+    elif step == "after the record":
+        monkeypatch.setattr(table, "_publish", stop_after(publish))
+    else:
+        name = {"a batch": "batch_id=", "a snapshot": "generation=", "a segment": "segment=", "a record": "/folds/"}[step]
+        monkeypatch.setattr(folds, "remove", stop_at(name))
+        monkeypatch.setattr(folds, "MOST_SEGMENTS", 1)
+    try:
+        fold_ledger(spark, ledger.path)
+        assert step == "a segment"
+    except RuntimeError as error:
+        assert str(error) == "stop"
+    ledger.check()
+    monkeypatch.undo()
+    assert fold_ledger(spark, ledger.path) == 3
+    ledger.check()
+    ledger.add(TEXTS[160:200] + BAD)
+    assert fold_ledger(spark, ledger.path) == 4
+    ledger.check()
+    assert ledger.folders() == {"s": [3, 4]}
+
+
+def test_a_reader_that_began_before_a_fold(ledger, spark):
+    """What a reader has listed stays until the fold after the next."""
+    for number in range(4):
+        ledger.add(TEXTS[40 * number : 40 * number + 40] + BAD)
+        if number == 2:
+            fold_ledger(spark, ledger.path)
+    early, rejects = read_ledger(spark, ledger.path), read_rejects(spark, ledger.path)
+    assert fold_ledger(spark, ledger.path) == 2
+    assert cube_dict(base_cube(early)) == brute_cube(TEXTS[:160])
+    assert rejects.agg(F.sum("rejected")).first()[0] == 12
+
+
+def test_a_thousand_streams_do_not_lengthen_the_plan(ledger, spark):
+    ledger.add(TEXTS[:40])
+    lengths = []
+    for generation, n in ((1, 2), (2, 1000)):
+        through = {f"backfill-{i}": 0 for i in range(n)}
+        base_cube(read_ledger(spark, ledger.path)).limit(0).write.parquet(f"{ledger.path}/folded/generation={generation}")
+        _table(ledger.path)._publish(spark, generation, through, [])
+        plan = read_ledger(spark, ledger.path)._jdf.queryExecution()
+        lengths.append([p.numberedTreeString().count("\n") for p in (plan.analyzed(), plan.optimizedPlan())])
+        ledger.check()
+    assert lengths[0] == lengths[1]
+
+
+def test_sealed_backfills(spark, lines, tmp_path):
+    tables = StoredTables(str(tmp_path / "out"))
+    job = TopupJob(tables)
+    for number in range(4):
+        job.backfill(lines(TEXTS[60 * number : 60 * number + 60]), f"b{number}")
+    whole = brute_cube(TEXTS)
+
+    def check():
+        assert cube_dict(base_cube(tables.totals(spark))) == whole
+        assert tables.failures(spark).agg(F.sum("counts")).first()[0] == sum(v[2] for v in whole.values())
+        assert tables.successes(spark).agg(F.sum("isCharged")).first()[0] == sum(v[1] for v in whole.values())
+
+    assert tables.fold(spark) == 0
+    assert tables.fold(spark, ["b0", "b1"]) == 1
+    check()
+    with pytest.raises(ValueError, match="sealed"):
+        job.backfill(lines(TEXTS[:60]), "b0")
+    job.backfill(lines(TEXTS[120:180]), "b2")
+    check()
+    assert tables.fold(spark, ["b2"]) == 2
+    check()
+    # The sealed ones' folders are gone, a generation later; the one that may be repeated stays.
+    for path in (f"{tables.ledger}/partials", tables.table(FAILURE_TABLE), tables.table(SUCCESS_TABLE)):
+        assert sorted(list_batches(spark, path)) == ["backfill-b2", "backfill-b3"]
+
+
+def test_running_totals_are_merged(spark, tmp_path):
+    path, keys, measures = str(tmp_path / "running"), ["order_minute"], ["orders"]
+    want = {}
+    for number in range(6):
+        changed = {f"2024030110{m:02d}": 100 * number + m for m in range(number, 12)}
+        want |= changed
+        rows = spark.createDataFrame(list(changed.items()), "order_minute string, orders long")
+        write_batch(rows, path, "s", number)
+        fold_totals(spark, path, keys, measures, "order_minute")
+        got = {r.order_minute: r.orders for r in latest_totals(spark, path, keys, measures).collect()}
+        assert got == want
+    assert list_batches(spark, path) == {"s": [4, 5]}
+
+
+def test_a_table_that_was_never_written(spark, tmp_path):
+    tables = StoredTables(str(tmp_path / "out"))
+    assert tables.failures(spark).count() == tables.successes(spark).count() == tables.totals(spark).count() == 0
+    assert tables.fold(spark) == 0
+
+
+def test_limits_of_a_batch(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    sizes = [3, 3, 3, 20, 1, 1]
+    for number, size in enumerate(sizes):
+        file = log / f"{number}.json"
+        file.write_text("x" * (10 * size - 1) + "\n")
+        os.utime(file, (1_700_000_000 + number,) * 2)
+    query = stream_lines(spark, str(log), max_bytes_per_trigger=60).writeStream.format("noop")
+    query = query.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    # Files in their order, as many as fit; one that is larger than the limit comes alone.
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [2, 1, 1, 2]
+    with pytest.raises(ValueError, match="not by both"):
+        stream_lines(spark, str(log), 1, 60)
+
+
+def test_a_dimension_of_the_callers(spark, lines):
+    orders = order_facts(lines([line(province="7"), line(province="8"), line(province=None)]))
+    dim = lambda *rows: spark.createDataFrame(rows, "province_code string, province string")
+    repeated = with_province(orders, dim(("7", "Seven"), ("7", "Seven"), ("8", "Eight"), (None, "x"), (None, "y"), ("9", "z")))
+    assert sorted(r.province for r in repeated.collect()) == ["Eight", "Seven", "none"]
+    plan = repeated._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1
+    with pytest.raises(PySparkException, match="two names for province code 7"):
+        with_province(orders, dim(("7", "Seven"), ("7", "Sieben"))).collect()
