@@ -208,4 +208,19 @@ def test_loads_are_counts(spark):
         counts[(shingle_set(text or "", 3) >> np.uint64(64 - jaccard.COUNT_BITS)).astype(np.int64)] += 1
     usual = counts.mean()
     assert (found == np.rint(8 * np.log2(1 + np.maximum(0, counts - usual - 2 * np.sqrt(usual))))).all()
-    assert (jaccard._unpack(jaccard._pack(np.array([0, 1, 256, 2**32 - 1]))) == [0, 1, 256, 2**32 - 1]).all()
+    rng = np.random.default_rng(2)
+    for used in (0, 1, 500, 43_000, 44_000, jaccard.SLICE):
+        counts = np.zeros(jaccard.SLICE, dtype=np.int64)
+        counts[rng.choice(jaccard.SLICE, used, replace=False)] = rng.integers(1, 2**32, used)
+        data, back = jaccard._pack(counts), np.ones(jaccard.SLICE, dtype=np.int64)
+        jaccard._unpack(data, back)
+        assert (back == counts + 1).all() and len(data) <= min(6 * used, 4 * jaccard.SLICE)
+
+
+def test_frequent_tokens_meet_in_squares(spark, monkeypatch):
+    """However few rows of a token meet in a task, the links are the same."""
+    monkeypatch.setattr(jaccard, "SIDE_ROWS", 3)
+    rows = corpus(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard.near_duplicates(docs, 3, 90).select("doc_id", "n_shingles", "component_id").collect()
+    assert ordered(got) == ordered(plain_components(rows, 3, 90))

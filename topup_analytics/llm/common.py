@@ -9,7 +9,7 @@ import tempfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topup_analytics.plans.workspace import new_folder
@@ -51,16 +51,31 @@ def stored(rows: DataFrame) -> DataFrame:
 
 
 class Scratch:
-    """A folder for tables that are not needed once an operator's result is stored."""
+    """A folder for tables that are not needed once an operator's result is stored.
+
+    Where a table's rows are known to be few, it is written in few files. Every file costs the tasks
+    that write and read it, and some stores a process, so that many small ones outweigh the work itself.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.folder, self.tables = spark, new_folder(spark), 0
 
-    def stored(self, rows: DataFrame) -> DataFrame:
+    def counted(self, rows: DataFrame, most: int | None = None, a_file: int = 250_000) -> tuple[DataFrame, int]:
+        """``rows``, stored and read back, and how many there are.
+
+        ``most`` is a bound of the rows, if there is one; then a task gets about ``a_file`` of them.
+        """
         self.tables += 1
         path = f"{self.folder}/{self.tables}"
-        rows.write.option("compression", "zstd").parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        schema, seen = rows.schema, Observation()
+        if most is not None:
+            rows = rows.coalesce(max(1, -(-most // a_file)))
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(schema).parquet(path), seen.get["n"]
+
+    def stored(self, rows: DataFrame, most: int | None = None, a_file: int = 250_000) -> DataFrame:
+        """``rows``, stored and read back."""
+        return self.counted(rows, most, a_file)[0]
 
     def drop(self) -> None:
         """Deletes the folder; nothing may read it any more."""

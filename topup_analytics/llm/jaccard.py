@@ -24,6 +24,10 @@ FAN_IN = 64
 MATCHES = np.array([1, 2, 3, 5, 8, 13, 21, 34])
 #: What it costs to verify a pair, in prefix rows looked up.
 VERIFY_COST = 20.0
+#: Texts, or pairs of them, that a task takes to verify.
+TEXTS = 4096
+#: Rows of one token that meet in a task, on either side.
+SIDE_ROWS = 4096
 #: Words of 64 bits in the parity sketch that goes with prefix rows.
 SKETCH = 8
 #: The sketch that pairs are checked by has at least two bits for each shingle, within these bounds.
@@ -130,28 +134,38 @@ def _measured(texts: DataFrame, width: int) -> DataFrame:
 
 
 def _pack(counts: np.ndarray) -> bytes:
-    """Counts in four planes of bytes; the upper ones are mostly zero and compress to little."""
-    return np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """A slice's counts: those that are not zero, with their places, or all of them where that is shorter."""
+    used = np.flatnonzero(counts)
+    if 6 * len(used) < 4 * len(counts):
+        return counts[used].astype("<u4").tobytes() + used.astype("<u2").tobytes()
+    return counts.astype("<u4").tobytes()
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+def _unpack(data: bytes, into: np.ndarray) -> None:
+    """Adds packed counts to a slice."""
+    if len(data) == 4 * len(into):
+        into += np.frombuffer(data, dtype="<u4")
+    else:
+        used = len(data) // 6
+        into[np.frombuffer(data, dtype="<u2", offset=4 * used)] += np.frombuffer(data, dtype="<u4", count=used)
 
 
 def _loads(measured: DataFrame) -> np.ndarray:
     """For each bucket, how many more shingles it holds than a bucket does by chance, as a byte."""
     usual = (measured.agg(F.sum("n")).first()[0] or 0) / (1 << COUNT_BITS)
 
-    def total(group: pa.Table) -> pa.Table:
+    def added(group: pa.Table) -> np.ndarray:
         counts = np.zeros(SLICE, dtype=np.int64)
         for data in group["counts"]:
-            counts += _unpack(data.as_py())
-        kept = np.minimum(counts, 2**32 - 1)
+            _unpack(data.as_py(), counts)
+        return counts
+
+    def total(group: pa.Table) -> pa.Table:
+        kept = np.minimum(added(group), 2**32 - 1)
         return pa.table({"slice": group["slice"][:1], "task": group["task"][:1], "counts": pa.array([_pack(kept)])})
 
     def coded(group: pa.Table) -> pa.Table:
-        more = np.maximum(0, _unpack(total(group)["counts"][0].as_py()) - usual - 2 * np.sqrt(usual))
+        more = np.maximum(0, added(group) - usual - 2 * np.sqrt(usual))
         return pa.table({"slice": group["slice"][:1], "codes": pa.array([np.rint(8 * np.log2(1 + more)).clip(0, 255).astype(np.uint8).tobytes()])})
 
     rows = measured.where("slice is not null").select("slice", F.col("text_id").alias("task"), "counts")
@@ -165,7 +179,7 @@ def _loads(measured: DataFrame) -> np.ndarray:
 
 
 def _prefixes(texts: DataFrame, loads: np.ndarray, width: int, percent: int) -> DataFrame:
-    """For each set its size, matches to ask for, prefix and sketch; equal sets have equal rows."""
+    """For each set its size, matches to ask for, prefix and sketch; equal sets have equal rows, and one from a task."""
     ship_code(texts.sparkSession)
     schema = "node bigint, n int, matches int, prefix array<bigint>, sketch array<bigint>, wide binary"
     arrow = pa.schema(
@@ -174,13 +188,19 @@ def _prefixes(texts: DataFrame, loads: np.ndarray, width: int, percent: int) ->
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # of one partition's texts
         for batch in batches:
-            for part in slices(batch):
-                sets = [s for t in part.column(0).to_pylist() if len(s := shingle_set(t, width))]
+            for part in slices(batch, 64):
+                found = {}
+                for text in part.column(0).to_pylist():
+                    if len(hashes := shingle_set(text, width)) and (node := set_id(hashes)) not in seen:
+                        seen.add(node)
+                        found[node] = hashes
+                sets = list(found.values())
                 chosen = [choose_prefix(s, loads, percent) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([set_id(s) for s in sets], pa.int64()),
+                        pa.array(list(found), pa.int64()),
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([m for m, _ in chosen], pa.int32()),
                         pa.array([p.view(np.int64) for _, p in chosen], arrow[3].type),
@@ -213,11 +233,11 @@ def _hits(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bitmap[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def _wanted_texts(texts: DataFrame, measured: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """One text for each of the nodes. The other texts are not shuffled."""
+def _wanted_texts(texts: DataFrame, measured: DataFrame, nodes: DataFrame, most: int, scratch: Scratch) -> DataFrame:
+    """One text for each of the nodes, ``most`` at most. The other texts are not shuffled."""
     of_node = measured.where("node is not null").groupBy("node").agg(F.min("text_id").alias("text_id"))
-    wanted = scratch.stored(nodes.join(of_node, "node").select("text_id", "node"))
-    bitmap = _bitmap(wanted, wanted.count())
+    wanted, n = scratch.counted(nodes.join(of_node, "node").select("text_id", "node"), most)
+    bitmap = _bitmap(wanted, n)
     ship_code(texts.sparkSession)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +246,7 @@ def _wanted_texts(texts: DataFrame, measured: DataFrame, nodes: DataFrame, scrat
 
     picked = texts.select("text_id", "text").mapInArrow(pick, "text_id bigint, text string")
     once = picked.groupBy("text_id").agg(F.first("text").alias("text"))
-    return scratch.stored(once.join(wanted, "text_id").select("node", "text"))
+    return scratch.stored(once.join(wanted, "text_id").select("node", "text"), n, TEXTS)
 
 
 def _not_ruled_out(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -246,13 +266,14 @@ def _not_ruled_out(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataF
 
 
 def _verified(
-    pairs: DataFrame, sketches: DataFrame, texts: DataFrame, measured: DataFrame, width: int, percent: int, scratch: Scratch
-) -> DataFrame:
-    """The pairs ``a, b`` whose sets are linked. ``a`` may be one node in very many pairs."""
+    pairs: DataFrame, most: int | None, sketches: DataFrame, texts: DataFrame, measured: DataFrame, width: int, percent: int, scratch: Scratch
+) -> tuple[DataFrame, int]:
+    """The pairs ``a, b`` whose sets are linked, and their number. ``a`` may be one node in very many pairs."""
     ship_code(pairs.sparkSession)
-    pairs = scratch.stored(_not_ruled_out(scratch.stored(pairs.select("a", "b")), sketches, percent))
+    pairs, n = scratch.counted(pairs.select("a", "b"), most)
+    pairs, n = scratch.counted(_not_ruled_out(pairs, sketches, percent), n, TEXTS)
     both = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = _wanted_texts(texts, measured, both, scratch)
+    wanted = _wanted_texts(texts, measured, both, 2 * n, scratch)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
@@ -272,18 +293,19 @@ def _verified(
 
     with_a = pairs.join(wanted.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     with_b = with_a.join(wanted.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return scratch.stored(with_b.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a bigint, b bigint"))
+    return scratch.counted(with_b.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a bigint, b bigint"), n, TEXTS)
 
 
-def _members(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows ``token, node`` of the prefix shingles that more than one row of ``nodes`` has.
+def _members(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, int, int]:
+    """Rows ``token, node`` of the prefix shingles that more than one set has; the number of rows and of shingles.
 
     All prefix shingles are shuffled once, to be counted. A bitmap of those that
     count then picks their rows, so that the others are not shuffled again.
     """
-    tokens = nodes.select(F.explode("prefix").alias("token"))
-    shared = scratch.stored(tokens.groupBy("token").count().where("count > 1").select("token"))
-    bitmap = _bitmap(shared, shared.count())
+    tokens = nodes.select("node", F.explode("prefix").alias("token"))
+    ends = tokens.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    shared, n_shared = scratch.counted(ends.where("least < most").select("token"))
+    bitmap = _bitmap(shared, n_shared)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,7 +315,8 @@ def _members(nodes: DataFrame, scratch: Scratch) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(values[hit]), pa.array(node[hit])], ["token", "node"])
 
     picked = nodes.select("node", "prefix").mapInArrow(pick, "token bigint, node bigint")
-    return scratch.stored(picked.distinct().join(shared, "token").select("token", "node"))
+    members, n = scratch.counted(picked.distinct().join(shared, "token").select("token", "node"))
+    return members, n, n_shared
 
 
 def _may_link(percent: int) -> Column:
@@ -308,8 +331,8 @@ def _may_link(percent: int) -> Column:
     return fits & (differing <= sizes - 2 * overlap)
 
 
-def links(texts: DataFrame, measured: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Links ``a, b`` between distinct sets that connect all sets which links connect.
+def links(texts: DataFrame, measured: DataFrame, width: int, percent: int, scratch: Scratch) -> tuple[DataFrame, int]:
+    """Links ``a, b`` between distinct sets that connect all sets which links connect, and their number.
 
     Sets are joined by the shingles in their prefixes. The centre of a shingle is
     the set, of those with it, that shares the largest part of its prefix with
@@ -321,45 +344,51 @@ def links(texts: DataFrame, measured: DataFrame, width: int, percent: int, scrat
     groups is missed, and the pairs within a group are not formed.
     """
     stored = scratch.stored
-    nodes = stored(_prefixes(texts, _loads(measured), width, percent))
-    members = _members(nodes, scratch)
+    nodes, n_nodes = scratch.counted(_prefixes(texts, _loads(measured), width, percent))
+    members, n_members, n_shared = _members(nodes, scratch)
     weight = (F.col("count") / F.size("prefix")).alias("weight")
     sketched = nodes.join(members.groupBy("node").count(), "node").select(
-        "node", F.struct("n", "matches", "sketch").alias("set"), "wide", weight
-    )
-    sketches = stored(
-        sketched.groupBy("node").agg(*[F.first(c).alias(c) for c in ("set", "wide", "weight")])
+        "node", F.struct(F.struct("n", "matches", "sketch").alias("set"), "wide", weight).alias("of")
     )
-    weighted = stored(members.join(sketches.select("node", "weight"), "node"))
+    sketches, n_nodes = scratch.counted(sketched.groupBy("node").agg(F.first("of").alias("of")).select("node", "of.*"), n_nodes, TEXTS)
+    weighted = stored(members.join(sketches.select("node", "weight"), "node"), n_members)
 
     # Complements reverse the order, so ties go to the smallest.
     first = F.max(F.struct("weight", F.bitwise_not("node").alias("other")))
-    centres = stored(weighted.groupBy("token").agg(first.alias("best")).select("token", F.bitwise_not("best.other").alias("centre")))
+    centres = weighted.groupBy("token").agg(first.alias("best")).select("token", F.bitwise_not("best.other").alias("centre"))
+    centres = stored(centres, n_shared)
     meets = weighted.join(centres, "token").where("node <> centre").groupBy("node", "centre").count()
     paired = meets.join(sketches.select("node", F.col("set").alias("x")), "node")
     paired = paired.join(sketches.select(F.col("node").alias("centre"), F.col("set").alias("y")), "centre")
     order = F.struct("count", F.bitwise_not("centre").alias("other"))
     best = paired.where(_may_link(percent)).groupBy("node").agg(F.max(order).alias("best"))
     pairs = best.select(F.bitwise_not("best.other").alias("a"), F.col("node").alias("b"))
-    linked = _verified(pairs, sketches, texts, measured, width, percent, scratch)
+    linked, n_linked = _verified(pairs, n_nodes, sketches, texts, measured, width, percent, scratch)
     parents = linked.select(F.col("b").alias("node"), F.col("a").alias("parent"))
     above = linked.select(F.col("b").alias("parent"), F.col("a").alias("grandparent"))
     groups = parents.join(above, "parent", "left").select("node", F.coalesce("grandparent", "parent").alias("label"))
-    members = stored(
-        weighted.join(stored(groups), "node", "left").select("token", "node", F.coalesce("label", "node").alias("label"))
-    )
-
-    mixed = stored(
-        members.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    )
-    rows = stored(members.join(mixed, "token").join(sketches, "node").select("token", "node", "label", "set.*"))
-    x, y = rows.alias("x"), rows.alias("y")
-    meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
-    pairs = x.join(y, meet & (F.col("x.label") != F.col("y.label")) & _may_link(percent))
+    groups = stored(groups, n_linked)
+    members = weighted.join(groups, "node", "left").select("token", "node", F.coalesce("label", "node").alias("label"))
+    members = stored(members, n_members)
+
+    ends = members.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+    parts = ends.where("low < high").select("token", F.ceil(F.col("n") / SIDE_ROWS).cast("int").alias("parts"))
+    parts = stored(parts, n_shared)
+    rows = members.join(parts, "token").join(sketches, "node").select("token", "node", "label", "parts", "set.*")
+    rows = stored(rows, n_members)
+    # The rows of a very frequent token meet in squares, each in a task of its own.
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    x = rows.select("*", own.alias("row"), every.alias("column")).alias("x")
+    y = rows.select("*", own.alias("column"), every.alias("row")).alias("y")
+    meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.row") == F.col("y.row")) & (F.col("x.column") == F.col("y.column"))
+    meet = meet & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
+    pairs = x.join(y, meet & _may_link(percent))
     enough = pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(
         F.count("*").alias("shared"), F.first(F.least("x.matches", "y.matches")).alias("matches")
     )
-    return linked.union(_verified(enough.where("shared >= matches"), sketches, texts, measured, width, percent, scratch))
+    more, n_more = _verified(enough.where("shared >= matches"), None, sketches, texts, measured, width, percent, scratch)
+    return linked.union(more), n_linked + n_more
 
 
 def near_duplicates(
@@ -385,18 +414,20 @@ def _placed(docs: DataFrame, width: int, percent: int, id: str, text: str) -> Da
     texts = docs.select(F.col(id).cast("bigint").alias("doc_id"), filled(text).alias("text"))
     texts = texts.withColumn("text_id", F.xxhash64("text"))
     scratch = Scratch(docs.sparkSession)
-    measured = scratch.stored(_measured(texts, width))
-    roots = components(links(texts, measured, width, percent, scratch), scratch)
+    measured, n = scratch.counted(_measured(texts, width))
+    found, n_links = links(texts, measured, width, percent, scratch)
+    roots = components(found, scratch, n_links)
     rows = measured.where("slice is null").drop("slice", "counts")
     rooted = scratch.stored(
         rows.join(roots, "node", "left").select(
             "doc_id", "text_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("root", "node").alias("root")
-        )
+        ),
+        n,
     )
-    least = scratch.stored(rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")))
+    least = scratch.stored(rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")), n)
     joined = rooted.join(least, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    result = stored(joined.select("doc_id", "text_id", "n_shingles", component.alias("component_id"), "root"))
+    result = Scratch(docs.sparkSession).stored(joined.select("doc_id", "text_id", "n_shingles", component.alias("component_id"), "root"), n)
     scratch.drop()
     return result
 
