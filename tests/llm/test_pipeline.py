@@ -16,10 +16,20 @@ from topup_analytics.llm.common import read_table, stored
 CLASSES = {"upper": "[A-Z]", "lower": "[a-z]", "digit": "[0-9]", "space": r"[\x20\x09-\x0D]", "mark": r"[.,;:'\"()!?-]"}
 
 
-def plain_histograms(text):
+def plain_common(rows):
+    """The words found in most texts of each language."""
+    found = {}
+    for text, lang in rows:
+        if lang is not None:
+            found.setdefault(lang, Counter()).update(set(re.findall(r"[^\x20\x09-\x0D]+", text or "")))
+    ranked = {lang: sorted(seen, key=lambda w: (-seen[w], w.encode())) for lang, seen in found.items()}
+    return {lang: [*ws[: quality.N_COMMON], *[""] * (quality.N_COMMON - len(ws))] for lang, ws in ranked.items()}
+
+
+def plain_histograms(text, groups):
     counts = [len(re.findall(p, text)) for p in CLASSES.values()] + [sum(ord(c) > 127 for c in text)]
     words = Counter(re.findall(r"[^\x20\x09-\x0D]+", text))
-    common = {k: [words[w] for w in group] for k, group in quality.COMMON_WORDS.items()}
+    common = {k: [words[w] for w in group] for k, group in groups.items()}
     n = sum(words.values())
     return [*counts, len(text) - sum(counts)], {k: [*c, n - sum(c)] for k, c in common.items()}
 
@@ -35,28 +45,34 @@ def divergence(p, q):
 
 def plain_verdicts(rows):
     """(kept, distance) of rows (text, lang)."""
-    found = [(plain_histograms(t or ""), plain_counts(t), lang) for t, lang in rows]
+    groups = plain_common(rows)
+    found = [(plain_histograms(t or "", groups), plain_counts(t), lang) for t, lang in rows]
 
     def references(use):
-        out = {}
-        for lang in quality.COMMON_WORDS:
+        sums = {}
+        for lang in groups:
             own = [h for (h, _, l), u in zip(found, use) if u and l == lang]
             if own:
-                out[lang] = [shares([sum(x) for x in zip(*part)]) for part in ([h[0] for h in own], [h[1][lang] for h in own])]
+                sums[lang] = [[sum(x) for x in zip(*part)] for part in ([h[0] for h in own], [h[1][lang] for h in own])]
+        out = {lang: [] for lang in sums}
+        for kind, amount in ((0, quality.SMOOTH_CHARS), (1, quality.SMOOTH_WORDS)):
+            mean = shares([sum(x) for x in zip(*(parts[kind] for parts in sums.values()))]) if sums else []
+            for lang, parts in sums.items():
+                out[lang].append(shares([n + amount * m for n, m in zip(parts[kind], mean)]))
         return out
 
-    def distance(h, counts, refs):
-        if counts[0] < quality.JUDGED_WORDS or not refs:
+    def distance(h, counts, lang, refs):
+        if counts[0] < quality.JUDGED_WORDS or not refs or not (lang is None or lang in refs):
             return None
         return min(
-            math.sqrt((divergence(shares(h[0]), c) + divergence(shares(h[1][lang]), w)) / 2) for lang, (c, w) in refs.items()
+            math.sqrt((divergence(shares(h[0]), c) + divergence(shares(h[1][name]), w)) / 2) for name, (c, w) in refs.items()
         )
 
     far = lambda d: d is not None and d > quality.MOST_DISTANCE
     passed = [not counts[5] for _, counts, _ in found]
     first = references(passed)
-    refs = references([p and not far(distance(h, c, first)) for (h, c, _), p in zip(found, passed)])
-    distances = [distance(h, c, refs) for h, c, _ in found]
+    refs = references([p and not far(distance(h, c, lang, first)) for (h, c, lang), p in zip(found, passed)])
+    distances = [distance(h, c, lang, refs) for h, c, lang in found]
     return [(p and not far(d), d) for p, d in zip(passed, distances)]
 
 

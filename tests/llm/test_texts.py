@@ -5,11 +5,13 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import odd_rows, sentence
 from topup_analytics.llm import bpe, language, licenses, quality
@@ -147,7 +149,7 @@ def test_quality_keeps_clean_texts(spark):
 
 def test_quality_without_references(none, odd):
     assert quality.judged(none).count() == 0
-    rows = quality.judged(odd.withColumn("lang", odd["held"])).collect()
+    rows = quality.judged(odd.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert all(r["kept"] != r["base_failed"] and r["distance"] is None for r in rows)
 
 
@@ -159,8 +161,8 @@ def test_quality_of_further_languages(spark):
     junk = lambda: " ".join(f"{rng.randrange(10**9)}=={rng.randrange(10**6)}" for _ in range(60))
     rows = [(i, clean(), "ru", True) for i in range(120)] + [(200 + i, junk(), "ru", False) for i in range(4)]
     rows += [(300, clean(), None, True), (301, junk(), None, False), (302, clean(), "en", True)]
-    # Too few texts for a reference, and none that passes the base.
-    rows += [(400, sentence(rng, 60, "אבגדהוזח"), "he", None), (401, "le la " * 40, "fr", None)]
+    # A single text is a reference too; a language without a text that passes the base has none.
+    rows += [(400, sentence(rng, 60, "אבגדהוזח"), "he", True), (401, "le la " * 40, "fr", None)]
     docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
     docs = docs.union(read_table(spark, "/root/testdata/sf0.001", "documents").where("lang <> 'fr'").selectExpr("doc_id + 1000", "text", "lang"))
     assert set(quality.common_words(docs)["ru"]) == set(frequent)
@@ -172,11 +174,26 @@ def test_quality_of_further_languages(spark):
             assert found[doc]["kept"] == kept and found[doc]["distance"] is not None
 
 
-def test_divergence_is_symmetric_and_bounded(spark):
-    from pyspark.sql import functions as F
+def test_quality_of_a_fifth_language_is_that_of_the_sql(spark, tmp_path):
+    rng = random.Random(11)
+    text = lambda n: " ".join(rng.choice("и в не на я что он слово мир дом день ночь рука 12 !".split()) for _ in range(n))
+    more = [(10_000 + i, text(rng.randint(10, 90)), "ru") for i in range(9)] + [(20_000, "qq ww " * 30, "xx"), (20_001, sentence(rng, 50), "yy")]
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang")
+    docs.union(spark.createDataFrame(more, docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    ours = quality.op9_quality_rules(spark, str(tmp_path)).toPandas()
+    theirs = connection.sql(quality.OP9_SQL).df()[list(ours.columns)]
+    key = ["doc_id", "n_words"]
+    pd.testing.assert_frame_equal(
+        ours.sort_values(key).reset_index(drop=True), theirs.sort_values(key).reset_index(drop=True), check_dtype=False, atol=2e-6
+    )
+    assert ours[ours.doc_id.between(10_000, 10_008)].distance.notna().any()
 
+
+def test_divergence_is_symmetric_and_bounded(spark):
     frame = spark.createDataFrame([([1.0, 0.0],), ([0.5, 0.5],), ([0.0, 1.0],)], "p array<double>")
-    got = [r[0] for r in frame.select(quality._divergence(F.col("p"), [0.0, 1.0])).collect()]
+    got = [r[0] for r in frame.select(quality._divergence(F.col("p"), F.array(F.lit(0.0), F.lit(1.0)))).collect()]
     assert got == pytest.approx([1.0, 0.31127812445913283, 0.0])
 
 

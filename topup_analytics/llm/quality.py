@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,13 +15,6 @@ MOST_REPEATED_PERCENT = 30
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 
-#: Frequent function words of four languages; those of any other are taken from the corpus.
-COMMON_WORDS = {
-    "en": ("the", "of", "and", "to", "in", "a", "is", "that", "it", "for", "was", "with"),
-    "fr": ("de", "la", "le", "et", "les", "des", "que", "en", "un", "est", "pour", "dans"),
-    "de": ("der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "ist", "auf"),
-    "es": ("de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "por"),
-}
 #: Character classes counted by pattern; letters beyond ASCII, and all the rest, are two more.
 CLASSES = {
     "upper": "[A-Z]+",
@@ -28,10 +23,10 @@ CLASSES = {
     "space": r"\s+",
     "mark": r"[.,;:'\"()!?-]+",
 }
-#: So many words stand for each language.
+#: So many words stand for each language: those found in most of its texts.
 N_COMMON = 12
-#: A language beyond ``COMMON_WORDS`` has a reference from so many texts on; shares of fewer say little.
-LEAST_TEXTS = 100
+#: What the mean of all languages adds to each language's reference: so many characters, and so many words.
+SMOOTH_CHARS, SMOOTH_WORDS = 20, 4
 #: Words are first ranked in so many parts of a language's vocabulary.
 WORD_PARTS = 64
 #: Shorter texts are not judged by their histograms.
@@ -67,12 +62,24 @@ def repeated_words(word_list: Column, window: int = WINDOW) -> Column:
         differ = F.size(F.array_distinct(hashes)) == F.size(hashes)
         return F.when(differ, none).otherwise(covered(hashes))
 
-    def windows(each: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(each) - (window - 1))
-        return bound(F.transform(starts, lambda i: F.xxhash64(F.slice(each, i, window))), of_hashes)
+    return F.when(F.size(word_list) <= window, none).otherwise(bound(_hashed_windows(word_list, window), of_hashes))
+
 
-    hashed = F.transform(word_list, lambda w: F.xxhash64(w))
-    return F.when(F.size(word_list) <= window, none).otherwise(bound(hashed, windows))
+def _hashed_windows(word_list: Column, window: int) -> Column:
+    """A hash of every window of words, put together from those of its halves; ``window`` is a power of two."""
+    hashes, width = F.transform(word_list, lambda w: F.xxhash64(w)), 1
+    while width < window:
+        # Neither half is a slice: each hash is made of two numbers.
+        join = lambda half, k=width: F.transform(
+            F.slice(half, 1, F.size(half) - k), lambda h, i: F.xxhash64(h, F.get(half, i + k))
+        )
+        hashes, width = bound(hashes, _one(join)), 2 * width
+    return hashes
+
+
+def _one(body):
+    """A function of one argument; Spark counts the arguments of what it is given."""
+    return lambda value: body(value)
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -81,18 +88,14 @@ def _count(text: Column, pattern: str) -> Column:
 
 
 def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[str, ...]]:
-    """``COMMON_WORDS``, and for each other language of ``LEAST_TEXTS`` rows the words found in most of its texts.
+    """For each language of ``docs`` the words found in most of its texts, one rule for all.
 
-    Reads the texts only if there is such a language. Ties go by spelling; a
-    language of fewer words has empty ones, which no text holds.
+    Counted over all texts. Ties go by spelling; a language of fewer words has empty ones, which no text holds.
+    ``N_COMMON`` words for each label come to the driver.
     """
-    rows = docs.select(F.col(lang).cast("string").alias("lang"), filled(text).alias("text"))
-    labelled = rows.where(F.col("lang").isNotNull() & ~F.col("lang").isin(*COMMON_WORDS))
-    sizes = labelled.groupBy("lang").count().where(F.col("count") >= LEAST_TEXTS)
-    names = sorted(row["lang"] for row in sizes.collect())
-    if not names:
-        return COMMON_WORDS
-    each = labelled.where(F.col("lang").isin(names)).select("lang", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
+    rows = docs.select(F.col(lang).cast("string").alias("lang"), filled(text).alias("text")).where("lang is not null")
+    names = sorted(row["lang"] for row in rows.select("lang").distinct().collect())
+    each = rows.select("lang", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
     # Ranked in parts first, so that no task orders a language's whole vocabulary.
     counted = each.groupBy("lang", "word").count().withColumn("part", F.pmod(F.xxhash64("word"), F.lit(WORD_PARTS)))
     for group in (["lang", "part"], ["lang"]):
@@ -101,26 +104,20 @@ def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> dic
     found: dict[str, list[str]] = {name: [] for name in names}
     for row in counted.orderBy("lang", "rank").collect():
         found[row["lang"]].append(row["word"])
-    return COMMON_WORDS | {name: tuple([*group, *[""] * (N_COMMON - len(group))]) for name, group in found.items()}
+    return {name: tuple([*group, *[""] * (N_COMMON - len(group))]) for name, group in found.items()}
 
 
 def _occurrences(common: Column, groups: dict[str, tuple[str, ...]]) -> Column:
     """How often each word of the groups occurs, one group after the other."""
-    if len(groups) == len(COMMON_WORDS):
-        return F.array(*[F.size(common) - F.size(F.array_remove(common, w)) for group in groups.values() for w in group])
     # Each word that the text has is counted once, however many languages there are.
     times = lambda found: F.transform(found, lambda w: F.size(common) - F.size(F.array_remove(common, w)))
-    every = F.array(*[F.lit(w) for group in groups.values() for w in group])
+    every = F.array(*[F.lit(w) for group in groups.values() for w in group]).cast("array<string>")
     look_up = lambda of: F.transform(every, lambda w: F.coalesce(F.try_element_at(of, w), F.lit(0)))
     return bound(bound(F.array_distinct(common), lambda found: F.map_from_arrays(found, times(found))), look_up)
 
 
 def text_counts(
-    docs: DataFrame,
-    keep: list[str],
-    text: str = "text",
-    lang: str = "lang",
-    groups: dict[str, tuple[str, ...]] = COMMON_WORDS,
+    docs: DataFrame, keep: list[str], groups: dict[str, tuple[str, ...]], text: str = "text", lang: str = "lang"
 ) -> DataFrame:
     """The base counts and both histograms of every whole text, in one pass without a shuffle.
 
@@ -162,71 +159,77 @@ def text_counts(
     )
 
 
-def references(
-    counts: DataFrame, groups: dict[str, tuple[str, ...]] = COMMON_WORDS
-) -> dict[str, tuple[list[float], list[float]]]:
-    """Shares of character classes and of common words in the texts of each language of ``groups``.
+#: A language's shares of character classes, and of its common words and all others.
+Reference = tuple[list[float], list[float]]
+
 
-    One partial aggregation to a row for each language. A language without
-    texts has no reference, nor has one beyond ``COMMON_WORDS`` with fewer than ``LEAST_TEXTS``.
+def references(counts: DataFrame, groups: dict[str, tuple[str, ...]]) -> dict[str, Reference]:
+    """Shares of character classes and of common words in the texts of each language that has any among ``counts``.
+
+    One partial aggregation to a row for each language. Every language's counts get a little of the mean of
+    all, ``SMOOTH_CHARS`` and ``SMOOTH_WORDS``, so that a single text is a reference too, if a vague one.
     """
-    n_classes = len(CLASSES) + 2
+    if not groups:
+        return {}
     places = F.create_map(*[F.lit(x) for at, name in enumerate(groups) for x in (name, at * N_COMMON + 1)])
     of_language = counts.where(F.col("lang").isin(*groups)).withColumn(
         "own", F.slice("common", F.element_at(places, F.col("lang")), N_COMMON)
     )
     sums = of_language.groupBy("lang").agg(
-        F.count("*").alias("texts"),
         F.sum("n_words").alias("n"),
-        F.array(*[F.sum(F.col("classes")[i].cast("bigint")) for i in range(n_classes)]).alias("classes"),
+        F.array(*[F.sum(F.col("classes")[i].cast("bigint")) for i in range(len(CLASSES) + 2)]).alias("classes"),
         F.array(*[F.sum(F.col("own")[i].cast("bigint")) for i in range(N_COMMON)]).alias("own"),
     )
-    found = {}
-    by_lang = {row["lang"]: row for row in sums.collect()}
-    for name in groups:
-        row = by_lang.get(name)
-        if row and (name in COMMON_WORDS or row["texts"] >= LEAST_TEXTS):
-            own = row["own"]
-            found[name] = (
-                [n / sum(row["classes"]) for n in row["classes"]],
-                [n / row["n"] for n in [*own, row["n"] - sum(own)]],
-            )
-    return found
-
-
-def _divergence(shares: Column, reference: list[float]) -> Column:
+    rows = sorted(sums.collect(), key=lambda row: row["lang"])
+    chars = [row["classes"] for row in rows]
+    common = [[*row["own"], row["n"] - sum(row["own"])] for row in rows]
+    return {row["lang"]: (c, w) for row, c, w in zip(rows, _smoothed(chars, SMOOTH_CHARS), _smoothed(common, SMOOTH_WORDS))}
+
+
+def _smoothed(counts: list[list[int]], amount: int) -> list[list[float]]:
+    """Shares in each list, with an amount of the mean of all lists added."""
+    sums = [sum(column) for column in zip(*counts)]
+    mean = [n / max(1, sum(sums)) for n in sums]
+    return [[(n + amount * m) / (sum(own) + amount) for n, m in zip(own, mean)] for own in counts]
+
+
+def _divergence(shares: Column, reference: Column) -> Column:
     """Jensen-Shannon divergence in base 2 of two histograms of shares."""
 
     def term(p: Column, q: Column) -> Column:
         part = lambda x: F.when(x > 0, x * F.log2(2 * x / (p + q))).otherwise(0.0)
         return part(p) + part(q)
 
-    terms = F.zip_with(shares, F.array(*map(F.lit, reference)), term)
+    terms = F.zip_with(shares, reference, term)
     total = F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
     return F.greatest(total / 2, F.lit(0.0))
 
 
-def _measured(
-    counts: DataFrame, found: dict[str, tuple[list[float], list[float]]], groups: dict[str, tuple[str, ...]] = COMMON_WORDS
-) -> DataFrame:
-    """Adds the distance from the nearest reference; null for short texts and where the text's language has no reference."""
+def _measured(counts: DataFrame, found: dict[str, Reference], groups: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Adds the distance from the nearest reference; null for short texts and where the text's language has no reference.
+
+    The references are one literal array, so the expression is as long for a hundred languages as for one.
+    """
+    if not found:
+        return counts.withColumn("distance", F.lit(None).cast("double"))
+    places = {name: at * N_COMMON + 1 for at, name in enumerate(groups)}
+    rows = [{"at": places[name], "classes": classes, "words": shares} for name, (classes, shares) in found.items()]
+    every = F.from_json(F.lit(json.dumps(rows)), "array<struct<at: int, classes: array<double>, words: array<double>>>")
     n_chars = F.aggregate("classes", F.lit(0), lambda total, x: total + x)
     class_shares = F.transform("classes", lambda n: n / n_chars)
 
-    def word_shares(name: str) -> Column:
-        own = F.slice("common", list(groups).index(name) * N_COMMON + 1, N_COMMON)
+    def word_shares(at: Column) -> Column:
+        own = F.slice("common", at, N_COMMON)
         rest = F.col("n_words") - F.aggregate(own, F.lit(0), lambda total, x: total + x)
         return F.transform(F.concat(own, F.array(rest.cast("int"))), lambda n: n / F.col("n_words"))
 
-    if not found:
-        return counts.withColumn("distance", F.lit(None).cast("double"))
-    distances = [
-        F.sqrt((_divergence(class_shares, classes) + _divergence(word_shares(name), common)) / 2)
-        for name, (classes, common) in found.items()
-    ]
+    def distances(shares: Column) -> Column:
+        mean = lambda r: (_divergence(shares, r["classes"]) + _divergence(word_shares(r["at"]), r["words"])) / 2
+        return F.transform(every, lambda r: F.sqrt(mean(r)))
+
     has_reference = F.col("lang").isNull() | F.col("lang").isin(*found)
     judged_here = (F.col("n_words") >= JUDGED_WORDS) & has_reference
-    return counts.withColumn("distance", F.when(judged_here, F.array_min(F.array(*distances))))
+    return counts.withColumn("distance", F.when(judged_here, F.array_min(bound(class_shares, distances))))
 
 
 def _far() -> Column:
@@ -242,18 +245,20 @@ def judged(docs: DataFrame, keep: list[str] | None = None, text: str = "text", l
     is the root of the mean divergence of the two histograms; a text is far if it
     is further than ``MOST_DISTANCE`` from each reference, so another language's
     label does not reject it, and a text without a label is held against all. Every
-    language of the corpus has a reference (see ``common_words`` and ``references``
-    for those of few texts). Texts under ``JUDGED_WORDS`` words, and all texts whose
-    language has no reference, are not judged so, and their distance is null.
+    language with a text that passes the base has a reference, by one rule: its common words are those found in
+    most of its texts (``common_words``), its shares are smoothed towards the mean of all (``references``).
+    Texts under ``JUDGED_WORDS`` words, and those of a language without a text that passes,
+    are not judged so, and their distance is null.
 
-    Returns ``row`` (a struct of the ``keep`` columns, all by default), the
+    Returns ``row`` (a struct of the ``keep`` columns, all by default, whatever their names are), the
     counts, ``base_failed``, ``distance`` and ``kept``. A
     null or blank text has no words and fails the base. Rows are judged one by
-    one, so ids may be null or repeated; an empty table gives no rows.
+    one, so ids may be null or repeated; an empty table gives no rows. Whole texts are read, and time
+    grows with their length, but for the sorting of windows in a text that repeats itself.
     """
     keep = docs.columns if keep is None else keep
     groups = common_words(docs, text, lang)
-    counts = stored(text_counts(docs, keep, text, lang, groups))
+    counts = stored(text_counts(docs, keep, groups, text, lang))
     usable = counts.where(~F.col("base_failed"))
     rough = _measured(usable, references(usable, groups), groups)
     rows = _measured(counts, references(rough.where(~_far()), groups), groups)
@@ -280,10 +285,15 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _distances(name: str, use: str) -> str:
     """SQL of the distances from the references of the documents that ``use`` selects."""
     return f"""
-{name}_references AS (
-  SELECT kind, ref, bin, sum(n) / sum(sum(n)) OVER (PARTITION BY kind, ref) AS q
+{name}_sums AS (
+  SELECT kind, ref, bin, sum(n) AS n, CASE kind WHEN 'c' THEN {SMOOTH_CHARS} ELSE {SMOOTH_WORDS} END AS amount
   FROM histograms JOIN base USING (nr) WHERE lang = ref AND nr IN ({use}) GROUP BY kind, ref, bin
 ),
+{name}_mean AS (SELECT kind, bin, sum(n) / sum(sum(n)) OVER (PARTITION BY kind) AS m FROM {name}_sums GROUP BY kind, bin),
+{name}_references AS (
+  SELECT kind, ref, bin, (n + amount * m) / (sum(n) OVER (PARTITION BY kind, ref) + amount) AS q
+  FROM {name}_sums JOIN {name}_mean USING (kind, bin)
+),
 {name} AS (
   SELECT nr, min(d) AS distance FROM (
     SELECT nr, ref, sqrt(sum(j) / 2) AS d FROM (
@@ -291,11 +301,10 @@ def _distances(name: str, use: str) -> str:
         + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2) AS j
       FROM shares JOIN {name}_references USING (kind, ref, bin) GROUP BY nr, ref, kind
     ) GROUP BY nr, ref
-  ) GROUP BY nr
+  ) JOIN base USING (nr) WHERE lang IS NULL OR lang IN (SELECT ref FROM {name}_references) GROUP BY nr
 )"""
 
 
-_COMMON = ", ".join(f"('{lang}', {i}, '{w}')" for lang, group in COMMON_WORDS.items() for i, w in enumerate(group))
 #: DuckDB's \\s lacks the vertical tab.
 _PATTERNS = [p.replace(r"\s", r"[\x20\x09-\x0D]").replace("'", "''") for p in CLASSES.values()]
 _CLASSES = ", ".join(f"length(text) - length(regexp_replace(text, '{p}', '', 'g'))" for p in _PATTERNS)
@@ -321,7 +330,14 @@ base AS (
     len(words) < {LEAST_WORDS} OR 100 * coalesce(covered.n, 0) > {MOST_REPEATED_PERCENT} * len(words) AS base_failed
   FROM split LEFT JOIN covered USING (nr)
 ),
-common(ref, bin, word) AS (VALUES {_COMMON}),
+texts_with AS (
+  SELECT lang AS ref, word, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) - 1 AS bin
+  FROM (SELECT lang, unnest(list_distinct(words)) AS word FROM split WHERE lang IS NOT NULL) GROUP BY lang, word
+),
+common AS (
+  SELECT ref, bin, word FROM (SELECT DISTINCT lang AS ref FROM split WHERE lang IS NOT NULL) CROSS JOIN range({N_COMMON}) r(bin)
+  LEFT JOIN texts_with USING (ref, bin)
+),
 classes AS (
   SELECT nr, length(text) AS n_chars, [{_CLASSES}, length(regexp_replace(text, '[\x00-\x7F]', '', 'g'))] AS c FROM docs
 ),
