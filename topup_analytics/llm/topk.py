@@ -16,6 +16,8 @@ SCALE = 256
 LIMIT = 1 << 63
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 256
+#: A row of the search has one block of the index and up to so many blocks of queries.
+MOST_TOGETHER = 16
 K = 5
 
 _INDEX = "block bigint, ids binary, low binary, sizes binary, slices binary"
@@ -189,7 +191,8 @@ def top_k(
     about ``BLOCK_ROWS``; queries, in blocks of ``BLOCK_QUERIES``, are sent to every
     block of the index, where bitmap arithmetic adds up the scores of all rows, the
     best are picked from the most significant slice downward, and rows that tie at
-    the boundary go in the order of their ids. The blocks' winners, ``k`` for each,
+    the boundary go in the order of their ids. Up to ``MOST_TOGETHER`` blocks of queries travel with a
+    block of the index, fewer if there would be too few tasks. The blocks' winners, ``k`` for each,
     are then ranked.
 
     ``is_query`` is an expression over ``vec_id``. Returns ``query_id, rank, vec_id,
@@ -197,7 +200,7 @@ def top_k(
     whose vector is null or holds null or non-finite components, take no part.
     Shorter vectors count as ending in zeros. Equal rows are one row; different
     rows of one id are rows of their own, as queries too, but never find their id.
-    An empty table gives no rows.
+    An empty table gives no rows. Columns other than the two are not read, whatever their names.
     """
     ship_code(vectors.sparkSession)
     rows = stored(
@@ -224,24 +227,33 @@ def top_k(
     blocks = grouped.groupBy("query_block").applyInPandas(
         gather, "query_block bigint, query_ids binary, queries binary"
     )
-    everywhere = blocks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))))
+    # So many rows of the search for each block of the index, that tasks are many and none is large.
+    enough = -(-4 * vectors.sparkSession.sparkContext.defaultParallelism // n_blocks)
+    n_together = min(n_groups, max(-(-n_groups // MOST_TOGETHER), enough))
+    together = blocks.withColumn("together", F.col("query_block") % n_together)
+    together = together.groupBy("together").agg(F.collect_list(F.struct(*blocks.columns)).alias("queries"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    # Adaptive execution would put rows that are small, and take long, into few tasks; a given number of partitions stays.
+    n_tasks = min(n_blocks * n_together * 4, 100_000)
+    key = ["block", "together"]
+    everywhere = together.withColumn("block", every(n_blocks)).repartition(n_tasks, *key)
+    there = index.withColumn("together", every(n_together)).repartition(n_tasks, *key)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, block = None, None
         for batch in batches:
             for row in batch.itertuples():
-                if row.block != number:
-                    words = [np.frombuffer(x, dtype=np.int64) for x in (row.ids, row.low, row.sizes)]
-                    number, block = row.block, Block(*words, np.frombuffer(row.slices, dtype=np.uint64))
-                ids = np.frombuffer(row.query_ids, dtype=np.int64)
-                queries = np.frombuffer(row.queries, dtype=np.int64).reshape(len(ids), -1)
-                out = []
-                for i, (own, query) in enumerate(zip(ids, queries)):
-                    for found, score in zip(*block.best(query, int(own), k)):
-                        out.append((row.query_block, i, int(own), int(found), score))
-                yield pd.DataFrame(out, columns=["query_block", "i", "query_id", "vec_id", "score"])
-
-    found = index.join(everywhere, "block").mapInPandas(
+                words = [np.frombuffer(x, dtype=np.int64) for x in (row.ids, row.low, row.sizes)]
+                block = Block(*words, np.frombuffer(row.slices, dtype=np.uint64))
+                for group in row.queries:
+                    ids = np.frombuffer(group["query_ids"], dtype=np.int64)
+                    queries = np.frombuffer(group["queries"], dtype=np.int64).reshape(len(ids), -1)
+                    out = []
+                    for i, (own, query) in enumerate(zip(ids, queries)):
+                        for found, score in zip(*block.best(query, int(own), k)):
+                            out.append((group["query_block"], i, int(own), int(found), score))
+                    yield pd.DataFrame(out, columns=["query_block", "i", "query_id", "vec_id", "score"])
+
+    found = there.join(everywhere.hint("shuffle_hash"), key).mapInPandas(
         search, "query_block bigint, i int, query_id bigint, vec_id bigint, score bigint"
     )
     best = Window.partitionBy("query_block", "i").orderBy(F.desc("score"), "vec_id")
