@@ -25,8 +25,6 @@ MOST_REPEATS = 3
 SHARDS = 8
 #: The smallest target is worth this many blocks in each shard, so rounding to blocks stays below 1 %.
 BLOCKS_OF_SMALLEST = 256
-#: Fewer words than this do not make a shard of their own.
-LEAST_SHARD = 10_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
@@ -67,17 +65,20 @@ def block_quotas(targets: DataFrame, shards: int = SHARDS, most: int = MOST_REPE
     divisor ``total / (seats - n / 2)`` at most ``seats`` and at least
     ``seats - n`` are won by ``n`` sources. One seat less is taken as sure, so
     rounding cannot decide a tie.
+
+    A block has ``1 / (BLOCKS_OF_SMALLEST * shards)`` of the smallest target, and one word at least; so small
+    sources come within a word a shard of their targets, at any size of the corpus. The windows order one row for each source.
     """
     every = Window.partitionBy()
     total = F.sum("source_size").over(every)
     least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(every)
-    in_use = F.greatest(F.lit(1), F.least(F.lit(shards), F.floor(total / LEAST_SHARD)))
     fine = F.floor(least / (BLOCKS_OF_SMALLEST * F.col("shards")))
     rows = (
-        targets.withColumn("shards", in_use.cast("bigint"))
+        targets.withColumn("shards", F.lit(shards).cast("bigint"))
         .withColumn("total", total)
         .withColumn("n", F.count("*").over(every))
-        # The second bound keeps block numbers far inside a bigint at any corpus size.
+        # The second bound keeps block numbers below 2 ** 31: a source under a millionth of a very large
+        # corpus then gets its target to within a block of that size.
         .withColumn("block", F.greatest(F.lit(1), F.ceil(F.col("total") / 2**31), F.coalesce(fine, F.lit(1))))
         .withColumn("seats", F.round(F.col("total") / (F.col("block") * F.col("shards"))).cast("bigint"))
     )
@@ -248,7 +249,7 @@ targets AS (
 ),
 blocks AS (
   SELECT *, sum(source_size) OVER () AS total,
-    greatest(1, least({SHARDS}, floor(sum(source_size) OVER () / {LEAST_SHARD})))::BIGINT AS shards,
+    {SHARDS}::BIGINT AS shards,
     min(CASE WHEN target > 0 THEN target END) OVER () AS smallest
   FROM targets
 ),
