@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from tests.llm.conftest import odd_rows
 from topup_analytics.llm import lm, topk
 from topup_analytics.llm.common import read_table
 from topup_analytics.llm.language import held_out
+from topup_analytics.llm.shingles import mix
+
 
 def is_held():
     return held_out("doc_id", 10, 0)
@@ -56,27 +59,93 @@ def test_no_training_documents(spark, odd, none):
 def test_model_beats_the_base_on_held_out_texts(spark):
     rows = lm.scores(read_table(spark, "/root/testdata/sf0.1", "documents"), is_held()).where("held_out").collect()
     n = sum(r["n_tokens"] for r in rows)
-    assert (sum(r["score"] for r in rows) - sum(r["base_score"] for r in rows)) / n > 0.15
-
-
-def test_probabilities_sum_to_one():
-    rng = np.random.default_rng(0)
-    entries = np.arange(40, dtype=np.int64) * 7919
-    endings = rng.integers(0, 65536, 40).astype(np.int32)
-    counts = rng.integers(1, 30, 40)
-    top = np.argsort(-counts)[: 1 + lm.FREQUENT]
-    words = lm.Vocabulary(int(counts.sum()), 40, entries[top], np.zeros(lm.CLASSES), np.zeros(lm.CLASSES))
-    classes = words.classes(entries, endings)
-    np.add.at(words.class_tokens, classes, counts)
-    np.add.at(words.class_types, classes, 1)
-    weights = rng.normal(size=(lm.CLASSES, lm.FEATURES)).astype(np.float32)
-    features = [rng.integers(0, lm.FEATURES, 6).astype(np.int32) for _ in range(4)]
-    logits = lm.class_logits(features, weights, words.bias())
-    of_class = np.exp(logits) / np.exp(logits).sum(axis=0)
-    known = of_class[classes] * 10 ** words.within(counts, classes)[:, None]
-    unknown = of_class * 10 ** words.within(np.zeros(lm.CLASSES), np.arange(lm.CLASSES))[:, None]
-    assert known.sum(axis=0) + unknown.sum(axis=0) == pytest.approx(np.ones(6), abs=1e-5)
-    assert 10 ** words.base(counts).sum() < 1
+    assert (sum(r["score"] for r in rows) - sum(r["base_score"] for r in rows)) / n > 0.25
+
+
+def hashed(word):
+    return int(xxhash.xxh3_64_intdigest(word))
+
+
+def mixed(x):
+    return int(mix(np.array([x], dtype=np.uint64))[0])
+
+
+def plain_seeds(words, at):
+    """What precedes a word, by plain numbers."""
+    found = [mixed(hashed(words[at - 1])) if at else 0]
+    for k in (1, 2, 3):
+        found.append((int.from_bytes(words[at - k][-2:], "little") + 1 if at >= k else 0) + (k << 20))
+    return found
+
+
+def plain_log_softmax(weights, rows, bias, k):
+    logits = [sum(float(w[r]) for r in rows) + float(b) for w, b in zip(weights, bias)]
+    top = max(logits)
+    return logits[k] - top - math.log(sum(math.exp(x - top) for x in logits))
+
+
+def plain_log_cell(model, seeds, cell):
+    """Natural logarithm of a cell's probability, summed up weight by weight."""
+    mask = (1 << model.bits) - 1
+    spelled = cell - 1 - lm.FREQUENT
+    of = cell if spelled < 0 else 1 + lm.FREQUENT + spelled // lm.SLOTS
+    total = plain_log_softmax(model.classes, [mixed(s) & mask for s in seeds], model.biases[0][:, 0], of)
+    if spelled >= 0:
+        rows = [mixed(s ^ mixed(of + (1 << 40))) & mask for s in seeds]
+        total += plain_log_softmax(model.slots, rows, model.biases[1][:, of - 1 - lm.FREQUENT], spelled % lm.SLOTS)
+    return total
+
+
+def small_corpus():
+    rng = random.Random(6)
+    stock = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 5))) for _ in range(60)]
+    texts = [" ".join(rng.choice(stock[: 3 + i]) for _ in range(rng.randint(0, 40))) for i in range(50)]
+    return [(i, t if i % 9 else t + " never seen Before") for i, t in enumerate(texts)] + [(None, None), (50, ""), (51, "A a\tA")]
+
+
+def test_scores_by_plain_loops(spark, monkeypatch):
+    """Every score again, from the counts and the trained weights, token by token; and probabilities that sum to 1."""
+    kept, train = {}, lm.train
+
+    def trained(chunks, words):
+        kept["model"] = lm.Model(words, train(chunks, words))
+        return kept["model"].flat
+
+    monkeypatch.setattr(lm, "train", trained)
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 300)
+    rows = small_corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, lm.scores(docs, is_held()).collect()), key=lambda r: (r[0] is None, r[0]))
+    model = kept["model"]
+    words, counts = model.words, Counter()
+    for doc, held, *_ in got:
+        if not held:
+            counts.update(lm.tokenise(dict(rows)[doc] or "") + [b""])
+    spelling = lambda w: np.array([int.from_bytes(w[-2:], "little") | int.from_bytes(w[:2], "little") << 16], np.uint32).view(np.int32)
+    cell = {w: int(words.cells(np.array([hashed(w)], np.uint64).view(np.int64), spelling(w))[0]) for w in [*counts, b"never", b"seen", b"before"]}
+    of_cell = Counter()
+    for w, c in counts.items():
+        of_cell[cell[w]] += c
+    assert [of_cell[k] for k in range(lm.CELLS)] == words.cell_tokens.tolist()
+    assert Counter(cell[w] for w in counts) == {k: n for k, n in enumerate(words.cell_types.tolist()) if n}
+    frequent = sorted((w for w in counts if w), key=lambda w: -counts[w])
+    assert cell[b""] == 0 and {cell[w] for w in frequent[:3]} <= set(range(1, 1 + lm.FREQUENT))
+
+    def log_share(word, k):
+        return math.log10((counts[word] + 0.1) / (words.cell_tokens[k] + 0.1 * (words.cell_types[k] + 1)))
+
+    assert np.abs(model.flat).max() > 0
+    for doc, _, n, _, _, _, score in got:
+        tokens = lm.tokenise(dict(rows)[doc] or "") + [b""]
+        want = sum(plain_log_cell(model, plain_seeds(tokens, i), cell[w]) / math.log(10) + log_share(w, cell[w]) for i, w in enumerate(tokens))
+        assert n == len(tokens) and score == pytest.approx(want, abs=1e-3, rel=1e-5)
+    for before in ([], [b"a"], [b"never", b"seen"], frequent[:5]):
+        seeds = plain_seeds([*before, b"x"], len(before))
+        of = [math.exp(plain_log_cell(model, seeds, k)) for k in range(lm.CELLS)]
+        assert sum(of) == pytest.approx(1, abs=1e-5)
+        known = sum(of[cell[w]] * 10 ** log_share(w, cell[w]) for w in counts)
+        unknown = sum(of[k] * 10 ** log_share(b"?", k) for k in range(lm.CELLS))
+        assert known + unknown == pytest.approx(1, abs=1e-5)
 
 
 def test_gradient_steps_raise_the_likelihood():
@@ -87,18 +156,21 @@ def test_gradient_steps_raise_the_likelihood():
     chunk = lm.Chunk(lm._pack(tokens), lengths, entries, np.arange(5, dtype=np.int32))
     assert (chunk.tokens == tokens).all()
     assert (chunk.place == np.concatenate([np.arange(300), np.arange(200)])).all()
-    classes, at = np.arange(5), np.arange(500)
-    weights, squares = np.zeros((lm.CLASSES, lm.FEATURES), np.float32), np.full((lm.CLASSES, lm.FEATURES), 0.1, np.float32)
-    bias = np.zeros(lm.CLASSES, np.float32)
+    sums = np.zeros(lm.CELLS)
+    words = lm.Vocabulary(500, 5, entries[:1], np.array([0]), sums, sums)
+    cells, at = words.cells(entries, np.arange(5, dtype=np.int32)), np.arange(500)
+    assert cells[0] == 0 and (cells[1:] > lm.FREQUENT).all()
+    model = lm.Model(words)
+    squares = lm.Model(words, np.full(model.flat.shape, 0.1, np.float32))
+    first = model.log_cells(chunk, cells, at).mean()
+    for _ in range(30):
+        model.descend(chunk, cells, at, squares)
+    assert first < 0 and model.log_cells(chunk, cells, at).mean() > 0.1 * first
 
-    def loss():
-        logits = lm.class_logits(chunk.features(at), weights, bias)
-        return float((np.log(np.exp(logits).sum(axis=0)) - logits[classes[tokens], at]).mean())
 
-    first = loss()
-    for _ in range(30):
-        lm.descend(chunk, classes, at, weights, squares, bias)
-    assert loss() < 0.1 * first
+def test_rows_grow_with_the_vocabulary():
+    rows = [lm.Vocabulary(0, n, *[np.zeros(1)] * 4).bits for n in (0, 10**3, 10**6, 10**7, 10**12)]
+    assert rows == [lm.LEAST_BITS, lm.LEAST_BITS, 16, lm.MOST_BITS, lm.MOST_BITS]
 
 
 def test_planes():
