@@ -1,6 +1,7 @@
 """License scans, quality rules, languages and BPE against plain versions."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -234,6 +235,72 @@ def test_shares_raise_the_likelihood():
     assert np.allclose(shares.sum(axis=1), 1) and np.abs(shares - [0.7, 0, 0.3]).max() < 0.06
 
 
+def plain_trigrams(text):
+    """Buckets of the trigrams inside words, with a space at the ends of words."""
+    letters = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in f" {text.lower()} "))
+    found = Counter()
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        if b != " ":
+            x = (ord(a) * 0x9E3779B1 ^ ord(b) * 0x85EBCA6B ^ ord(c) * 0xC2B2AE35) & 0xFFFFFFFF
+            found[((x ^ x >> 15) * 0x2C1B3C6D & 0xFFFFFFFF) >> 20] += 1
+    return found
+
+
+def plain_learned(rows):
+    """Each language's probabilities of the buckets, from its different texts."""
+    counts = {}
+    for text, lang in {(t, l) for t, l in rows if t and l is not None}:
+        counts.setdefault(lang, Counter()).update(plain_trigrams(text))
+    return {
+        lang: [(own[k] + language.SMOOTHING) / (sum(own.values()) + language.SMOOTHING * language.BUCKETS) for k in range(language.BUCKETS)]
+        for lang, own in counts.items()
+    }
+
+
+def plain_languages(text, model):
+    """The set of languages by penalised likelihood, and their shares, with a fixed, large number of steps."""
+    found = plain_trigrams(text or "")
+    if not found:
+        return {}
+    buckets, n = list(found), np.array(list(found.values()), dtype=float)
+    parts = {lang: np.array([p[k] for k in buckets]) for lang, p in model.items()}
+
+    def fitted(langs):
+        shares = np.full(len(langs), 1 / len(langs))
+        table = np.stack([parts[x] for x in langs])
+        for _ in range(500):
+            shares = shares * (table @ (n / (shares @ table))) / n.sum()
+        return float(n @ np.log(shares @ table)), dict(zip(langs, shares))
+
+    best = max((fitted([x]) for x in sorted(model)), key=lambda f: f[0])
+    while len(best[1]) < len(model):
+        wider = max((fitted([*best[1], x]) for x in sorted(model) if x not in best[1]), key=lambda f: f[0])
+        if wider[0] <= best[0] + language.PENALTY * math.log(n.sum()):
+            break
+        best = wider
+    return best[1]
+
+
+def test_languages_row_by_row(spark, small, odd):
+    table = read_table(spark, small, "documents").select("doc_id", "text", "lang").collect()
+    texts = {}
+    for r in table:
+        texts.setdefault(r["lang"], []).append(r["text"])
+    docs = spark.createDataFrame(table + table[:20], "doc_id long, text string, lang string").repartition(3)
+    names, model = language.learn(docs)
+    plain = plain_learned([(r["text"], r["lang"]) for r in table])
+    assert names == sorted(plain) and np.allclose(model, np.array([plain[x] for x in names]).T)
+    rows = [r["text"] for r in table[:70]] + [a[:600] + " " + b[:900] for a, b in zip(texts["en"], texts["es"])][:15]
+    rows += [t for t in (r[1] for r in odd_rows()) if len(t or "") < 2000]
+    got = language.with_languages(spark.createDataFrame([(t,) for t in rows], "text string"), names, model).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = plain_languages(r["row"]["text"], plain)
+        assert set(r["languages"]) == set(want), r["row"]["text"][:80]
+        assert r["lang_pred"] == (max(want, key=want.get) if want else "und")
+        assert dict(zip(r["languages"], r["shares"])) == pytest.approx(want, abs=0.03)
+
+
 def test_every_labelled_language_is_learned(spark):
     rng = random.Random(6)
     letters = [chr(c) for c in range(0x4E00, 0x4E00 + 2600)]

@@ -60,7 +60,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list
     Learned from about ``FIT_TEXTS`` different texts of each language, chosen by a
     hash of the text; copies count as one. Texts are compared by 64-bit hashes, and
     only chosen ones are shuffled. Every labelled language is learned; its counts are as many as there
-    are buckets. Rows with a null text or language are left out.
+    are buckets, and a row for each label comes to the driver. Rows with a null text or language are left out; other
+    columns, whatever their names are, are not read.
     """
     ship_code(docs.sparkSession)
     labelled = docs.select(filled(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text <> ''")
@@ -69,7 +70,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list
     if not sizes:
         return [], np.zeros((BUCKETS, 0))
     share = F.create_map(*[x for row in sizes for x in (F.lit(row["lang"]), F.lit(FIT_TEXTS / row["count"]))])
-    chosen = F.pmod("hash", F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20)
+    chosen = F.pmod("hash", F.lit(1 << 40)) < F.try_element_at(share, F.col("lang")) * float(1 << 40)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -169,7 +170,8 @@ def with_languages(
     ``lang_pred`` is its first member and ``score`` that member's share. A text that
     is null or has no letters is undetermined, with score 0 and no languages; so is
     every text where the model knows no language. Each row is predicted from its
-    text alone, so ids may be null or repeated; an empty table gives no rows.
+    text alone, so ids may be null or repeated; an empty table gives no rows. Whole texts are read, however long, and
+    the columns in ``row`` may have any names.
     """
     ship_code(docs.sparkSession)
     small, names = model.astype(np.float32), list(names)
