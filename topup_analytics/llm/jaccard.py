@@ -400,7 +400,9 @@ def near_duplicates(
     Z), or its whole sequence of words if that is shorter. Two documents are linked
     if 100 * intersection >= ``percent`` * union, so equal sets are; a null text or
     one without words has an empty set and no links. Sets are compared by 64-bit
-    hashes of their shingles.
+    hashes of their shingles: of n different sets, about n * n / 2 ** 65 pairs are taken for equal. Texts are read whole;
+    one of millions of words costs memory in proportion, in the tasks that hash it. Columns other than the two are not read,
+    whatever their names.
 
     Returns ``doc_id, text_id`` (a hash of the text), ``n_shingles`` and
     ``component_id``, the smallest id in the component: one row for each row of
@@ -436,7 +438,7 @@ def one_of_each(docs: DataFrame, width: int, percent: int, id: str = "doc_id", t
     """One row of ``docs`` for each component of :func:`near_duplicates`: the one with the smallest id.
 
     Equal rows of that id count as one. Of different texts with that id, the one
-    with the smallest hash stays. Rows without words are not linked and all stay.
+    with the smallest hash stays. Rows without words are not linked and all stay. The columns may have any names.
     """
     keys = ["no_id", "id", "text_id"]
     found = _placed(docs, width, percent, id, text).where("root is not null")
