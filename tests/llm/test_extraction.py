@@ -82,6 +82,34 @@ def test_a_page_with_everything(model):
     assert extraction.main_text(neutral, model) == ARTICLE
 
 
+LONG = "The committee met on Tuesday, and it agreed that the plan should go ahead without delay."
+TEXT = f"Title here\n{LONG}\nShort one.\n{LONG}"
+BODY = f"<h1>Title here</h1><p>{LONG}</p><p>Short one.</p><p>{LONG}</p>"
+MENU = "<a href=/>Home</a> <a href=/b>About</a> <a href=/n>News</a>"
+LAYOUTS = {
+    "nothing around": (f"<html><body>{BODY}</body></html>", TEXT),
+    "no wrapper": (f"<body><nav>{MENU}</nav>{BODY}<footer>&copy; Site</footer></body>", TEXT),
+    "no tags": ("Just some text, without any tag at all. It has two sentences.", "Just some text, without any tag at all. It has two sentences."),
+    "no names": (f"<div><div>{MENU}</div><div>{BODY}</div><div>Copyright Site 2020. All rights reserved.</div></div>", TEXT),
+    "own header and footer": (f"<article><header><h1>Title here</h1></header><p>{LONG}</p><footer>Filed under: news</footer></article>", f"Title here\n{LONG}"),
+    "a list": ("<article><h1>Ten</h1><ol>" + "<li>It is good.</li>" * 10 + "</ol></article>", "Ten" + "\nIt is good." * 10),
+    "links": (f"<article><h1>Links</h1><p>See <a href=a>this</a>, <a href=b>that</a>.</p><p><a href=d>All a link</a></p><p>{LONG}</p></article>", f"Links\nSee this, that.\nAll a link\n{LONG}"),
+    "comments": (f"<main>{BODY}<div class='comments'><h2>2 comments</h2><ul><li><b>Ann</b><p>I do not agree with this, since it is wrong.</p></li><li><b>Bob</b><p>Nice!</p></li></ul></div></main>", TEXT),
+    "a blog": (
+        f"<body class='single'><div id='masthead' class='site-header'><h1 class='site-title'>My Blog</h1></div><div id='primary'><div class='entry-content'>{BODY}</div>"
+        "<div id='respond'><h3>Leave a Reply</h3><form><p>Your address will not be published.</p></form></div></div><div id='secondary' class='widget-area'><h3>Archives</h3>"
+        "<ul><li><a href=1>May</a></li><li><a href=2>June</a></li></ul></div><div id='colophon'>Proudly powered by a press</div></body>",
+        TEXT,
+    ),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_usual_layouts(model, name):
+    page, text = LAYOUTS[name]
+    assert extraction.main_text(page, model) == text
+
+
 def test_odd_pages(spark, model):
     long = "<body><article><h1>Long</h1>" + "<p>one two, three &amp; four.</p>" * 50_000 + "</article></body>"
     deep = "<body>" + "<div>" * 50_000 + "<p>" + "word " * 30 + "</p>"

@@ -18,8 +18,8 @@ from topup_analytics.llm.practice import MARK, Layout
 
 #: The trees are fitted on about so many pages' texts, each set in so many practice layouts.
 FIT_PAGES = 400
-LAYOUTS = 8
-TREES, DEPTH, SEED = 30, 5, 7
+LAYOUTS = 10
+TREES, DEPTH, SEED = 40, 6, 7
 #: The practice rows are read in so many parts.
 FIT_PARTS = 12
 

@@ -69,6 +69,8 @@ class Layout:
 
     def header(self) -> str:
         inner = f"<div{self.name('header')}>{self.some(1, 4)}</div>" if self.rng.random() < 0.5 else f"<a href='/'>{self.some(1, 3)}</a>"
+        if self.rng.random() < 0.25:
+            inner = f"<h1{self.plain()}>{self.some(1, 4)}</h1>" + inner * self.rng.randint(0, 1)
         inner += f"<p>{self.some(2, 12)}</p>" if self.rng.random() < 0.4 else ""
         inner += self.menu() if self.rng.random() < 0.6 else ""
         return self.pick(lambda: f"<header{self.plain()}>{inner}</header>", lambda: f"<div{self.name('header')}>{inner}</div>")
@@ -144,11 +146,16 @@ class Layout:
 
     def part(self) -> str:
         """A block, or a few, of main text."""
-        return self.rng.choice([self.paragraph] * 14 + [self.list, self.list, self.quote, self.figure, self.table, self.bare, self.heading, self.heading])()
+        return self.rng.choice([self.paragraph] * 14 + [self.linked, self.list, self.list, self.quote, self.figure, self.table, self.bare, self.heading, self.heading])()
 
     def paragraph(self) -> str:
         return self.pick(*[lambda: f"<p>{self.inline()}</p>"] * 6, lambda: f"<p><b>{self.inline()}<br>", lambda: f"<p{self.plain()}>{self.inline()}</p>", lambda: f"<p>{self.inline()}", lambda: f"<div{self.plain()}>{self.inline()}</div>")
 
+    def linked(self) -> str:
+        """A block of main text that is mostly, or all, links."""
+        links = [f'<a href="/{self.some(1, 1)}">{self.some(1, 9)}</a>' for _ in range(self.rng.randint(1, 4))]
+        return self.pick(lambda: f"<p>{MARK}{', '.join(links)}</p>", lambda: f"<p>{MARK}{self.some(1, 8)} {', '.join(links)}.</p>", lambda: f"<p>{links[0].replace('>', '>' + MARK, 1)}</p>")
+
     def heading(self) -> str:
         return f"<h{(n := self.rng.randint(2, 4))}>{MARK}{self.some(1, 8)}</h{n}>" + self.paragraph()
 
@@ -177,8 +184,8 @@ class Layout:
         for foreign, chance in ((self.advert, 0.25), (self.share, 0.2), (self.related, 0.2), (self.form, 0.1), (self.notice, 0.1), (self.comments, 0.1), (self.side, 0.1)):
             if self.rng.random() < chance:
                 parts.insert(self.rng.randint(0, len(parts)), foreign())
-        if self.rng.random() < 0.1:
-            parts.append(f"<footer>{self.some(2, 12)}</footer>")
+        if self.rng.random() < 0.3:
+            parts.append(self.pick(lambda: f"<footer>{self.some(2, 12)}</footer>", lambda: f"<footer{self.plain()}><p>{self.some(2, 20)}</p></footer>"))
         inner = head + "".join(parts)
         if self.rng.random() < 0.3:
             inner = f"<div{self.rng.choice([self.plain(), self.name('content')])}>{inner}</div>"
@@ -191,17 +198,24 @@ class Layout:
             lambda: f"<section{self.name('content')}>{inner}</section>",
             *[lambda: f"<div{self.plain()}>{inner}</div>"] * 2,
             lambda: f"<section>{inner}</section>",
+            *[lambda: inner] * 2,
         )
 
     def html(self) -> str:
         chance = lambda p, part: part() if self.rng.random() < p else ""
         rng = self.rng
+        if rng.random() < 0.06:
+            alone = self.pick(self.article, self.article, self.paragraph, lambda: MARK + self.some(1, 200), lambda: f"{MARK}{self.some(1, 60)}<br>{self.some(1, 60)}")
+            return self.pick(lambda: f"<html><head><title>{self.some(1, 9)}</title></head><body>{alone}</body></html>", lambda: alone)
         before = [chance(0.25, self.notice), chance(0.45, self.header), chance(0.75, self.menu), chance(0.15, self.form), chance(0.5, self.advert)]
         if rng.random() < 0.3:
             rng.shuffle(before)
         middle = [self.article()] + ([self.side()] if rng.random() < 0.45 else [])
         if rng.random() < 0.3:
             middle.reverse()
+        if rng.random() < 0.06:
+            cells = [self.pick(self.menu, self.side, lambda: "<br>".join(self.links()), lambda: " ".join(self.links())), *middle[:1]]
+            middle = [f"<table{self.plain()}><tr>{''.join(f'<td{self.plain()}>{c}</td>' for c in cells)}</tr></table>"]
         middle += [chance(0.4, self.comments), chance(0.25, self.related), chance(0.15, self.share)]
         inside = "".join(middle)
         if rng.random() < 0.4:
