@@ -214,20 +214,20 @@ def oracle_sql() -> dict[str, str]:
         "late_orders_merge": _DAILY,
         "stream_replay_idempotent": _DAILY,
         "stream_byte_limited": _over_facts(f"SELECT {_DAILY_COLUMNS}, 1::BIGINT AS enough", "GROUP BY 1"),
-        "folded_daily_totals": _over_facts(f"SELECT {_DAILY_COLUMNS}, {_LEFT}", "GROUP BY 1"),
-        "folded_failure_table": _over_facts(
+        "stream_folded_daily_totals": _over_facts(f"SELECT {_DAILY_COLUMNS}, {_LEFT}", "GROUP BY 1"),
+        "stream_folded_failure_table": _over_facts(
             _FAILURES.format(key="order_date", failures="counts") + f", {_LEFT}", "GROUP BY ALL"
         ),
-        "folded_success_table": _over_facts(
+        "stream_folded_success_table": _over_facts(
             _SUCCESSES.format(key="order_date", ok='"isCharged"', paid='"chargeFee"') + f", {_LEFT}",
             "GROUP BY ALL",
         ),
-        "folded_minute_totals": _over_facts(f"SELECT m AS order_minute, count(*) AS orders, {_LEFT}", "GROUP BY 1"),
-        "sealed_backfills": _DAILY,
-        "append_only_failures": _over_facts(
+        "stream_folded_minute_totals": _over_facts(f"SELECT m AS order_minute, count(*) AS orders, {_LEFT}", "GROUP BY 1"),
+        "stream_sealed_backfills": _DAILY,
+        "stream_append_only_failures": _over_facts(
             _FAILURES.format(key="order_date", failures="counts"), "GROUP BY ALL"
         ),
-        "watermark_hour_counts": f"""{_log()},
+        "stream_watermark_hour_counts": f"""{_log()},
             orders AS (SELECT start_ms, start_ms // 3600000 AS hour FROM log WHERE event_type <> 'signup'),
             reached AS (SELECT max(start_ms) - 86400000 AS watermark FROM orders),
             kept AS (SELECT hour, count(*) AS orders FROM orders

@@ -433,24 +433,24 @@ def _batches_left(spark: SparkSession, path: str) -> Column:
     return F.lit(sum(map(len, list_batches(spark, path).values()))).cast("bigint")
 
 
-def query_folded_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_stream_folded_daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily totals, and how many batch folders a reader lists, of the four that ran."""
     tables = _folded(spark, sf_dir)
     return _daily(tables.totals(spark)).withColumn("batches_left", _batches_left(spark, f"{tables.ledger}/partials"))
 
 
-def query_folded_failure_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_stream_folded_failure_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _folded(spark, sf_dir)
     return tables.failures(spark).withColumn("batches_left", _batches_left(spark, tables.table(FAILURE_TABLE)))
 
 
-def query_folded_success_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_stream_folded_success_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _folded(spark, sf_dir)
     rows = _rounded(tables.successes(spark), "chargeFee")
     return rows.withColumn("batches_left", _batches_left(spark, tables.table(SUCCESS_TABLE)))
 
 
-def query_folded_minute_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_stream_folded_minute_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute totals kept in streaming state, whose stored changes are merged after every batch."""
     home = new_folder(spark)
     out, keys, measures = f"{home}/out", ["order_minute"], ["orders"]
@@ -462,7 +462,7 @@ def query_folded_minute_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_totals(spark, out, keys, measures).withColumn("batches_left", _batches_left(spark, out))
 
 
-def query_sealed_backfills(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_stream_sealed_backfills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily totals of four backfills, of which three are sealed and folded and one is repeated."""
     tables = StoredTables(f"{new_folder(spark)}/out")
     lines = _lines(spark, sf_dir)
@@ -475,7 +475,7 @@ def query_sealed_backfills(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(tables.totals(spark))
 
 
-def query_append_only_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_stream_append_only_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failure totals over a table that can only be appended to, and that holds a batch twice."""
     home = new_folder(spark)
     write_log(spark, sf_dir, f"{home}/log")
@@ -497,7 +497,7 @@ def query_append_only_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failure_totals(spark.read.parquet(f"{home}/{FAILURE_TABLE}"), may_repeat=True)
 
 
-def query_watermark_hour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_stream_watermark_hour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per hour with a watermark of a day, and the windows still in the state when all is read.
 
     The first ten days come first, then those after the twentieth, and at last the days between: these are
