@@ -1,3 +1,6 @@
+import json
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -97,6 +100,29 @@ def test_only_one_whole_object_is_an_order(lines):
     assert reasons(lines, [sound, " " + sound + "\t", *inner]) == [None] * 6
 
 
+def test_whatever_is_put_into_a_line_it_counts_only_if_it_is_one_object(lines):
+    """Random brackets, commas and whole objects at random places, against another parser."""
+    rng = random.Random(17)
+    parts = ["{", "}", "[", "]", ",", ",", "{}", "[]", ',"a":1', ',"a":[1]', '{"a":1}', "null", "1", " ", line(), "," + line(fee="99")]
+    texts = set()
+    for _ in range(1500):
+        text = rng.choice([line(), line(province=None), line(done=None)])
+        for _ in range(rng.randint(1, 3)):
+            at = rng.choice([0, len(text), len(text) - 1, rng.randrange(len(text))])
+            text = text[:at] + rng.choice(parts) + text[at:]
+        texts.add(text)
+
+    def one_object(text):
+        try:
+            return isinstance(json.loads(text), dict)
+        except ValueError:
+            return False
+
+    found = {r.value: r.reject_reason for r in parse_orders(lines(sorted(texts))).collect()}
+    assert {t: r != "bad_json" for t, r in found.items()} == {t: one_object(t) for t in found}
+    assert 50 < sum(map(one_object, found)) < len(found) - 500
+
+
 def test_loosely_written_lines(lines):
     tab = line().replace('"10"', '"10","note":"a\tb"')
     zeros = line().replace('"0000"', "0000")
