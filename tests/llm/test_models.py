@@ -168,6 +168,69 @@ def test_gradient_steps_raise_the_likelihood():
     assert first < 0 and model.log_cells(chunk, cells, at).mean() > 0.1 * first
 
 
+@pytest.mark.parametrize("words_a_part", [16_384, 1])
+def test_words_of_one_slot_follow_what_precedes_them(spark, monkeypatch, words_a_part):
+    """Words with the same first and last bytes and the same count: only the word before tells which of them comes."""
+    monkeypatch.setattr(lm, "PART_WORDS", words_a_part)
+    n = 60
+    pair = lambda i, j: f"{'abc'[i % 3]}{i:03d}left ab{j:03d}yz"
+    learned = [(i, " ".join(pair(j, j) for j in range(n))) for i in range(100)]
+    asked = [(1000 + i, pair(i, i)) for i in range(n)] + [(2000 + i, pair(i, (i + 7) % n)) for i in range(n)]
+    docs = spark.createDataFrame(learned + asked, "doc_id long, text string").repartition(2)
+    score = {r["doc_id"]: r["score"] for r in lm.scores(docs, F.col("doc_id") >= 1000).collect()}
+    assert sum(score[1000 + i] > score[2000 + i] + 0.1 for i in range(n)) > 0.7 * n
+
+
+def word_model(rng, n=700):
+    """Words with counts, all in the dictionary of one chunk, with a document for each pair of a few of them and any."""
+    spellings = rng.integers(0, 2**16, n).astype(np.int32)
+    hashes, counts = rng.integers(1, 2**62, n), np.minimum(rng.zipf(1.5, n), 500).astype(np.int64)
+    words = lm.Vocabulary(int(counts.sum()), n, hashes[:1], np.array([0]), None, None)
+    cells = words.cells(hashes, spellings)
+    words.cell_tokens, words.cell_types = (np.bincount(cells, weights=w, minlength=lm.CELLS) for w in (counts, np.ones(n)))
+    groups, numbers = {}, np.zeros(n, dtype=np.int32)
+    for i, key in enumerate(zip(cells.tolist(), lm.bands_of(counts).tolist())):
+        numbers[i] = len(groups.setdefault(key, []))
+        groups[key].append(int(counts[i]))
+    words.bands = lm.Bands.of([(*key, len(of), sum(of)) for key, of in groups.items()])
+    pairs = np.stack([np.repeat(np.arange(1, 4), n), np.tile(np.arange(n), 3)], axis=1)
+    chunk = lm.Chunk(lm._pack(pairs.ravel()), np.full(3 * n, 2, np.int32), hashes, spellings)
+    chunk.grow(cells, np.arange(n), counts, numbers, words.bands)
+    return words, chunk, cells, counts
+
+
+def test_words_of_a_cell_sum_to_one():
+    rng = np.random.default_rng(3)
+    words, chunk, cells, counts = word_model(rng)
+    n, places = len(cells), np.arange(1, len(chunk.tokens), 2)
+    model = lm.Model(words)
+    share = np.log10((counts + 0.1) / (words.cell_tokens + 0.1 * words.cell_types)[cells])
+    exact = counts < 2 * lm.BAND_STEPS
+    plain = model.log_words(chunk, places).reshape(3, n)
+    assert exact.sum() > 500 and np.abs(plain - share)[:, exact].max() < 1e-5 and np.abs(plain - share).max() < 0.03
+    model.flat[:] = rng.normal(size=len(model.flat))
+    found = model.log_words(chunk, places).reshape(3, n)
+    assert np.abs(found - share).max() > 1 and np.abs(found[0] - found[1]).max() > 1
+    for of in found:
+        sums = np.bincount(cells, weights=10**of, minlength=lm.CELLS)
+        assert sums[np.unique(cells)] == pytest.approx(1, abs=1e-5)
+    squares = lm.Model(words, np.full(model.flat.shape, 0.1, np.float32))
+    learned = places[: 40]
+    before = model.log_words(chunk, learned).mean()
+    for _ in range(30):
+        model.descend(chunk, cells, learned, squares)
+    assert model.log_words(chunk, learned).mean() > 0.5 * before
+
+
+def test_bands_are_in_order():
+    counts = np.concatenate([np.arange(1, 5000), 2 ** np.arange(13, 50)])
+    bands = lm.bands_of(counts)
+    assert (bands[:31] == np.arange(1, 32)).all() and (np.diff(bands) >= 0).all() and bands.max() < lm._MOST_BANDS
+    for band in np.unique(bands[:4999]):
+        own = counts[:4999][bands[:4999] == band]
+        assert own.max() < own.min() * (1 + 1 / lm.BAND_STEPS)
+
+
 def test_rows_grow_with_the_vocabulary():
     rows = [lm.Vocabulary(0, n, *[np.zeros(1)] * 4).bits for n in (0, 10**3, 5 * 10**5, 10**7, 10**12)]
     assert rows == [lm.LEAST_BITS, lm.LEAST_BITS, 14, lm.MOST_BITS, lm.MOST_BITS]

@@ -1,4 +1,4 @@
-"""Language-model scores: a hashed maximum-entropy model with a class-factored softmax."""
+"""Language-model scores: a hashed maximum-entropy model of classes, slots and words, factored like a tree."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from topup_analytics.llm.common import filled, held_out, read_table, ship_code, slices, stored
+from topup_analytics.llm.common import Scratch, filled, held_out, read_table, ship_code, slices, stored
 from topup_analytics.llm.shingles import mix
 
 #: Documents are tokenised in chunks of about so many tokens, each with its own dictionary.
@@ -32,9 +32,21 @@ CELLS = 1 + FREQUENT + SPELLED * SLOTS
 #: Features are hashed to 2 ** bits rows of weights: one for so many words of the training vocabulary, within these bounds.
 WORDS_A_ROW = 2
 LEAST_BITS, MOST_BITS = 12, 14
+#: The words of a slot are the leaves of a tree, whose decisions have so many hashed weights for each row of the other weights.
+NODES_A_ROW = 64
+#: Words of a slot are in one band if their counts are equal, or in the same of so many parts of an octave from twice this number on.
+BAND_STEPS = 16
+_MOST_BANDS = 1 << 12
+#: The words of a band are numbered in parts of about so many.
+PART_WORDS = 16_384
+#: Tokens of a step whose logits and decisions are in memory at once, so that they stay in a core's cache.
+BLOCK_TOKENS = 4096
+#: A task trains on the chunks of so many partitions, but where there are few, there are up to so many tasks.
+PARTS_A_TASK, FEW_TASKS = 4, 16
 #: Tokens of one gradient step.
 STEP_TOKENS = 65_536
 RATE = 0.4
+NODE_RATE = 0.1
 #: The training chunks are dealt into so many rounds; after each, the tasks' weights are averaged.
 ROUNDS = 2
 #: Averaging merges the weights of at most so many tasks, or of so many groups, at a time.
@@ -44,12 +56,14 @@ _END = b""
 
 
 def _pack(ids: np.ndarray) -> bytes:
-    """Numbers in two planes of 16 bits; the upper one is mostly zero and compresses to little."""
-    return np.ascontiguousarray(ids.astype("<u4").view("<u2").reshape(-1, 2).T).tobytes()
+    """Numbers in two planes of 16 bits, compressed; the upper one is mostly zero."""
+    planes = np.ascontiguousarray(ids.astype("<u4").view("<u2").reshape(-1, 2).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    low, high = np.frombuffer(data, dtype="<u2").reshape(2, -1).astype(np.int32)
+    planes = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    low, high = np.frombuffer(planes, dtype="<u2").reshape(2, -1).astype(np.int32)
     return low | (high << 16)
 
 
@@ -142,6 +156,7 @@ class Vocabulary:
     single_cells: np.ndarray
     cell_tokens: np.ndarray
     cell_types: np.ndarray
+    bands: "Bands | None" = None
 
     @property
     def bits(self) -> int:
@@ -161,10 +176,15 @@ class Vocabulary:
         """log10 of the smoothed share of tokens with these counts."""
         return np.log10((counts + SMOOTHING) / (self.n_tokens + SMOOTHING * (self.n_types + 1)))
 
-    def within(self, counts: np.ndarray, cells: np.ndarray) -> np.ndarray:
-        """log10 of the smoothed share in the token's cell; each cell keeps one share for unknown tokens."""
-        all_of_cell = self.cell_tokens + SMOOTHING * (self.cell_types + 1)
-        return np.log10((counts + SMOOTHING) / all_of_cell[cells])
+    def seen(self, counts: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """log10 of the share of the cell's known tokens, together, or, for an unknown token, of the one share kept for those."""
+        known = self.cell_tokens + SMOOTHING * self.cell_types
+        return np.log10(np.where(counts > 0, known[cells], SMOOTHING) / (known + SMOOTHING)[cells])
+
+    @property
+    def parts(self) -> int:
+        """Of each cell's words, for building their tree."""
+        return 1 + self.n_types // (SPELLED * BEGINNINGS * PART_WORDS)
 
     def biases(self) -> tuple[np.ndarray, np.ndarray]:
         """Logarithms of the classes' shares (classes by 1), and of the slots' in each class (slots by classes)."""
@@ -235,6 +255,98 @@ def vocabulary(totals: DataFrame) -> Vocabulary:
     return Vocabulary(*whole, hashes, np.array([s[0] for s in singles] or [0], dtype=np.int64), tokens, types)
 
 
+def bands_of(counts: np.ndarray) -> np.ndarray:
+    """The band of each count: small ones have their own, larger ones share it with those a few per cent apart."""
+    octave = np.maximum(np.frexp(counts.astype(np.float64))[1] - 1, (2 * BAND_STEPS).bit_length() - 2)
+    step = octave - (BAND_STEPS.bit_length() - 1)
+    return (step * BAND_STEPS + (counts >> step)).astype(np.int64)
+
+
+def paths(shares: np.ndarray) -> list[list[tuple[int, bool, float]]]:
+    """A binary tree with leaves in this order: to each leaf the nodes, the sides (whether right) and the log-odds of that side.
+
+    Nodes are numbered by their turns. A node is cut where the halves' shares are most alike, so a leaf's depth follows its share, and
+    the products of the decisions' odds are the leaves' shares.
+    """
+    found: list[list[tuple[int, bool, float]]] = [[] for _ in shares]
+    before = np.concatenate([[0.0], np.cumsum(shares)])
+    todo = [(1, 0, len(shares))]
+    while todo:
+        node, begin, end = todo.pop()
+        if end - begin < 2:
+            continue
+        half = (before[begin] + before[end]) / 2
+        cut = begin + 1 + int(np.argmin(np.abs(before[begin + 1 : end] - half)))
+        odds = float(np.log((before[end] - before[cut]) / (before[cut] - before[begin])))
+        for leaf in range(begin, end):
+            found[leaf].append((node, leaf >= cut, odds if leaf >= cut else -odds))
+        todo += [(mixed_turn(node, 0), begin, cut), (mixed_turn(node, 1), cut, end)]
+    return found
+
+
+def mixed_turn(node: int, side: int) -> int:
+    """The number of a node's child."""
+    return (node * 2 + side) * 0x9E3779B97F4A7C15 % 2**64
+
+
+@dataclass
+class Bands:
+    """The bands of every cell, and the trees of a cell's bands. As many as counts have octaves, whatever the corpus."""
+
+    keys: np.ndarray  # of cell and band, ascending
+    sizes: np.ndarray  # words of each
+    first: np.ndarray  # decisions on the way to each: their places in the next two, and how many
+    depths: np.ndarray
+    nodes: np.ndarray
+    odds: np.ndarray
+
+    @staticmethod
+    def of(rows: list[tuple[int, int, int, int]]) -> "Bands":
+        """From the rows ``cell, band, n, c``: words and their counts."""
+        rows = sorted(rows)
+        keys = np.array([cell * _MOST_BANDS + band for cell, band, _, _ in rows], dtype=np.int64)
+        cells = np.array([r[0] for r in rows], dtype=np.int64)
+        shares = np.array([c + SMOOTHING * n for _, _, n, c in rows])
+        ways = [way for cell in np.unique(cells) for way in paths(shares[cells == cell])]
+        depths = np.array([len(way) for way in ways], dtype=np.int64)
+        turns = np.array([node for way in ways for node, _, _ in way], dtype=np.uint64)
+        sides = np.array([side for way in ways for _, side, _ in way], dtype=bool)
+        odds = np.array([value for way in ways for _, _, value in way], dtype=np.float32)
+        nodes = sided(turns, mix(np.repeat(cells, depths).astype(np.uint64) + np.uint64(1 << 41)), sides)
+        sizes = np.array([n for _, _, n, _ in rows], dtype=np.int64)
+        return Bands(keys, sizes, np.cumsum(depths) - depths, depths, nodes, odds)
+
+
+def sided(turns: np.ndarray, trees: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """32 bits for each decision: a hash of the node, and the side in the lowest bit."""
+    found = (((turns * np.uint64(0xD1342543DE82EF95)) ^ trees) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
+    return (found & np.uint32(0xFFFFFFFE)) | sides.astype(np.uint32)
+
+
+def numbered(totals: DataFrame, words: Vocabulary) -> DataFrame:
+    """``hash, c, cell, band, number`` of each known token; those of a cell and band are numbered from 0.
+
+    They are numbered in parts of bounded size, dealt by hash.
+    """
+    ship_code(totals.sparkSession)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = pa.array(words.cells(batch.column(0).to_numpy(), batch.column(1).to_numpy()), pa.int32())
+            bands = pa.array(bands_of(batch.column(2).to_numpy()), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), cells, bands], ["hash", "c", "cell", "band"])
+
+    known = totals.where("c > 0").select("hash", "spelling", "c").mapInArrow(placed, "hash bigint, c bigint, cell int, band int")
+    group = ["cell", "band", "part"]
+    known = known.withColumn("part", F.pmod("hash", F.lit(words.parts)))
+    known = known.withColumn("number", F.row_number().over(Window.partitionBy(*group).orderBy("hash")) - 1)
+    if words.parts > 1:
+        sizes = known.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+        before = F.sum("n").over(Window.partitionBy("cell", "band").orderBy("part")) - F.col("n")
+        known = known.join(sizes.select(*group, before.alias("before")), group).withColumn("number", F.col("number") + F.col("before"))
+    return known.select("hash", "c", "cell", "band", F.col("number").cast("int").alias("number"))
+
+
 class Chunk:
     """A chunk's tokens and the hashed features of what precedes each in its document."""
 
@@ -244,6 +356,38 @@ class Chunk:
         self.place = (np.arange(len(self.tokens)) - np.repeat(self.starts, lengths)).astype(np.int32)
         self.words = mix(hashes.view(np.uint64))
         self.endings = (spellings.astype(np.uint32).astype(np.uint64) & np.uint64(0xFFFF)) + np.uint64(1)
+        self.depths = self.first = np.zeros(len(hashes), dtype=np.int32)
+        self.nodes, self.odds = np.zeros(0, np.uint32), np.zeros(0, np.float32)
+
+    def grow(self, cells: np.ndarray, at: np.ndarray, counts: np.ndarray, numbers: np.ndarray, bands: Bands) -> None:
+        """Finds the way to the dictionary entries ``at``: through the bands of their cells, then by halves through the band's words."""
+        of = np.searchsorted(bands.keys, cells[at] * _MOST_BANDS + bands_of(counts))
+        sizes, depths = bands.sizes[of], bands.depths[of]
+        halvings = np.frexp((sizes - 1).astype(np.float64))[1]
+        ends = np.cumsum(depths + halvings)
+        starts = ends - depths - halvings
+        n = int(ends[-1]) if len(ends) else 0
+        self.nodes, self.odds = np.zeros(n, dtype=np.uint32), np.zeros(n, dtype=np.float32)
+        for level in range(int(depths.max(initial=0))):
+            more = np.flatnonzero(depths > level)
+            place = bands.first[of[more]] + level
+            self.nodes[starts[more] + level], self.odds[starts[more] + level] = bands.nodes[place], bands.odds[place]
+        trees = mix(bands.keys.view(np.uint64) + np.uint64(1 << 42))[of]
+        turns, begin, end, levels = np.ones(len(at), dtype=np.uint64), np.zeros(len(at), dtype=np.int64), sizes, depths.copy()
+        more = np.flatnonzero(sizes > 1)
+        while len(more):
+            low, high, turn = begin[more], end[more], turns[more]
+            middle = (low + high) >> 1
+            right = numbers[more] >= middle
+            odds = np.log(((high - middle) / (middle - low)).astype(np.float32))
+            place = starts[more] + levels[more]
+            self.nodes[place], self.odds[place] = sided(turn, trees[more], right), np.where(right, odds, -odds)
+            begin[more], end[more] = np.where(right, middle, low), np.where(right, high, middle)
+            turns[more] = turn * np.uint64(2) + right.astype(np.uint64)
+            levels[more] += 1
+            more = more[end[more] - begin[more] > 1]
+        self.depths, self.first = np.zeros(len(cells), dtype=np.int32), np.zeros(len(cells), dtype=np.int32)
+        self.depths[at], self.first[at] = levels, starts
 
     def _before(self, values: np.ndarray, distance: int, at: np.ndarray) -> np.ndarray:
         found = values[self.tokens[np.maximum(at - distance, 0)]]
@@ -260,67 +404,107 @@ def rows_of(seeds: list[np.ndarray], bits: int, within: np.ndarray | None = None
     if within is not None:
         own = mix(within.astype(np.uint64) + np.uint64(1 << 40))
         seeds = [s ^ own for s in seeds]
-    return [(mix(s) & np.uint64((1 << bits) - 1)).astype(np.int32) for s in seeds]
+    return [(mix(s) & np.uint64((1 << bits) - 1)).astype(np.int64) for s in seeds]
 
 
-def logits_of(rows: list[np.ndarray], weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """For each outcome and token, the sum of the active rows' weights, at most 0."""
-    logits = np.empty((len(weights), len(rows[0])), dtype=np.float32)
-    for k, row in enumerate(weights):
-        np.take(row, rows[0], out=logits[k])
-        for more in rows[1:]:
-            logits[k] += row[more]
-        logits[k] += bias[k]
+def logits_of(rows: list[np.ndarray], by_row: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """For each outcome and token, the sum of the active rows' weights (rows by outcomes), at most 0."""
+    sums = by_row.take(rows[0], axis=0)
+    for more in rows[1:]:
+        sums += by_row.take(more, axis=0)
+    logits = np.ascontiguousarray(sums.T)
+    logits += bias
     logits -= logits.max(axis=0)
     return logits
 
 
 class Model:
-    """Weights of the classes, and of the slots in a class, as one vector."""
+    """Weights of the classes, of the slots in a class, and of the decisions in a slot, as one vector."""
 
     def __init__(self, words: Vocabulary, flat: np.ndarray | None = None):
         self.words, self.bits = words, words.bits
         self.biases = words.biases()
-        n = CLASSES << self.bits
-        self.flat = np.zeros((CLASSES + SLOTS) << self.bits, dtype=np.float32) if flat is None else flat
-        self.classes, self.slots = self.flat[:n].reshape(CLASSES, -1), self.flat[n:].reshape(SLOTS, -1)
+        n, m = CLASSES << self.bits, (CLASSES + SLOTS) << self.bits
+        self.flat = np.zeros(m + (NODES_A_ROW << self.bits), dtype=np.float32) if flat is None else flat
+        self.classes, self.slots = self.flat[:n].reshape(CLASSES, -1), self.flat[n:m].reshape(SLOTS, -1)
+        self.nodes = self.flat[m:]
 
     def levels(self, chunk: Chunk, cells: np.ndarray, at: np.ndarray):
-        """Of each level: the tokens (places in ``at``) it decides, their rows, outcomes, weights and biases."""
-        classes, slots = class_and_slot(cells[chunk.tokens[at]])
-        seeds = chunk.seeds(at)
-        yield np.arange(len(at)), rows_of(seeds, self.bits), classes, self.classes, self.biases[0]
-        inner = np.flatnonzero(slots >= 0)
-        if len(inner):
-            of = classes[inner]
-            rows = rows_of([s[inner] for s in seeds], self.bits, of)
-            yield inner, rows, slots[inner], self.slots, self.biases[1][:, of - (1 + FREQUENT)]
+        """Of each level, block by block: the tokens (places in ``at``) it decides, their rows, outcomes, logits, and whether it is inner."""
+        by_row = [np.ascontiguousarray(weights.T) for weights in (self.classes, self.slots)]
+        for begin in range(0, len(at), BLOCK_TOKENS):
+            block = at[begin : begin + BLOCK_TOKENS]
+            classes, slots = class_and_slot(cells[chunk.tokens[block]])
+            seeds = chunk.seeds(block)
+            rows = rows_of(seeds, self.bits)
+            yield begin + np.arange(len(block)), rows, classes, logits_of(rows, by_row[0], self.biases[0]), 0
+            inner = np.flatnonzero(slots >= 0)
+            if len(inner):
+                of = classes[inner]
+                rows = rows_of([s[inner] for s in seeds], self.bits, of)
+                bias = self.biases[1][:, of - (1 + FREQUENT)]
+                yield begin + inner, rows, slots[inner], logits_of(rows, by_row[1], bias), 1
 
     def log_cells(self, chunk: Chunk, cells: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log10 of the probability of the cells of the tokens ``at``, given what precedes them."""
         total = np.zeros(len(at))
-        for tokens, rows, outcomes, weights, bias in self.levels(chunk, cells, at):
-            logits = logits_of(rows, weights, bias)
+        for tokens, _, outcomes, logits, _ in self.levels(chunk, cells, at):
             own = logits[outcomes, np.arange(len(tokens))]
             total[tokens] += own - np.log(np.exp(logits, out=logits).sum(axis=0))
         return total / np.log(10)
 
+    def decisions(self, chunk: Chunk, at: np.ndarray):
+        """Block by block, the decisions down to the tokens: tokens (places in ``at``) that have any, how many, rows, nodes and margins."""
+        all_of = chunk.depths[chunk.tokens[at]]
+        inside, shift = np.flatnonzero(all_of), np.uint32(33 - len(self.nodes).bit_length())
+        for begin in range(0, len(inside), BLOCK_TOKENS):
+            inner = inside[begin : begin + BLOCK_TOKENS]
+            depths = all_of[inner]
+            ends = np.cumsum(depths)
+            places = np.repeat(chunk.first[chunk.tokens[at[inner]]] - (ends - depths), depths) + np.arange(ends[-1])
+            nodes, logits, rows = chunk.nodes[places], np.zeros(len(places), dtype=np.float32), []
+            own = nodes | np.uint32(1)
+            for seed in chunk.seeds(at[inner]):
+                row = np.repeat((mix(seed) >> np.uint64(32)).astype(np.uint32), depths)
+                row ^= own
+                row *= np.uint32(0x9E3779B1)
+                row >>= shift
+                row = row.astype(np.int64)
+                rows.append(row)
+                logits += self.nodes[row]
+            sides = (nodes & np.uint32(1)).astype(np.float32) * 2 - 1
+            margins = np.clip(chunk.odds[places] + sides * logits, -80, 80)
+            yield inner, ends - depths, rows, sides, margins
+
+    def log_words(self, chunk: Chunk, at: np.ndarray) -> np.ndarray:
+        """log10 of the probability of the known tokens ``at`` among those of their cells, given what precedes them."""
+        total = np.zeros(len(at))
+        for inner, starts, _, _, margins in self.decisions(chunk, at):
+            total[inner] = -np.add.reduceat(np.log1p(np.exp(-margins)), starts, dtype=np.float64)
+        return total / np.log(10)
+
     def descend(self, chunk: Chunk, cells: np.ndarray, at: np.ndarray, squares: "Model") -> None:
         """One gradient step (AdaGrad) over the tokens ``at``; changes the weights and ``squares``."""
-        sums = (squares.classes, squares.slots)
-        for (tokens, rows, outcomes, weights, bias), of_level in zip(self.levels(chunk, cells, at), sums):
-            logits = logits_of(rows, weights, bias)
+        gradients = np.zeros_like(self.classes), np.zeros_like(self.slots)
+        for tokens, rows, outcomes, logits, level in self.levels(chunk, cells, at):
             slope = np.exp(logits, out=logits)
             slope /= slope.sum(axis=0)
             slope[outcomes, np.arange(len(tokens))] -= 1
-            for k in range(len(weights)):
-                share = slope[k].astype(np.float64)
-                gradient = np.zeros(1 << self.bits)
+            for own, share in zip(gradients[level], slope):
                 for row in rows:
-                    gradient += np.bincount(row, weights=share, minlength=1 << self.bits)
-                gradient = gradient.astype(np.float32)
-                of_level[k] += gradient * gradient
-                weights[k] -= RATE * gradient / np.sqrt(of_level[k])
+                    np.add.at(own, row, share)
+        for weights, gradient, sums in zip((self.classes, self.slots), gradients, (squares.classes, squares.slots)):
+            sums += gradient * gradient
+            weights -= RATE * gradient / np.sqrt(sums)
+        gradient = np.zeros(len(self.nodes), dtype=np.float32)
+        for _, _, rows, sides, margins in self.decisions(chunk, at):
+            share = -sides / (1 + np.exp(margins))
+            for row in rows:
+                np.add.at(gradient, row, share)
+        changed = np.flatnonzero(gradient)
+        gradient = gradient[changed]
+        squares.nodes[changed] += gradient * gradient
+        self.nodes[changed] -= NODE_RATE * gradient / np.sqrt(squares.nodes[changed])
 
 
 def train(chunks: DataFrame, words: Vocabulary) -> np.ndarray:
@@ -334,6 +518,8 @@ def train(chunks: DataFrame, words: Vocabulary) -> np.ndarray:
     ship_code(chunks.sparkSession)
     flat = Model(words).flat
     schema = "slice int, task bigint, n double, weights array<float>"
+    n_parts = chunks.rdd.getNumPartitions()
+    tasks = max(1, min(n_parts, FEW_TASKS), n_parts // PARTS_A_TASK)
     for number in range(ROUNDS):
 
         def steps(batches: Iterator[pa.RecordBatch], begin=flat) -> Iterator[pa.RecordBatch]:
@@ -341,8 +527,7 @@ def train(chunks: DataFrame, words: Vocabulary) -> np.ndarray:
             squares = Model(words, np.full(begin.shape, 0.1, dtype=np.float32))
             for batch in batches:
                 for row in range(batch.num_rows):
-                    task, chunk, held, hashes, spellings, lengths = _read(batch, row)
-                    cells = words.cells(hashes, spellings)
+                    task, chunk, held, lengths, cells, _ = _read(batch, row, words)
                     learned = np.flatnonzero(np.repeat(~held, lengths))
                     for at in range(0, len(learned), STEP_TOKENS):
                         own.descend(chunk, cells, learned[at : at + STEP_TOKENS], squares)
@@ -355,8 +540,9 @@ def train(chunks: DataFrame, words: Vocabulary) -> np.ndarray:
                     yield pa.RecordBatch.from_arrays(arrays, ["slice", "task", "n", "weights"])
 
         dealt = chunks.where(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == number)
-        rows = dealt.select("chunk", "held", "lengths", "tokens", "hashes", "spellings").mapInArrow(steps, schema)
-        groups = dealt.rdd.getNumPartitions()
+        read = ["chunk", "held", "lengths", "tokens", "hashes", "spellings", "at", "c", "numbers"]
+        rows = dealt.select(*read).coalesce(tasks).mapInArrow(steps, schema)
+        groups = tasks
         while groups > 1:
             groups = -(-groups // FAN_IN)
             key = F.pmod(F.xxhash64("task", F.lit(groups)), F.lit(groups))
@@ -382,24 +568,31 @@ def _average(group: pa.Table) -> pa.Table:
     )
 
 
-def _read(batch: pa.RecordBatch, row: int) -> tuple:
+def _read(batch: pa.RecordBatch, row: int, words: Vocabulary) -> tuple:
     value = lambda name: batch.column(batch.schema.get_field_index(name))[row]
     array = lambda name: value(name).values.to_numpy(zero_copy_only=False)
     hashes, spellings, lengths = array("hashes"), array("spellings"), array("lengths")
-    chunk = Chunk(value("tokens").as_py(), lengths, hashes, spellings)
-    return value("chunk").as_py(), chunk, array("held"), hashes, spellings, lengths
+    chunk, cells = Chunk(value("tokens").as_py(), lengths, hashes, spellings), words.cells(hashes, spellings)
+    counts = np.zeros(len(hashes), dtype=np.int64)
+    if value("at").is_valid:
+        counts[array("at")] = array("c")
+        chunk.grow(cells, array("at"), array("c"), array("numbers"), words.bands)
+    return value("chunk").as_py(), chunk, array("held"), lengths, cells, counts
 
 
 def scores(docs: DataFrame, is_held: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of all whole texts by a model of those that are not held out.
 
     A token's probability is that of its class, given what precedes it, times, but for the most frequent words, that of
-    its slot in the class, given the class and what precedes it, times its share in the slot. Both are maximum-entropy models of hashed
-    features: the word before, and the endings of the three words before; inside a class the features are the class's own. The rows of
+    its slot in the class, given the class and what precedes it, times that of the word in the slot, given the slot and what precedes it.
+    All are maximum-entropy models of hashed
+    features: the word before, and the endings of the three words before; inside a class the features are the class's own. The words of a
+    slot are the leaves of a binary tree, first of bands of like counts, then of the words in a band, and each decision on the way to a
+    word has features of its own and begins with the odds of the counts. A slot keeps one smoothed share for all unknown words. The rows of
     weights grow with the vocabulary up to ``2 ** MOST_BITS``; beyond, words share them. Counts
     are exact, over all training tokens: every chunk of documents sends each of its
     tokens once with its count, these are added up before and after the shuffle, and the corpus' counts of its own tokens are
-    joined to each chunk, so no task holds the whole vocabulary, and a token that is in every chunk is a sum like any other.
+    joined to each chunk with their numbers, so no task holds the whole vocabulary, and a token that is in every chunk is a sum like any other.
 
     Returns ``doc_id``, ``held_out``, ``n_tokens`` (words and one end), ``n_known``
     (tokens that training has seen), ``train_tokens``, ``base_score`` (log10
@@ -415,19 +608,26 @@ def scores(docs: DataFrame, is_held: Column, id: str = "doc_id", text: str = "te
     rows = docs.select(
         F.col(id).cast("bigint").alias("doc_id"), F.coalesce(is_held, F.lit(False)).alias("held"), filled(text).alias("text")
     )
-    chunks = stored(chunked(rows).withColumn("chunk", F.monotonically_increasing_id()))
+    scratch = Scratch(docs.sparkSession)
+    chunks, n_chunks = scratch.counted(chunked(rows).withColumn("chunk", F.monotonically_increasing_id()))
+    n_parts = max(1, n_chunks)
     entries = chunks.select("chunk", F.posexplode(F.arrays_zip("hashes", "spellings", "counts")).alias("at", "entry"))
     counted = entries.groupBy(F.col("entry.hashes").alias("hash")).agg(
         F.sum(F.col("entry.counts").cast("bigint")).alias("c"), F.min("entry.spellings").alias("spelling")
     )
-    # Stored apart, so that Spark can split the many rows of one token in the join.
-    totals = stored(counted)
+    totals = scratch.stored(counted)
     words = vocabulary(totals)
-    weights = train(chunks, words)
     places = entries.select("chunk", "at", F.col("entry.hashes").alias("hash"))
-    known = places.join(totals.where("c > 0").select("hash", "c"), "hash").groupBy("chunk")
-    known = known.agg(F.collect_list(F.struct("at", "c")).alias("known"))
-    joined = chunks.drop("counts").join(known.select("chunk", "known.at", "known.c"), "chunk", "left")
+    # Stored apart, so that Spark can split the many rows of one token in the join.
+    numbers = scratch.stored(numbered(totals, words))
+    sums = numbers.groupBy("cell", "band").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c"))
+    words.bands = Bands.of([tuple(row) for row in sums.collect()])
+    known = places.join(numbers.select("hash", "c", "number"), "hash").repartition(n_parts, "chunk").groupBy("chunk")
+    known = known.agg(F.collect_list(F.struct("at", "c", "number")).alias("known"))
+    whole = chunks.drop("counts").repartition(n_parts, "chunk")
+    joined = stored(whole.join(known.select("chunk", "known.at", "known.c", F.col("known.number").alias("numbers")), "chunk", "left"))
+    scratch.drop()
+    weights = train(joined, words)
     schema = (
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )
@@ -436,17 +636,12 @@ def scores(docs: DataFrame, is_held: Column, id: str = "doc_id", text: str = "te
         model = Model(words, weights)
         for batch in batches:
             for row in range(batch.num_rows):
-                _, chunk, held, hashes, spellings, lengths = _read(batch, row)
-                counts = np.zeros(len(hashes), dtype=np.int64)
-                at, c = (batch.column(batch.schema.get_field_index(n))[row] for n in ("at", "c"))
-                if at.is_valid:
-                    counts[at.values.to_numpy()] = c.values.to_numpy()
-                cells = words.cells(hashes, spellings)
-                base, within = words.base(counts), words.within(counts, cells)
-                log_cell = np.empty(len(chunk.tokens))
+                _, chunk, held, lengths, cells, counts = _read(batch, row, words)
+                base, seen = words.base(counts), words.seen(counts, cells)
+                log_word = np.empty(len(chunk.tokens))
                 for begin in range(0, len(chunk.tokens), STEP_TOKENS):
                     places = np.arange(begin, min(begin + STEP_TOKENS, len(chunk.tokens)))
-                    log_cell[places] = model.log_cells(chunk, cells, places)
+                    log_word[places] = model.log_cells(chunk, cells, places) + model.log_words(chunk, places)
                 sums = lambda per_token: np.add.reduceat(per_token, chunk.starts)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -456,7 +651,7 @@ def scores(docs: DataFrame, is_held: Column, id: str = "doc_id", text: str = "te
                         pa.array(sums((counts > 0)[chunk.tokens].astype(np.int64))),
                         pa.array(np.full(len(lengths), words.n_tokens, dtype=np.int64)),
                         pa.array(sums(base[chunk.tokens])),
-                        pa.array(sums(within[chunk.tokens] + log_cell)),
+                        pa.array(sums(seen[chunk.tokens] + log_word)),
                     ],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
