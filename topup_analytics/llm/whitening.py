@@ -224,7 +224,11 @@ def whitened(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding",
                 squares = [int(x) for x in (far * far).sum(axis=1)]
             if max(squares, default=0) >= 1 << 63:
                 raise OverflowError("a deviation does not fit a bigint")
-            found = (far / n).astype(np.float64) @ scaled
+            # Added up dimension by dimension: a matrix product rounds by the size of the batch.
+            centred = (far / n).astype(np.float64)
+            found = np.zeros((len(centred), scaled.shape[1]))
+            for place, of in zip(centred.T, scaled):
+                found += place[:, None] * of
             lists = pa.array(list(found), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(squares, pa.int64()), lists], ["vec_id", "deviation", "whitened"])
 
