@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import odd_rows
@@ -181,6 +182,33 @@ def test_words_of_one_slot_follow_what_precedes_them(spark, monkeypatch, words_a
     assert sum(score[1000 + i] > score[2000 + i] + 0.1 for i in range(n)) > 0.7 * n
 
 
+def test_chunks_are_written_once_and_stay_in_place(spark, monkeypatch):
+    """The tokens are in one stored table, and what is trained on is joined to them without a shuffle."""
+    written, plans, train = [], [], lm.train
+
+    def noting(write):
+        def noted(self, *args, **options):
+            written.append(self._df.columns)
+            return write(self, *args, **options)
+
+        return noted
+
+    def trained(chunks, words):
+        plans.append(chunks._jdf.queryExecution().executedPlan().toString())
+        return train(chunks, words)
+
+    for name in ("parquet", "saveAsTable"):
+        monkeypatch.setattr(DataFrameWriter, name, noting(getattr(DataFrameWriter, name)))
+    monkeypatch.setattr(lm, "train", trained)
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 300)
+    tables = spark.catalog.listTables()
+    rows = small_corpus()
+    got = lm.scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), is_held())
+    assert sum("tokens" in columns and "hashes" in columns for columns in written) == 1
+    assert "tokens" in plans[0] and "Exchange" not in plans[0]
+    assert got.count() == len(rows) and spark.catalog.listTables() == tables
+
+
 def word_model(rng, n=700):
     """Words with counts, all in the dictionary of one chunk, with a document for each pair of a few of them and any."""
     spellings = rng.integers(0, 2**16, n).astype(np.int32)

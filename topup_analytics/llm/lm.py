@@ -471,7 +471,7 @@ class Model:
                 row >>= shift
                 row = row.astype(np.int64)
                 rows.append(row)
-                logits += self.nodes[row]
+                logits += self.nodes.take(row)
             sides = (nodes & np.uint32(1)).astype(np.float32) * 2 - 1
             margins = np.clip(chunk.odds[places] + sides * logits, -80, 80)
             yield inner, ends - depths, rows, sides, margins
@@ -490,9 +490,9 @@ class Model:
             slope = np.exp(logits, out=logits)
             slope /= slope.sum(axis=0)
             slope[outcomes, np.arange(len(tokens))] -= 1
+            active = np.concatenate(rows)
             for own, share in zip(gradients[level], slope):
-                for row in rows:
-                    np.add.at(own, row, share)
+                np.add.at(own, active, np.tile(share, len(rows)))
         for weights, gradient, sums in zip((self.classes, self.slots), gradients, (squares.classes, squares.slots)):
             sums += gradient * gradient
             weights -= RATE * gradient / np.sqrt(sums)
@@ -608,9 +608,10 @@ def scores(docs: DataFrame, is_held: Column, id: str = "doc_id", text: str = "te
     rows = docs.select(
         F.col(id).cast("bigint").alias("doc_id"), F.coalesce(is_held, F.lit(False)).alias("held"), filled(text).alias("text")
     )
-    scratch = Scratch(docs.sparkSession)
-    chunks, n_chunks = scratch.counted(chunked(rows).withColumn("chunk", F.monotonically_increasing_id()))
-    n_parts = max(1, n_chunks)
+    scratch, kept = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
+    # The chunks are most of the data: they are written once, in buckets, so that what is learned of their words is joined to them in place.
+    n_buckets = max(rows.rdd.getNumPartitions(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    chunks = kept.bucketed(chunked(rows).withColumn("chunk", F.monotonically_increasing_id()), "chunk", n_buckets)
     entries = chunks.select("chunk", F.posexplode(F.arrays_zip("hashes", "spellings", "counts")).alias("at", "entry"))
     counted = entries.groupBy(F.col("entry.hashes").alias("hash")).agg(
         F.sum(F.col("entry.counts").cast("bigint")).alias("c"), F.min("entry.spellings").alias("spelling")
@@ -622,11 +623,11 @@ def scores(docs: DataFrame, is_held: Column, id: str = "doc_id", text: str = "te
     numbers = scratch.stored(numbered(totals, words))
     sums = numbers.groupBy("cell", "band").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c"))
     words.bands = Bands.of([tuple(row) for row in sums.collect()])
-    known = places.join(numbers.select("hash", "c", "number"), "hash").repartition(n_parts, "chunk").groupBy("chunk")
+    known = places.join(numbers.select("hash", "c", "number"), "hash").repartition(n_buckets, "chunk").groupBy("chunk")
     known = known.agg(F.collect_list(F.struct("at", "c", "number")).alias("known"))
-    whole = chunks.drop("counts").repartition(n_parts, "chunk")
-    joined = stored(whole.join(known.select("chunk", "known.at", "known.c", F.col("known.number").alias("numbers")), "chunk", "left"))
+    known = kept.bucketed(known.select("chunk", "known.at", "known.c", F.col("known.number").alias("numbers")), "chunk", n_buckets)
     scratch.drop()
+    joined = chunks.drop("counts").join(known.hint("merge"), "chunk", "left")
     weights = train(joined, words)
     schema = (
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
