@@ -269,6 +269,14 @@ def test_planes():
     assert (lm._unpack(lm._pack(ids)) == ids).all()
 
 
+def test_spellings():
+    words = [b"", b"a", b"ab", b"abc", "é".encode(), b"\x00", b"a\x00", bytes(range(200, 256)), b"\xff"]
+    plain = [int.from_bytes(w[-2:], "little") | int.from_bytes(w[:2], "little") << 16 for w in words]
+    for order in (slice(None), slice(None, None, -1)):
+        assert (lm.spellings_of(words[order]).view(np.uint32) == np.array(plain[order], dtype=np.uint32)).all()
+    assert len(lm.spellings_of([])) == 0
+
+
 def plain_top(rows, k=5):
     """rows: (id, integer vector); queries have ids divisible by 50."""
     width = max(len(v) for _, v in rows)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,6 +45,8 @@ BLOCK_TOKENS = 4096
 PARTS_A_TASK, FEW_TASKS = 4, 16
 #: Tokens of one gradient step.
 STEP_TOKENS = 65_536
+#: Tokens that are scored with one copy of the weights by row.
+SCORED_TOKENS = 262_144
 RATE = 0.4
 NODE_RATE = 0.1
 #: The training chunks are dealt into so many rounds; after each, the tasks' weights are averaged.
@@ -128,12 +130,21 @@ def _chunk(numbers: dict, docs: list) -> pa.RecordBatch:
     lengths = np.array([len(t) for _, _, t in docs], dtype=np.int32)
     held = np.array([h for _, h, _ in docs])
     counts = np.bincount(tokens[np.repeat(~held, lengths)], minlength=len(numbers)).astype(np.int32)
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in numbers], dtype=np.uint64).view(np.int64)
-    spellings = np.array([int.from_bytes(w[-2:], "little") | int.from_bytes(w[:2], "little") << 16 for w in numbers], dtype=np.uint32)
-    row = [[d for d, _, _ in docs], held, lengths, _pack(tokens), hashes, spellings.view(np.int32), counts]
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers)).view(np.int64)
+    row = [[d for d, _, _ in docs], held, lengths, _pack(tokens), hashes, spellings_of(numbers), counts]
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _CHUNK)], schema=_CHUNK)
 
 
+def spellings_of(words: Collection[bytes]) -> np.ndarray:
+    """The last two bytes of each word, and 16 bits higher the first two; both as little-endian numbers, shorter for shorter words."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    letters = np.frombuffer(b"".join(words) + b"\0\0", dtype=np.uint8).astype(np.uint32)
+    ends = np.cumsum(lengths)
+    first = letters[ends - lengths] | np.where(lengths > 1, letters[ends - lengths + 1] << 8, 0)
+    last = np.where(lengths > 1, letters[ends - 2] | letters[ends - 1] << 8, first)
+    return np.where(lengths > 0, last | first << 16, 0).astype(np.uint32).view(np.int32)
+
+
 def spelled_class(spellings: np.ndarray) -> np.ndarray:
     """One of the spelled classes, by the last two bytes."""
     ending = spellings.astype(np.uint32).astype(np.uint64) & np.uint64(0xFFFF)
@@ -373,19 +384,21 @@ class Chunk:
             place = bands.first[of[more]] + level
             self.nodes[starts[more] + level], self.odds[starts[more] + level] = bands.nodes[place], bands.odds[place]
         trees = mix(bands.keys.view(np.uint64) + np.uint64(1 << 42))[of]
-        turns, begin, end, levels = np.ones(len(at), dtype=np.uint64), np.zeros(len(at), dtype=np.int64), sizes, depths.copy()
-        more = np.flatnonzero(sizes > 1)
+        levels, more = depths.copy(), np.flatnonzero(sizes > 1)
+        low, high, turn = np.zeros(len(more), dtype=np.int64), sizes[more], np.ones(len(more), dtype=np.uint64)
+        place, tree, number = (starts + depths)[more], trees[more], numbers[more]
         while len(more):
-            low, high, turn = begin[more], end[more], turns[more]
             middle = (low + high) >> 1
-            right = numbers[more] >= middle
+            right = number >= middle
             odds = np.log(((high - middle) / (middle - low)).astype(np.float32))
-            place = starts[more] + levels[more]
-            self.nodes[place], self.odds[place] = sided(turn, trees[more], right), np.where(right, odds, -odds)
-            begin[more], end[more] = np.where(right, middle, low), np.where(right, high, middle)
-            turns[more] = turn * np.uint64(2) + right.astype(np.uint64)
-            levels[more] += 1
-            more = more[end[more] - begin[more] > 1]
+            self.nodes[place], self.odds[place] = sided(turn, tree, right), np.where(right, odds, -odds)
+            low, high = np.where(right, middle, low), np.where(right, high, middle)
+            turn = turn * np.uint64(2) + right.astype(np.uint64)
+            place += 1
+            open_ = high - low > 1
+            if not open_.all():
+                levels[more[~open_]] = place[~open_] - starts[more[~open_]]
+                more, low, high, turn, place, tree, number = (of[open_] for of in (more, low, high, turn, place, tree, number))
         self.depths, self.first = np.zeros(len(cells), dtype=np.int32), np.zeros(len(cells), dtype=np.int32)
         self.depths[at], self.first[at] = levels, starts
 
@@ -485,23 +498,31 @@ class Model:
 
     def descend(self, chunk: Chunk, cells: np.ndarray, at: np.ndarray, squares: "Model") -> None:
         """One gradient step (AdaGrad) over the tokens ``at``; changes the weights and ``squares``."""
-        gradients = np.zeros_like(self.classes), np.zeros_like(self.slots)
+        # Of two outcomes at a time, as the parts of a complex number: a scattered sum costs about as much for both as for one.
+        gradients = [np.zeros((n // 2, 1 << self.bits), dtype=np.complex64) for n in (CLASSES, SLOTS)]
         for tokens, rows, outcomes, logits, level in self.levels(chunk, cells, at):
             slope = np.exp(logits, out=logits)
             slope /= slope.sum(axis=0)
             slope[outcomes, np.arange(len(tokens))] -= 1
-            active = np.concatenate(rows)
-            for own, share in zip(gradients[level], slope):
+            active, pairs = np.concatenate(rows), np.empty((len(slope) // 2, len(tokens)), dtype=np.complex64)
+            pairs.real, pairs.imag = slope[::2], slope[1::2]
+            for own, share in zip(gradients[level], pairs):
                 np.add.at(own, active, np.tile(share, len(rows)))
-        for weights, gradient, sums in zip((self.classes, self.slots), gradients, (squares.classes, squares.slots)):
-            sums += gradient * gradient
-            weights -= RATE * gradient / np.sqrt(sums)
+        for weights, pairs, sums in zip((self.classes, self.slots), gradients, (squares.classes, squares.slots)):
+            gradient = np.empty_like(weights)
+            gradient[::2], gradient[1::2] = pairs.real, pairs.imag
+            scale = gradient * gradient
+            sums += scale
+            np.sqrt(sums, out=scale)
+            gradient *= RATE
+            gradient /= scale
+            weights -= gradient
         gradient = np.zeros(len(self.nodes), dtype=np.float32)
         for _, _, rows, sides, margins in self.decisions(chunk, at):
             share = -sides / (1 + np.exp(margins))
             for row in rows:
                 np.add.at(gradient, row, share)
-        changed = np.flatnonzero(gradient)
+        changed = np.flatnonzero(gradient != 0)
         gradient = gradient[changed]
         squares.nodes[changed] += gradient * gradient
         self.nodes[changed] -= NODE_RATE * gradient / np.sqrt(squares.nodes[changed])
@@ -624,8 +645,9 @@ def scores(docs: DataFrame, is_held: Column, id: str = "doc_id", text: str = "te
     sums = numbers.groupBy("cell", "band").agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c"))
     words.bands = Bands.of([tuple(row) for row in sums.collect()])
     known = places.join(numbers.select("hash", "c", "number"), "hash").repartition(n_buckets, "chunk").groupBy("chunk")
-    known = known.agg(F.collect_list(F.struct("at", "c", "number")).alias("known"))
-    known = kept.bucketed(known.select("chunk", "known.at", "known.c", F.col("known.number").alias("numbers")), "chunk", n_buckets)
+    # Lists of one aggregation have the same order; lists of numbers take a fraction of the memory that lists of rows do.
+    known = known.agg(F.collect_list("at").alias("at"), F.collect_list("c").alias("c"), F.collect_list("number").alias("numbers"))
+    known = kept.bucketed(known, "chunk", n_buckets)
     scratch.drop()
     joined = chunks.drop("counts").join(known.hint("merge"), "chunk", "left")
     weights = train(joined, words)
@@ -640,8 +662,8 @@ def scores(docs: DataFrame, is_held: Column, id: str = "doc_id", text: str = "te
                 _, chunk, held, lengths, cells, counts = _read(batch, row, words)
                 base, seen = words.base(counts), words.seen(counts, cells)
                 log_word = np.empty(len(chunk.tokens))
-                for begin in range(0, len(chunk.tokens), STEP_TOKENS):
-                    places = np.arange(begin, min(begin + STEP_TOKENS, len(chunk.tokens)))
+                for begin in range(0, len(chunk.tokens), SCORED_TOKENS):
+                    places = np.arange(begin, min(begin + SCORED_TOKENS, len(chunk.tokens)))
                     log_word[places] = model.log_cells(chunk, cells, places) + model.log_words(chunk, places)
                 sums = lambda per_token: np.add.reduceat(per_token, chunk.starts)
                 yield pa.RecordBatch.from_arrays(
